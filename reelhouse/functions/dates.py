@@ -23,20 +23,16 @@ def parse_us_date(col: Column, pivot: int = 25, lenient: bool = False) -> Column
     Two-digit years from ``pivot`` on are 19xx, lower ones 20xx. ``lenient`` rolls an
     impossible day over (30 February is 1 or 2 March) where the strict form gives NULL.
     """
-    parts = F.split(F.trim(col), "/")
-    month, day, short = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
-    year = F.when(short >= 100, short).when(short >= pivot, short + 1900).otherwise(short + 2000)
-    shaped = (F.size(parts) == 3) & year.between(1, 9999)
+    text = F.trim(col)
+    month = F.trim(F.substring_index(text, "/", 1))
+    day = F.trim(F.substring_index(F.substring_index(text, "/", 2), "/", -1))
+    short = F.trim(F.substring_index(text, "/", -1)).try_cast("int")
+    year = F.when(short >= 100, short).when(short >= pivot, short + 1900).when(short >= 0, short + 2000)
+    shaped = text.rlike("^[^/]*/[^/]*/[^/]*$") & (year <= 9999)
     if lenient:
         start = F.make_date(F.when(shaped, year), F.lit(1), F.lit(1))
-        return F.date_add(F.add_months(start, month - 1), day - 1)
-    text = F.concat_ws(
-        "-",
-        F.lpad(year.cast("string"), 4, "0"),
-        F.when(month.between(1, 12), F.lpad(month.cast("string"), 2, "0")),
-        F.when(day.between(1, 31), F.lpad(day.cast("string"), 2, "0")),
-    )
-    return F.when(shaped, F.try_to_date(text, "yyyy-MM-dd"))
+        return F.date_add(F.add_months(start, month.try_cast("int") - 1), day.try_cast("int") - 1)
+    return F.when(shaped, F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, day).try_cast("date"))
 
 
 def parse_iso_date_guarded(col: Column, prefix: str = "T") -> Column:
@@ -44,7 +40,7 @@ def parse_iso_date_guarded(col: Column, prefix: str = "T") -> Column:
     text = strip_one_prefix(col, prefix)
     return F.when(
         text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"),
-        F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"),
+        F.substring(text, 1, 10).try_cast("date"),
     )
 
 

@@ -8,12 +8,14 @@ anything is shuffled.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelhouse.functions.measures import ratio_measures
 from reelhouse.functions.text import client_caption
 from reelhouse.operators.periods import top_members
+from reelhouse.operators.skew import growing_join, hot_keys
 
 
 @dataclass(frozen=True)
@@ -132,6 +134,9 @@ def _level_columns(levels: list[str]) -> list[str]:
     return columns
 
 
+_BOUNDED = ("Time", "Store")  # one row per calendar day, one per store
+
+
 def star(cube: CubeSpec, columns: list[str], measures: list[str]) -> DataFrame:
     """Measures summed per distinct combination of dimension ``columns``, slices applied."""
     owner = {c: LEVELS[name].dim for name in LEVELS for c in LEVELS[name].columns}
@@ -142,13 +147,17 @@ def star(cube: CubeSpec, columns: list[str], measures: list[str]) -> DataFrame:
         fact = fact.where(F.col("annee").isin(*cube.slices["Year"]))  # prunes the fact's year folders
     sums = {m: cube.measures[m] for m in measures}
     rows = fact.groupBy(*keys.values()).agg(*[F.sum(c).alias(m) for m, c in sums.items()])
-    for dim, key in keys.items():
+    for dim, key in sorted(keys.items(), key=lambda item: item[0] not in _BOUNDED):
         frame = cube.dims[dim][0]
         for name, members in cube.slices.items():
             if LEVELS[name].dim == dim:
                 frame = frame.where(F.col(LEVELS[name].columns[-1]).isin(*members))
         wanted = [c for c in columns if owner[c] == dim and c != key]
-        rows = rows.join(frame.select(key, *wanted), key)
+        frame = frame.select(key, *wanted)
+        if dim in _BOUNDED:
+            rows = rows.join(F.broadcast(frame), key)
+        else:
+            rows = growing_join(rows, frame, [key], hot=partial(hot_keys, fact, [key]))
     return rows
 
 

@@ -102,12 +102,10 @@ def copy_chain_join(rentals: DataFrame, copies: DataFrame, movies: DataFrame, pr
     The three small hops are resolved to (copy_id, produit_id) first, so the rentals are
     joined once.
     """
-    copy_products = (
-        copies.select(F.col("id").alias("copy_id"), F.col("movie_id").alias("movieid"))
-        .join(movies.select("movieid"), "movieid")
-        .join(products.where(F.col("type") == "film").select("produit_id", F.col("film_id").alias("movieid")), "movieid")
-        .select("copy_id", "produit_id")
-    )
+    copy_movies = copies.select(F.col("id").alias("copy_id"), F.col("movie_id").alias("movieid"))
+    films = products.where(F.col("type") == "film").select("produit_id", F.col("film_id").alias("movieid"))
+    film_products = movies.select("movieid").join(films, "movieid")
+    copy_products = growing_join(copy_movies, film_products, ["movieid"]).select("copy_id", "produit_id")
     return growing_join(rentals, copy_products, ["copy_id"])
 
 

@@ -21,6 +21,15 @@ def input_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def broadcast_sized(df: DataFrame) -> bool:
+    """True when Spark estimates ``df`` below its broadcast threshold, so it will broadcast it."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    except (AttributeError, TypeError):
+        return False
+
+
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys holding more than ``share`` of the rows: never more than 1/share of them."""
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -62,12 +71,12 @@ def growing_join(
 ) -> DataFrame:
     """Join two tables that both grow with the data.
 
-    Small inputs take the plain join, where Spark's own size check picks broadcast or shuffle.
-    Larger (or unknown) ones take the salted join; ``hot`` can supply its hot keys from a
-    cheaper frame than ``left``.
+    A left side of at most ``plain_bytes``, or a right side small enough for Spark to broadcast,
+    takes the plain join. Everything larger (or unknown) takes the salted join; ``hot`` can
+    supply its hot keys from a cheaper frame than ``left``.
     """
     size = input_bytes(left)
-    if size is not None and size <= plain_bytes:
+    if (size is not None and size <= plain_bytes) or broadcast_sized(right):
         return left.join(right, on, how)
     return salted_join(left, right, on, how, hot)
 

@@ -182,10 +182,11 @@ def rebuild_clients(rentals: DataFrame, sales: DataFrame, gadgets: DataFrame, ge
             "cust_name", "sex_male", "birthdate", *[c for c in ("address",) if c in t.columns]
         ) for t in (rentals, sales, gadgets)
     ])
+    # a hash aggregate leaves about one row per client and task before anything is sorted
     cleaned = mapped({
         "nom_complet": _stripped("cust_name"), "genre": gender_from_flag(F.col("sex_male"), gender_default),
         "date_naissance": F.to_date("birthdate"), "adresse": _stripped("address"),
-    }, buyers)
+    }, buyers.distinct())
     kept = cleaned.groupBy(F.lower("nom_complet").alias("k"), "date_naissance").agg(
         F.min(F.struct("nom_complet", "genre")).alias("first"), F.max("adresse").alias("adresse")
     )
@@ -268,7 +269,7 @@ def film_xref(films: DataFrame, bb_films: DataFrame, ms_films: DataFrame) -> Dat
     matched = bb_films.select(F.col("film_id").alias("source_film_id"), title_key(F.col("titre")).alias("k"))
     return union_all(
         own("MS", ms_films, F.col("source_id").cast("string")), own("BB", bb_films, F.col("source_id")),
-        matched.join(by_title, "k").select(F.lit("BB").alias("source"), "source_film_id", "film_id"),
+        growing_join(matched, by_title, ["k"]).select(F.lit("BB").alias("source"), "source_film_id", "film_id"),
     )
 
 
@@ -288,7 +289,7 @@ def actor_xref(actors: DataFrame, bb: DataFrame, ms: DataFrame) -> DataFrame:
         df.select(F.lit(s).alias("source"), F.col("acteur_id").alias("source_acteur_id"), title_key(F.col("nom")).alias("k"))
         for s, df in (("BB", bb), ("MS", ms))
     ])
-    return each.join(keyed, "k").drop("k")
+    return growing_join(each, keyed, ["k"]).drop("k")
 
 
 def int_joue_dans(bb: DataFrame, ms: DataFrame, films: DataFrame, actors: DataFrame) -> DataFrame:
@@ -328,7 +329,9 @@ def _as_product(df: DataFrame, store: int, kind: str, title: Column, **cols: Col
 def build_products(branches: list[DataFrame]) -> DataFrame:
     """One product per (title, type, store); each other column is its minimum over the copies."""
     copies = union_all(*branches).where(F.col("titre").isNotNull())
-    merged = dedup_group_min(copies, {k: F.col(k) for k in _PRODUCT_KEY}, ["sous_type", "prix_inventaire", "date_inventaire", "film_id"])
+    # texts are keys here and only numbers are reduced: a hash aggregate over the many copies
+    kinds = dedup_group_min(copies, {k: F.col(k) for k in (*_PRODUCT_KEY, "sous_type")}, ["prix_inventaire", "date_inventaire", "film_id"])
+    merged = dedup_group_min(kinds, {k: F.col(k) for k in _PRODUCT_KEY}, ["sous_type", "prix_inventaire", "date_inventaire", "film_id"])
     return surrogate_keys(merged, _PRODUCT_KEY, "produit_id")
 
 
@@ -350,8 +353,13 @@ def int_produit(s: Stage) -> DataFrame:
     """Products of the six kinds of copies, gadgets and rentals."""
     xref, films = s["film_xref"], s["int_film"]
     film_title = F.col("titre")
-    bb_films = s["bb_vente_film"].groupBy("film_id").agg(F.min("type_produit").alias("sous_type"), F.min("prix_inventaire").alias("prix_inventaire"))
-    ms_copies = [s[name].groupBy("film_id").agg(F.min("type_copie").alias("sous_type")) for name in ("ms_copie_location", "ms_copie_vente")]
+    bb_films = s["bb_vente_film"].groupBy("film_id", F.col("type_produit").alias("sous_type")).agg(
+        F.min("prix_inventaire").alias("prix_inventaire")
+    )
+    ms_copies = [
+        s[name].select("film_id", F.col("type_copie").alias("sous_type")).distinct()
+        for name in ("ms_copie_location", "ms_copie_vente")
+    ]
     mmm_films = s["mmm_location_film"].select("film_ref_id").distinct()
     named = lambda df, **kw: {**{c: F.col(c) for c in ("sous_type", "prix_inventaire", "film_id") if c in df.columns}, **kw}
     bb = _with_film(bb_films, "BB", xref, films)

@@ -72,7 +72,7 @@ class RawSources:
             "concat('T', c_custkey) AS code",
             "concat('T', CASE WHEN c_acctbal > 4500 THEN upper(c_mktsegment) ELSE lower(c_mktsegment) END) AS firstname",
             f"concat('T', {_BLOCK}) AS lastname",
-            f"date_format({_BIRTH}, CASE WHEN c_custkey % 2 = 0 THEN 'MM/dd/yy' ELSE 'MM/dd/yyyy' END) AS dob",
+            f"IF(c_custkey % 2 = 0, date_format({_BIRTH}, 'MM/dd/yy'), date_format({_BIRTH}, 'MM/dd/yyyy')) AS dob",
             "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'TFemale' ELSE 'TMale' END AS sex",
         )
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from reelhouse.operators.dedup import upsert_by_key
 from reelhouse.operators.shape import coerce_decimals
 
 
@@ -114,6 +115,35 @@ def replace_table(df: DataFrame, table: str) -> None:
     spark.sql(f"DROP TABLE {old}")
 
 
+def upsert_table(
+    table: str, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None, partition: str | None = None,
+) -> None:
+    """Insert or update rows of a stored table by key.
+
+    With a ``partition`` column, as in facts stored by year, only the partitions that hold an
+    updated row before or after the change are rewritten. Their number is that of the years
+    touched, which is why they may pass through the driver.
+    """
+    spark = updates.sparkSession
+    target = spark.table(table)
+    if partition is None:
+        replace_table(upsert_by_key(target, updates, keys, update_cols), table)
+        return
+    held = target.join(updates.select(*keys), keys, "left_semi").select(partition)
+    touched = [row[0] for row in held.unionByName(updates.select(partition)).distinct().collect()]
+    if not touched:
+        return
+    beside = f"{table}_{uuid.uuid4().hex[:8]}"
+    merged = upsert_by_key(target.where(F.col(partition).isin(touched)), updates, keys, update_cols)
+    fact_partition_by_year(merged, beside, partition)
+    staged = spark.table(beside)
+    staged.select(*target.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    kept = {row[0] for row in staged.select(partition).distinct().collect()}
+    for emptied in set(touched) - kept:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {emptied})")
+    spark.sql(f"DROP TABLE {beside}")
+
+
 def reporting_views(frames: dict[str, DataFrame]) -> None:
     """Expose the star model's frames to SQL under their names."""
     for name, df in frames.items():
