@@ -7,6 +7,7 @@ anything is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import partial
 
@@ -24,7 +25,7 @@ class Level:
 
     dim: str
     columns: tuple[str, ...]
-    caption: Column | None = None
+    caption: Callable[[], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -55,16 +56,16 @@ class CubeSpec:
 # The hierarchy levels, each with the columns that make its members unique.
 LEVELS = {
     "Year": Level("Time", ("annee",)),
-    "Quarter": Level("Time", ("annee", "trimestre"), F.concat(F.lit("Q"), F.col("trimestre").cast("string"))),
-    "Month": Level("Time", ("annee", "trimestre", "mois"), F.col("nom_mois")),
+    "Quarter": Level("Time", ("annee", "trimestre"), lambda: F.concat(F.lit("Q"), F.col("trimestre").cast("string"))),
+    "Month": Level("Time", ("annee", "trimestre", "mois"), lambda: F.col("nom_mois")),
     "Day": Level("Time", ("annee", "trimestre", "mois", "jour")),
     "Type": Level("Product", ("type",)),
     "Subtype": Level("Product", ("type", "sous_type")),
-    "Product": Level("Product", ("type", "sous_type", "produit_id"), F.col("titre")),
-    "Store": Level("Store", ("magasin_id",), F.col("nom_magasin")),
+    "Product": Level("Product", ("type", "sous_type", "produit_id"), lambda: F.col("titre")),
+    "Store": Level("Store", ("magasin_id",), lambda: F.col("nom_magasin")),
     "Age Group": Level("Client", ("tranche_age",)),
     "Gender": Level("Client", ("genre",)),
-    "Client": Level("Client", ("client_id",), client_caption(F.col("prenom"), F.col("nom"))),
+    "Client": Level("Client", ("client_id",), lambda: client_caption(F.col("prenom"), F.col("nom"))),
 }
 # Drill paths. Clients have two independent ones.
 TIME_PATH = ("annee", "trimestre", "mois", "jour")
@@ -221,7 +222,7 @@ def year_filtered_total(fact: DataFrame, measure: str, year: int, store: int | N
 def level_members(dim: DataFrame, level: str) -> DataFrame:
     """Members of a level from the dimension, with caption, whether or not they have facts."""
     spec = LEVELS[level]
-    caption = F.col(spec.columns[-1]) if spec.caption is None else spec.caption
+    caption = F.col(spec.columns[-1]) if spec.caption is None else spec.caption()
     return dim.select(*spec.columns, caption.cast("string").alias("caption")).distinct()
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from reelhouse.functions.measures import ratio_measures
 
-_ROWS = F.count(F.lit(1))
+def _rows():
+    return F.count(F.lit(1))
 
 
 def _percent(part, whole):
@@ -17,13 +18,13 @@ def _percent(part, whole):
 
 def row_count_report(tables: dict[str, DataFrame]) -> DataFrame:
     """(tbl, nb) for each table."""
-    counts = [df.agg(_ROWS.alias("nb")).select(F.lit(name).alias("tbl"), "nb") for name, df in tables.items()]
+    counts = [df.agg(_rows().alias("nb")).select(F.lit(name).alias("tbl"), "nb") for name, df in tables.items()]
     return reduce(DataFrame.unionAll, counts)
 
 
 def count_by_source(sales: DataFrame) -> DataFrame:
     """Rows per source code."""
-    return sales.groupBy("source").agg(_ROWS.alias("nb"))
+    return sales.groupBy("source").agg(_rows().alias("nb"))
 
 
 def director_coverage(films: DataFrame) -> DataFrame:
@@ -36,8 +37,8 @@ def director_coverage(films: DataFrame) -> DataFrame:
 
 def null_rate_profile(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
     """(table, col, n_null, n, pct) per column."""
-    totals = df.agg(_ROWS.alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    long = totals.unpivot(["n"], cols, "col", "n_null")
+    missing = [F.struct(F.lit(c).alias("col"), F.count_if(F.col(c).isNull()).alias("n_null")) for c in cols]
+    long = df.agg(_rows().alias("n"), F.array(*missing).alias("missing")).select("n", F.inline("missing"))
     return long.select(
         F.lit(table).alias("table"), "col", "n_null", "n", _percent(F.col("n_null"), F.col("n")).alias("pct")
     )
@@ -45,9 +46,9 @@ def null_rate_profile(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
 
 def duplicate_rate(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows beyond the first of their key: (n_dup, n, pct)."""
-    groups = df.groupBy(*keys).agg(_ROWS.alias("c"))
+    groups = df.groupBy(*keys).agg(_rows().alias("_copies"))
     totals = groups.agg(
-        F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n_dup"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("n_dup"), F.coalesce(F.sum("_copies"), F.lit(0)).alias("n")
     )
     return totals.withColumn("pct", _percent(F.col("n_dup"), F.col("n")))
 
@@ -58,7 +59,7 @@ def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key
     Rows are counted per key before the join, so a busy key is one row there. NULL keys are
     orphans.
     """
-    per_key = child.groupBy(F.col(child_key).alias("k")).agg(_ROWS.alias("c"))
+    per_key = child.groupBy(F.col(child_key).alias("k")).agg(_rows().alias("c"))
     known = parent.select(F.col(parent_key).alias("k")).distinct().withColumn("hit", F.lit(True))
     return per_key.join(known, "k", "left").agg(
         F.coalesce(F.sum(F.when(F.col("hit").isNull(), F.col("c"))), F.lit(0)).alias("n_orphan"),

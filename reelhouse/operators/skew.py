@@ -33,8 +33,8 @@ def broadcast_sized(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys holding more than ``share`` of the rows: never more than 1/share of them."""
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = df.where(_all_set(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > total * F.lit(share)).select(*on)
+    counts = df.where(_all_set(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > total * F.lit(share)).select(*on)
 
 
 def salted_join(

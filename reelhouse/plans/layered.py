@@ -67,12 +67,13 @@ def _bb_people(src) -> DataFrame:
     }, src.bb_customer)
 
 
-_BB_PERSON = (F.lower("prenom"), F.lower("nom"), F.col("date_naissance"))
+def _bb_person() -> list[Column]:
+    return [F.lower("prenom"), F.lower("nom"), F.col("date_naissance")]
 
 
 def bb_client(src) -> DataFrame:
     """Customers with the smallest source code of each person; codes are text, so '10' precedes '9'."""
-    kept = dedup_keep_first(_bb_people(src), list(_BB_PERSON), [F.col("source_code")])
+    kept = dedup_keep_first(_bb_people(src), _bb_person(), [F.col("source_code")])
     return surrogate_keys(kept, ["source_code"], "client_id")
 
 
@@ -81,7 +82,7 @@ def bb_client_codes(src, clients: DataFrame) -> DataFrame:
     names = ["k_prenom", "k_nom", "k_date"]
     # a person without a birth date is still one group, so missing parts count as equal here
     keyed = lambda df: df.withColumns({
-        n: F.coalesce(e.cast("string"), F.lit("")) for n, e in zip(names, _BB_PERSON)
+        n: F.coalesce(e.cast("string"), F.lit("")) for n, e in zip(names, _bb_person())
     })
     known = keyed(clients).select("client_id", *names)
     return growing_join(keyed(_bb_people(src)).select("source_code", *names), known, names).select("source_code", "client_id")
@@ -211,13 +212,10 @@ def _with_mmm_client(df: DataFrame, clients: DataFrame) -> DataFrame:
     return _lookup(df, known, "person", "person", "client_id")
 
 
-_MMM_PERSON = _mmm_person(_stripped("cust_name"), "birthdate")
-
-
 def mmm_location_film(src, clients: DataFrame) -> DataFrame:
     rentals = mapped({
         "source_id": F.col("ref_no"), "film_ref_id": F.col("movie_id"), "date_debut": F.to_date("date_from"),
-        "date_fin": F.to_date("date_to"), "prix_jour": _money("price_rent"), "person": _MMM_PERSON,
+        "date_fin": F.to_date("date_to"), "prix_jour": _money("price_rent"), "person": _mmm_person(_stripped("cust_name"), "birthdate"),
     }, src.mmm_movierentals)
     return _with_mmm_client(rentals, clients)
 
@@ -226,7 +224,7 @@ def mmm_vente_film(src, clients: DataFrame) -> DataFrame:
     """Film sales; a missing price is kept as NULL."""
     sales = mapped({
         "source_id": F.col("ref_no"), "film_ref_id": F.col("movie_id"), "date_vente": F.to_date("sale_date"),
-        "prix_vente": _money("price_sale"), "person": _MMM_PERSON,
+        "prix_vente": _money("price_sale"), "person": _mmm_person(_stripped("cust_name"), "birthdate"),
     }, src.mmm_moviesales)
     return _with_mmm_client(sales, clients)
 
@@ -235,7 +233,7 @@ def mmm_vente_gadget(src, clients: DataFrame) -> DataFrame:
     sales = mapped({
         "source_id": F.col("ref_no"), "type_gadget": _stripped("gadget_type"), "titre_gadget": _stripped("gadget_title"),
         "date_vente": F.to_date("sale_date"), "prix_vente": _money("price_sale"), "prix_inventaire": _money("inv_price"),
-        "date_inventaire": F.to_date("inv_date"), "person": _MMM_PERSON,
+        "date_inventaire": F.to_date("inv_date"), "person": _mmm_person(_stripped("cust_name"), "birthdate"),
     }, src.mmm_gadgetsales)
     return _with_mmm_client(sales, clients)
 

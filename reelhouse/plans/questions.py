@@ -13,7 +13,8 @@ from reelhouse.operators.joins import label_join
 from reelhouse.operators.measures import renters_by_gender
 from reelhouse.operators.periods import mom_change_pct, reaggregate_monthly, topn_per_group, top_members
 
-_PERIOD = period_label(F.col("annee"), F.col("mois")).alias("Periode")
+def _period():
+    return period_label(F.col("annee"), F.col("mois")).alias("Periode")
 
 
 def _store_names(stores: DataFrame) -> DataFrame:
@@ -28,14 +29,14 @@ def q1_movies_by_month(agg_sales_product: DataFrame, products: DataFrame) -> Dat
     """Film revenue per month, best first inside the month."""
     films = label_join(agg_sales_product.where(F.col("type_produit") == "film"), {"produit_id": _titles(products)})
     ordered = films.orderBy("annee", "mois", F.col("ca_total").desc())
-    return ordered.select(_PERIOD, "Film", F.col("ca_total").alias("CA_EUR"), F.col("nb_ventes").alias("Nb_Ventes"))
+    return ordered.select(_period(), "Film", F.col("ca_total").alias("CA_EUR"), F.col("nb_ventes").alias("Nb_Ventes"))
 
 
 def q2_revenue_by_store(agg_sales_store: DataFrame, stores: DataFrame) -> DataFrame:
     """Month by store."""
     named = label_join(agg_sales_store, {"magasin_id": _store_names(stores)})
     return named.orderBy("annee", "mois", "Magasin").select(
-        _PERIOD, "Magasin", F.col("ca_total").alias("CA_EUR"), F.col("nb_ventes").alias("Nb_Ventes"),
+        _period(), "Magasin", F.col("ca_total").alias("CA_EUR"), F.col("nb_ventes").alias("Nb_Ventes"),
         F.col("nb_clients").alias("Nb_Clients"),
     )
 
@@ -54,7 +55,7 @@ def q4_rentals_by_store(agg_rentals: DataFrame, products: DataFrame, stores: Dat
     named = label_join(agg_rentals, {"produit_id": _titles(products), "magasin_id": _store_names(stores)})
     ordered = named.orderBy("annee", "mois", "Magasin", F.col("nb_locations").desc())
     return ordered.select(
-        "Magasin", _PERIOD, "Film", F.col("nb_locations").alias("Nb_Locations"), F.col("ca_total").alias("CA_EUR")
+        "Magasin", _period(), "Film", F.col("nb_locations").alias("Nb_Locations"), F.col("ca_total").alias("CA_EUR")
     )
 
 
@@ -67,7 +68,7 @@ def q5_rental_trends(agg_rentals: DataFrame) -> DataFrame:
     """Monthly rentals with the percent change on the previous existing month."""
     trend = mom_change_pct(monthly_rentals(agg_rentals), "nb_locations", "Variation_Pct").orderBy("annee", "mois")
     return trend.select(
-        _PERIOD, F.col("nb_locations").alias("Nb_Locations"), F.col("ca_total").cast("decimal(22,2)").alias("CA_EUR"),
+        _period(), F.col("nb_locations").alias("Nb_Locations"), F.col("ca_total").cast("decimal(22,2)").alias("CA_EUR"),
         "Variation_Pct",
     )
 

@@ -120,7 +120,7 @@ def upsert_table(
 ) -> None:
     """Insert or update rows of a stored table by key.
 
-    With a ``partition`` column, as in facts stored by year, only the partitions that hold an
+    With an integer ``partition`` column, as in facts stored by year, only the partitions that hold an
     updated row before or after the change are rewritten. Their number is that of the years
     touched, which is why they may pass through the driver.
     """
@@ -136,11 +136,16 @@ def upsert_table(
     beside = f"{table}_{uuid.uuid4().hex[:8]}"
     merged = upsert_by_key(target.where(F.col(partition).isin(touched)), updates, keys, update_cols)
     fact_partition_by_year(merged, beside, partition)
-    staged = spark.table(beside)
-    staged.select(*target.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-    kept = {row[0] for row in staged.select(partition).distinct().collect()}
-    for emptied in set(touched) - kept:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {emptied})")
+    filled = {row[0] for row in spark.table(beside).select(partition).distinct().collect()}
+    others = ", ".join(c for c in target.columns if c != partition)
+    for value in touched:
+        if value in filled:
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = {value}) "
+                f"SELECT {others} FROM {beside} WHERE {partition} = {value}"
+            )
+        else:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
     spark.sql(f"DROP TABLE {beside}")
 
 
