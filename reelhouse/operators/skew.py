@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-# Up to this many input bytes no single key can be too large for one task.
-PLAIN_JOIN_BYTES = 8 << 30
-HOT_SHARE = 0.01
-SALTS = 64
+# Up to this many input bytes a plain shuffle join copes with any key.
+PLAIN_JOIN_BYTES = 1 << 30
+# A key with a larger share of the rows is cut into pieces of about this share.
+PIECE_SHARE = 1e-5
 
 
 def input_bytes(df: DataFrame) -> int | None:
@@ -30,38 +30,38 @@ def broadcast_sized(df: DataFrame) -> bool:
         return False
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: never more than 1/share of them."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+def hot_keys(df: DataFrame, on: list[str], share: float = PIECE_SHARE) -> DataFrame:
+    """Keys holding more than ``share`` of the rows that have one, and ``_pieces`` to cut each into.
+
+    There are fewer than 1/share of them and fewer than 2/share pieces in all, whatever the
+    data. One counting pass, of which the total reuses the shuffled counts.
+    """
     counts = df.where(_all_set(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > total * F.lit(share)).select(*on)
+    piece = counts.agg(F.sum("_n")).scalar() * F.lit(share)
+    hot = counts.where(F.col("_n") > piece)
+    return hot.select(*on, F.ceil(F.col("_n") / F.greatest(piece, F.lit(1.0))).cast("int").alias("_pieces"))
 
 
 def salted_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-    hot: Callable[[], DataFrame] | None = None, salts: int = SALTS,
+    hot: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
-    """Equi-join whose hot left keys are spread over ``salts`` sub-keys.
+    """Equi-join in which a hot left key is cut into pieces in proportion to its rows.
 
-    The right rows of a hot key are repeated once per sub-key, so every pair still meets
-    exactly once. The sub-key is a hash of the left row, so a retried task repeats it. In a
-    left join NULL keys, which can never match, are spread the same way.
+    The right rows of a hot key are repeated once per piece, so every pair still meets exactly
+    once. The piece is a hash of the left row, so a retried task repeats it. In left and anti
+    joins NULL keys, which can never match, are spread the same way.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot preserve the right side: {how}")
-    hot = hot_keys(left, on) if hot is None else hot()
-    marked_hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))  # at most 1/share rows
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    lonely = F.lit(False) if how == "inner" else ~_all_set(on)
-    salted_left = (
-        left.join(marked_hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | lonely, spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.join(marked_hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    )
+    pieces = F.broadcast(hot_keys(left, on) if hot is None else hot())  # fewer than 1/share rows
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    count = F.coalesce(F.col("_pieces"), F.lit(1))
+    if how != "inner":
+        count = F.when(_all_set(on), count).otherwise(F.lit(int(1 / PIECE_SHARE)))
+    salted_left = left.join(pieces, on, "left").withColumn("_salt", F.pmod(row_hash, count)).drop("_pieces")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces"), F.lit(1)).cast("bigint") - 1)
+    salted_right = right.join(pieces, on, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 

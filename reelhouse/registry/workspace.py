@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -66,14 +66,15 @@ class Workspace:
         return rentals_cube(self.direct["fait_locations"], self.dims, self.direct["agg_locations_mois_produit_magasin"])
 
 
-@lru_cache(maxsize=8)
-def _workspace(application: str, folder: str) -> Workspace:
-    return Workspace(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate(), folder)
+_WORKSPACES: dict[tuple[str, str], Workspace] = {}
 
 
 def workspace(spark: SparkSession, folder: str) -> Workspace:
     """The folder's workspace in this Spark application."""
-    return _workspace(spark.sparkContext.applicationId, str(folder).rstrip("/"))
+    key = (spark.sparkContext.applicationId, str(folder).rstrip("/"))
+    if key not in _WORKSPACES:
+        _WORKSPACES[key] = Workspace(spark, key[1])
+    return _WORKSPACES[key]
 
 
 def settled(df: DataFrame) -> DataFrame:
