@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reelhouse.functions.text import title_key
 from reelhouse.operators.dedup import dedup_keep_first
 from reelhouse.operators.shape import route_rows
-from reelhouse.operators.skew import growing_join
+from reelhouse.operators.skew import chained_join, growing_join
 
 
 def with_keys(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
@@ -29,9 +29,7 @@ def star_join_inner(src: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
     Unmatched rows drop; a dimension with several rows per key multiplies the source rows.
     """
-    for key, dim in dims.items():
-        src = growing_join(src, dim, [key])
-    return src
+    return chained_join(src, [(dim, [key]) for key, dim in dims.items()])
 
 
 def join_on_title_key(left: DataFrame, right: DataFrame, left_title: str, right_title: str) -> DataFrame:
@@ -118,7 +116,7 @@ def resolve_bridge_keys(pairs: DataFrame, films: DataFrame, actors: DataFrame) -
     wanted = pairs.select("film_source_id", "acteur_source_id").distinct()
     film_ids = films.select(F.col("source_id").alias("film_source_id"), "film_id")
     actor_ids = actors.select(F.col("source_id").alias("acteur_source_id"), "acteur_id")
-    resolved = growing_join(growing_join(wanted, film_ids, ["film_source_id"]), actor_ids, ["acteur_source_id"])
+    resolved = chained_join(wanted, [(film_ids, ["film_source_id"]), (actor_ids, ["acteur_source_id"])])
     return resolved.select("film_id", "acteur_id").distinct()
 
 

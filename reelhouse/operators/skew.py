@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -81,6 +82,15 @@ def growing_join(
     return salted_join(left, right, on, how, hot)
 
 
+def chained_join(left: DataFrame, joins: list[tuple[DataFrame, list[str]]], how: str = "inner") -> DataFrame:
+    """Growing joins one after the other. Keys ``left`` already has are counted there, not on a joined frame."""
+    joined = left
+    for right, on in joins:
+        hot = partial(hot_keys, left, on) if set(on) <= set(left.columns) else None
+        joined = growing_join(joined, right, on, how, hot)
+    return joined
+
+
 def _all_set(on: list[str]):
     test = F.lit(True)
     for name in on:

@@ -20,7 +20,7 @@ from reelhouse.operators.shape import (
     rental_measures, required_fields_filter, sale_flags, stored_margin, union_all, union_distinct,
     valid_interval_filter,
 )
-from reelhouse.operators.skew import growing_join, hot_keys
+from reelhouse.operators.skew import chained_join, growing_join
 from reelhouse.plans.stage import Stage
 from reelhouse.sources.tables import mapped
 
@@ -218,8 +218,7 @@ def rental_events(src, min_days: int = 1) -> DataFrame:
 
 def _resolve(events: DataFrame, calendar: DataFrame, products: DataFrame, clients: DataFrame) -> DataFrame:
     dated = events.join(F.broadcast(calendar.select("date_complete", "temps_id")), "date_complete")  # one row per day
-    with_products = growing_join(dated, products, _PRODUCT_REF, hot=lambda: hot_keys(events, _PRODUCT_REF))
-    return growing_join(with_products, clients, _CLIENT_REF, hot=lambda: hot_keys(events, _CLIENT_REF))
+    return chained_join(dated, [(products, _PRODUCT_REF), (clients, _CLIENT_REF)])
 
 
 def union_sales(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, keep_unpriced_gadgets: bool = False) -> DataFrame:

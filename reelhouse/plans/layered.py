@@ -19,7 +19,7 @@ from reelhouse.operators.shape import (
     append_streams, rental_measures, route_rows, sale_flags, stock_vs_sale_split, stored_margin, tag_source,
     union_all, valid_interval_filter,
 )
-from reelhouse.operators.skew import growing_join
+from reelhouse.operators.skew import chained_join, growing_join
 from reelhouse.plans import summaries
 from reelhouse.plans.stage import Stage
 from reelhouse.sources.tables import mapped
@@ -35,9 +35,13 @@ def _money(name: str) -> Column:
     return F.col(name).cast(_MONEY)
 
 
-def _lookup(df: DataFrame, ref: DataFrame, key: str, ref_key: str, value: str) -> DataFrame:
-    """Add ``value`` of the reference row with the same key, NULL without one; keys are unique there."""
-    return growing_join(df, ref.select(F.col(ref_key).alias(key), value), [key], "left").drop(key)
+def _lookup(df: DataFrame, *refs: tuple[str, DataFrame, str, str]) -> DataFrame:
+    """Replace each key by a value of the reference row that has it, NULL without one.
+
+    Lookups are (key, reference, key there, value there); keys are unique in the reference.
+    """
+    joins = [(ref.select(F.col(ref_key).alias(key), value), [key]) for key, ref, ref_key, value in refs]
+    return chained_join(df, joins, "left").drop(*[key for key, *_ in refs])
 
 
 # --- first source -------------------------------------------------------------------------
@@ -96,8 +100,9 @@ def bb_vente_film(src, films: DataFrame, client_codes: DataFrame) -> DataFrame:
         "prix_inventaire": _money("inventory_price"), "type_produit": _stripped("type"),
         "client_code": _stripped("cust_id"), "film_code": _stripped("refers_to"),
     }, sold)
-    with_client = _lookup(sales, client_codes, "client_code", "source_code", "client_id")
-    return _lookup(with_client, films, "film_code", "source_id", "film_id")
+    return _lookup(
+        sales, ("client_code", client_codes, "source_code", "client_id"), ("film_code", films, "source_id", "film_id")
+    )
 
 
 def bb_vente_gadget(src, client_codes: DataFrame) -> DataFrame:
@@ -106,7 +111,7 @@ def bb_vente_gadget(src, client_codes: DataFrame) -> DataFrame:
         "date_vente": F.to_date("sale_date"), "prix_vente": _money("sale_price"), "prix_inventaire": _money("price"),
         "client_code": _stripped("cust_id"),
     }, src.bb_gadget)
-    return _lookup(sales, client_codes, "client_code", "source_code", "client_id")
+    return _lookup(sales, ("client_code", client_codes, "source_code", "client_id"))
 
 
 # --- second source ------------------------------------------------------------------------
@@ -148,7 +153,7 @@ def ms_copie_location(src, films: DataFrame) -> DataFrame:
         "source_id": F.col("id"), "type_copie": _stripped("copy_type"), "disposed": F.col("disposed"),
         "film_code": F.col("movie_id"),
     }, src.ms_copy_for_rent)
-    return surrogate_keys(_lookup(copies, films, "film_code", "source_id", "film_id"), ["source_id"], "copie_id")
+    return surrogate_keys(_lookup(copies, ("film_code", films, "source_id", "film_id")), ["source_id"], "copie_id")
 
 
 def ms_copie_vente(src, films: DataFrame, clients: DataFrame) -> DataFrame:
@@ -157,8 +162,9 @@ def ms_copie_vente(src, films: DataFrame, clients: DataFrame) -> DataFrame:
         "prix_vente": _money("sale_price"), "date_vente": F.to_date("sale_date"),
         "film_code": F.col("movie_id"), "client_code": F.col("soldto"),
     }, src.ms_copy_for_sale)
-    with_film = _lookup(copies, films, "film_code", "source_id", "film_id")
-    return _lookup(with_film, clients, "client_code", "source_code", "client_id")
+    return _lookup(
+        copies, ("film_code", films, "source_id", "film_id"), ("client_code", clients, "source_code", "client_id")
+    )
 
 
 def ms_location(src, copies: DataFrame, clients: DataFrame) -> DataFrame:
@@ -166,8 +172,9 @@ def ms_location(src, copies: DataFrame, clients: DataFrame) -> DataFrame:
         "date_debut": F.to_date("from_date"), "date_fin": F.to_date("to_date"), "prix_jour": _money("price_day"),
         "copy_code": F.col("copy_id"), "client_code": F.col("cust_id"),
     }, src.ms_copy_rented_to)
-    with_copy = _lookup(rentals, copies, "copy_code", "source_id", "copie_id")
-    return _lookup(with_copy, clients, "client_code", "source_code", "client_id")
+    return _lookup(
+        rentals, ("copy_code", copies, "source_id", "copie_id"), ("client_code", clients, "source_code", "client_id")
+    )
 
 
 # --- third source -------------------------------------------------------------------------
@@ -209,7 +216,7 @@ def _mmm_person(name: Column, dob: str) -> Column:
 
 def _with_mmm_client(df: DataFrame, clients: DataFrame) -> DataFrame:
     known = clients.withColumn("person", _mmm_person(F.col("nom_complet"), "date_naissance"))
-    return _lookup(df, known, "person", "person", "client_id")
+    return _lookup(df, ("person", known, "person", "client_id"))
 
 
 def mmm_location_film(src, clients: DataFrame) -> DataFrame:
@@ -296,8 +303,8 @@ def int_joue_dans(bb: DataFrame, ms: DataFrame, films: DataFrame, actors: DataFr
         df.select(F.lit(s).alias("source"), F.col("film_id").alias("source_film_id"), F.col("acteur_id").alias("source_acteur_id"))
         for s, df in (("BB", bb), ("MS", ms))
     ])
-    with_film = growing_join(links, films, ["source", "source_film_id"])
-    return growing_join(with_film, actors, ["source", "source_acteur_id"]).select("film_id", "acteur_id").distinct()
+    joined = chained_join(links, [(films, ["source", "source_film_id"]), (actors, ["source", "source_acteur_id"])])
+    return joined.select("film_id", "acteur_id").distinct()
 
 
 def int_client(bb: DataFrame, ms: DataFrame, mmm: DataFrame) -> DataFrame:
@@ -381,8 +388,8 @@ def _integrated(rows: DataFrame, s: Stage) -> DataFrame:
     """Attach integrated client and product ids to rows tagged with store, source, title and type."""
     clients = s["int_client"].select("source", F.col("source_client_id").alias("_client"), "client_id")
     products = s["int_produit"].select("produit_id", *_PRODUCT_KEY)
-    with_client = growing_join(rows.withColumnRenamed("client_id", "_client"), clients, ["source", "_client"], "left")
-    return growing_join(with_client, products, _PRODUCT_KEY, "left")
+    renamed = rows.withColumnRenamed("client_id", "_client")
+    return chained_join(renamed, [(clients, ["source", "_client"]), (products, _PRODUCT_KEY)], "left")
 
 
 def int_vente(s: Stage) -> DataFrame:

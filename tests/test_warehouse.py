@@ -144,11 +144,11 @@ def test_salted_load_equals_plain_load(ws, rows, monkeypatch):
 
     monkeypatch.setattr(skew, "broadcast_sized", lambda df: False)
     monkeypatch.setattr(skew, "input_bytes", lambda df: None)
-    products, clients = ws.direct["dim_produit"], ws.direct["dim_client"]
-    assert rows(direct.union_sales(ws.src, ws.calendar, products, clients)) == rows(ws.direct["fait_ventes"], *direct.union_sales(ws.src, ws.calendar, products, clients).columns)
-    salted = layered.layered_warehouse(ws.spark, ws.src, ws.calendar, ws.stores)
+    sales = direct.union_sales(ws.src, ws.calendar, ws.direct["dim_produit"], ws.direct["dim_client"])
+    assert rows(sales) == rows(ws.direct["fait_ventes"], *sales.columns)
     for name in ("int_joue_dans", "bb_vente_film", "mmm_location_film"):
-        assert rows(salted.plan(name)) == rows(ws.layered[name], *salted.plan(name).columns)
+        salted = ws.layered.plan(name)
+        assert rows(salted) == rows(ws.layered[name], *salted.columns)
 
 
 def test_upsert_keeps_unflagged_columns(ws):
