@@ -22,6 +22,11 @@ def title_key(col: Column) -> Column:
     return F.regexp_replace(F.lower(col), "[^a-z0-9]", "")
 
 
+def collated(col: Column, collation: str = "UNICODE_CI_AI") -> Column:
+    """Text that compares without regard to case and accents; for keys that should match that way."""
+    return F.collate(col, collation)
+
+
 def split_name_first_last(col: Column) -> tuple[Column, Column]:
     """First and last space-separated token; a single token gives both."""
     return F.substring_index(col, " ", 1), F.substring_index(col, " ", -1)

@@ -13,7 +13,7 @@ from reelhouse.functions.dates import parse_birth_date, parse_iso_date_guarded
 from reelhouse.functions.people import (
     age_at_ref, age_band, gender_from_flag, gender_from_label, gender_whitelist,
 )
-from reelhouse.functions.text import split_name_first_last, strip_one_prefix, title_key
+from reelhouse.functions.text import split_name_first_last, strip_one_prefix
 from reelhouse.operators.dedup import dedup_group_min, surrogate_keys
 from reelhouse.operators.joins import anti_join_lower, anti_join_title, join_on_title_key, person_keys
 from reelhouse.operators.shape import (

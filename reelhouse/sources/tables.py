@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelhouse.operators.dedup import upsert_by_key
@@ -33,10 +32,7 @@ def new_database(spark: SparkSession, name: str = "reelhouse") -> str:
 
 def is_loaded(spark: SparkSession, table: str) -> bool:
     """True when the table exists and holds a row; a missing table counts as empty."""
-    try:
-        return not spark.table(table).isEmpty()
-    except AnalysisException:
-        return False
+    return spark.catalog.tableExists(table) and not spark.table(table).isEmpty()
 
 
 def skip_if_loaded(df: DataFrame, table: str) -> bool:

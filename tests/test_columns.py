@@ -32,6 +32,13 @@ def test_title_key_lowers_first(values):
     ]
 
 
+def test_collated_keys_ignore_case_and_accents(spark):
+    names = spark.createDataFrame([("Émile",), ("emile",), ("EMILE",), ("Ann",)], "n string")
+    assert names.select(text.collated(F.col("n")).alias("n")).distinct().count() == 2
+    other = spark.createDataFrame([("émile",)], "n string").select(text.collated(F.col("n")).alias("n"))
+    assert names.select(text.collated(F.col("n")).alias("n")).join(other, "n").count() == 3
+
+
 def test_gender_readings(values):
     labels = ["TFemale", "TMale", "Tother", None]
     assert values(labels, people.gender_from_label) == ["F", "M", None, None]
