@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.llm import exact_dedup, mixing, secrets
+from reelhouse.llm import byte_bpe, exact_dedup, mixing, secrets, token_files
 from reelhouse.llm.common import table
 
 
@@ -18,9 +19,20 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("base_sha256", F.sha2("spans", 256))
 
 
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode_documents(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op6_mix_sources)}
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op6_mix_sources, op8_token_files)}
 CHECKS = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_secret_scan": secrets.ORACLE, "op6_mix_sources": mixing.ORACLE}
