@@ -11,6 +11,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from reelhouse.llm.common import ship
 from reelhouse.llm.pieces import TextCoder
 
 WORD, LOW = 6, 63  # a level of the bitmap has a bit for each 64-bit word of the level below
@@ -148,6 +149,7 @@ def _coder(file: Broadcast, pattern: str) -> tuple[ByteBpe, TextCoder]:
 
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The rank file, whose size is fixed by its vocabulary, for all executors."""
+    ship(spark)
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,3 +37,17 @@ def own_name(df: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in df.columns}:
         name = f"_{name}"
     return name
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, so that functions sent to them find it and keep what they loaded."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        held = tempfile.mkdtemp(prefix="reelhouse-")
+        code = shutil.copytree(package, f"{held}/code/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{held}/{package.name}", "zip", code.removesuffix(package.name)))
+        _shipped.add(context.applicationId)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from reelhouse.llm.common import stored
+from reelhouse.llm.common import ship, stored
 from reelhouse.llm.pieces import TextCoder
 from reelhouse.sources.tables import shared_folder
 
@@ -60,6 +60,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, doc_id: str
     before the row in it. Equal doc_ids are ordered by a hash of their text. Null text counts as empty: its only token is
     ``end_id``.
     """
+    ship(docs.sparkSession)
     with open(path) as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -165,6 +166,7 @@ class Code:
 def write_files(staged: DataFrame, folder: str) -> None:
     """Code the staged ids by their global counts into a new ``folder``."""
     spark = staged.sparkSession
+    ship(spark)
     counts = id_counts(staged).toPandas()  # one row per id of the vocabulary at most
     if len(counts):
         counts["bits"] = code_lengths(counts["n"].to_numpy())
@@ -206,6 +208,7 @@ def _block(code: Code, held: list) -> pa.RecordBatch:
 def read_files(spark: SparkSession, folder: str, each: Callable[[np.ndarray], object], column: str) -> DataFrame:
     """One row per document, read from the files: doc_id, start (tokens of all documents before it), n_tokens,
     and ``each`` of its ids as ``column`` ("name type")."""
+    ship(spark)
     code = spark.read.parquet(f"{folder}/code").toPandas()  # the vocabulary at most
     table = spark.sparkContext.broadcast((code["id"].to_numpy(np.int64), code["bits"].to_numpy(np.int64)))
     blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
