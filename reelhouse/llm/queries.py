@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.llm import byte_bpe, exact_dedup, mixing, secrets, token_files
+from reelhouse.llm import byte_bpe, exact_dedup, language, mixing, secrets, token_files, toxicity
 from reelhouse.llm.common import table
 
 
@@ -29,10 +29,24 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.learn_model(docs, table(spark, folder, "labels"), ~toxicity.held_out())
+    rated = toxicity.scored(docs.select("doc_id", "text"), model)
+    return rated.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op6_mix_sources, op8_token_files)}
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    found = language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op6_mix_sources, op7_toxicity, op8_token_files,
+    op10_language)}
 CHECKS = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_secret_scan": secrets.ORACLE, "op6_mix_sources": mixing.ORACLE}
