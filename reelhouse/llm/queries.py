@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.llm import byte_bpe, exact_dedup, language, mixing, secrets, token_files, toxicity
+from reelhouse.llm import byte_bpe, exact_dedup, language, main_text, mixing, secrets, token_files, toxicity, vector_search
 from reelhouse.llm.common import table
 
 
@@ -25,6 +25,15 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = main_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op5_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,6 +56,6 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op6_mix_sources, op7_toxicity, op8_token_files,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op4_main_text, op5_vector_search, op6_mix_sources, op7_toxicity, op8_token_files,
     op10_language)}
 CHECKS = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_secret_scan": secrets.ORACLE, "op6_mix_sources": mixing.ORACLE}
