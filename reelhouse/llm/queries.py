@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.llm import byte_bpe, exact_dedup, language, main_text, mixing, secrets, token_files, toxicity, vector_search
+from reelhouse.llm import byte_bpe, exact_dedup, language, main_text, mixing, near_dedup, secrets, token_files, toxicity, vector_search
 from reelhouse.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
     found = language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"), ~held_out)
@@ -57,5 +61,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op4_main_text, op5_vector_search, op6_mix_sources, op7_toxicity, op8_token_files,
-    op10_language)}
+    op9_near_dedup, op10_language)}
 CHECKS = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_secret_scan": secrets.ORACLE, "op6_mix_sources": mixing.ORACLE}
