@@ -18,10 +18,15 @@ def strip_all_prefix(col: Column, char: str = "T") -> Column:
 
 
 def title_key(col: Column) -> Column:
-    """Match key of a title or name: lower case first, then keep only a-z and 0-9."""
+    """Title or name reduced: lower case first, then keep only a-z and 0-9."""
     return F.regexp_replace(F.lower(col), "[^a-z0-9]", "")
 
 
+def match_key(col: Column) -> Column:
+    """The reduced title for joins; NULL, which never matches, if nothing is left of it."""
+    return F.nullif(title_key(col), F.lit(""))
+
+
 def collated(col: Column, collation: str = "UNICODE_CI_AI") -> Column:
     """Text that compares without regard to case and accents; for keys that should match that way."""
     return F.collate(col, collation)

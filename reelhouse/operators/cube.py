@@ -9,14 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelhouse.functions.measures import ratio_measures
 from reelhouse.functions.text import client_caption
 from reelhouse.operators.periods import top_members
-from reelhouse.operators.skew import growing_join, hot_keys
 
 
 @dataclass(frozen=True)
@@ -30,20 +28,24 @@ class Level:
 
 @dataclass(frozen=True)
 class Summary:
-    """A pre-aggregated table: {level: column} and {measure: column} it can answer."""
+    """A pre-aggregated table: {dimension column: its expression there} and {measure: column} it can answer.
+
+    ``grain`` ranks summaries by size, the smallest first.
+    """
 
     name: str
     frame: DataFrame
-    levels: dict[str, str]
+    columns: dict[str, str]
     measures: dict[str, str]
+    grain: int
 
 
 @dataclass(frozen=True)
 class CubeSpec:
     """A fact with its dimensions {name: (frame, key)}, measures {name: column} and summaries.
 
-    Answering from a summary needs all slices and levels to be declared there, in the order of
-    the declared list.
+    A slice member is a value of the level, or a tuple with its ancestors' values where the level's own value
+    isn't unique: ``2`` is the second quarter of every year, ``(1996, 2)`` that of one.
     """
 
     fact: DataFrame
@@ -90,6 +92,8 @@ CALCULATED = {
     "Avg Revenue per Rental": ("Rental Revenue", "Number of Rentals"),
     "Avg Duration (days)": ("Total Rental Days", "Number of Rentals"),
 }
+# Time columns of a summary by year and month.
+_MONTHS = {"annee": "annee", "trimestre": "CAST((mois + 2) DIV 3 AS INT)", "mois": "mois"}
 
 
 def sales_cube(fact: DataFrame, dims: dict, by_store: DataFrame | None = None, by_product: DataFrame | None = None) -> CubeSpec:
@@ -98,14 +102,14 @@ def sales_cube(fact: DataFrame, dims: dict, by_store: DataFrame | None = None, b
     if by_store is not None:
         summaries.append(Summary(
             "agg_ventes_mois_magasin", by_store,
-            {"Year": "annee", "Month": "mois", "Store": "magasin_id"},
-            {"Sales Revenue": "ca_total", "Gross Margin": "marge_totale", "Number of Sales": "nb_ventes"},
+            {**_MONTHS, "magasin_id": "magasin_id"},
+            {"Sales Revenue": "ca_total", "Gross Margin": "marge_totale", "Number of Sales": "nb_ventes"}, 1,
         ))
     if by_product is not None:
         summaries.append(Summary(
             "agg_ventes_mois_produit", by_product,
-            {"Year": "annee", "Month": "mois", "Product": "produit_id", "Type": "type_produit"},
-            {"Sales Revenue": "ca_total", "Number of Sales": "nb_ventes"},
+            {**_MONTHS, "type": "type_produit", "produit_id": "produit_id"},
+            {"Sales Revenue": "ca_total", "Number of Sales": "nb_ventes"}, 2,
         ))
     return CubeSpec(fact, dims, SALES_MEASURES, tuple(summaries))
 
@@ -114,8 +118,8 @@ def rentals_cube(fact: DataFrame, dims: dict, summary: DataFrame | None = None)
     """The rentals cube, with its summary if there is one."""
     summaries = () if summary is None else (Summary(
         "agg_locations_mois_produit_magasin", summary,
-        {"Year": "annee", "Month": "mois", "Product": "produit_id", "Store": "magasin_id"},
-        {"Rental Revenue": "ca_total", "Number of Rentals": "nb_locations", "Total Rental Days": "nb_jours_total"},
+        {**_MONTHS, "produit_id": "produit_id", "magasin_id": "magasin_id"},
+        {"Rental Revenue": "ca_total", "Number of Rentals": "nb_locations", "Total Rental Days": "nb_jours_total"}, 3,
     ),)
     return CubeSpec(fact, dims, RENTAL_MEASURES, summaries)
 
@@ -128,6 +132,19 @@ def slice_dice(cube: CubeSpec, members: dict[str, list]) -> CubeSpec:
     return replace(cube, slices=slices)
 
 
+def _in_slice(level: str, members: tuple, column: Callable[[str], Column] = F.col) -> Column:
+    """True for the members of a level's slice."""
+    names = LEVELS[level].columns
+    test = F.lit(False)
+    for m in members:
+        values = m if isinstance(m, tuple) else (m,)
+        own = F.lit(True)
+        for name, value in zip(names[-len(values):], values, strict=True):
+            own = own & (column(name) == F.lit(value))
+        test = test | own
+    return test
+
+
 def _level_columns(levels: list[str]) -> list[str]:
     columns: list[str] = []
     for name in levels:
@@ -152,13 +169,13 @@ def star(cube: CubeSpec, columns: list[str], measures: list[str]) -> DataFrame:
         frame = cube.dims[dim][0]
         for name, members in cube.slices.items():
             if LEVELS[name].dim == dim:
-                frame = frame.where(F.col(LEVELS[name].columns[-1]).isin(*members))
+                frame = frame.where(_in_slice(name, members))
         wanted = [c for c in columns if owner[c] == dim and c != key]
         frame = frame.select(key, *wanted)
         if dim in _BOUNDED:
             rows = rows.join(F.broadcast(frame), key)
         else:
-            rows = growing_join(rows, frame, [key], hot=partial(hot_keys, fact, [key]))
+            rows = rows.join(frame, key)
     return rows
 
 
@@ -240,21 +257,20 @@ def top_count(cube: CubeSpec, level: str, n: int, measure: str) -> DataFrame:
 
 
 def summary_router(cube: CubeSpec, levels: list[str], measures: list[str]) -> tuple[DataFrame, str]:
-    """Answer from the first declared summary that covers the request, else from the fact.
+    """Answer from the smallest declared summary that covers the request, else from the fact.
 
-    Both routes give the same columns: the level's own column and the measures. A summary
-    covers a request when it declares every level and slice, and every measure is a plain sum.
+    Both routes give the columns of ``measure_at_level``: each level with its ancestors, so that members
+    that share a name stay apart, and the measures. A summary covers a request when it has every column
+    of the levels and slices, and every measure is a plain sum.
     """
-    asked = [*levels, *cube.slices]
-    own = {name: LEVELS[name].columns[-1] for name in levels}
-    for summary in cube.summaries:
-        if set(asked) <= set(summary.levels) and set(measures) <= set(summary.measures):
+    columns = _level_columns(levels)
+    asked = {*columns, *_level_columns(list(cube.slices))}
+    for summary in sorted(cube.summaries, key=lambda s: s.grain):
+        if asked <= set(summary.columns) and set(measures) <= set(summary.measures):
+            at = lambda c: F.expr(summary.columns[c])  # noqa: B023, E731
             rows = summary.frame
             for name, members in cube.slices.items():
-                rows = rows.where(F.col(summary.levels[name]).isin(*members))
-            keys = [F.col(summary.levels[name]).alias(own[name]) for name in levels]
+                rows = rows.where(_in_slice(name, members, at))
             sums = [F.sum(summary.measures[m]).alias(m) for m in measures]
-            return rows.groupBy(*keys).agg(*sums), summary.name
-    columns = list(own.values())
-    rows = star(cube, columns, measures).groupBy(*columns)
-    return rows.agg(*[F.sum(m).alias(m) for m in measures]), "fact"
+            return rows.groupBy(*[at(c).alias(c) for c in columns]).agg(*sums), summary.name
+    return measure_at_level(cube, measures, levels), "fact"

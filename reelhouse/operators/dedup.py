@@ -41,24 +41,42 @@ def limit_one(df: DataFrame, key: list[str] | None = None, order_by: list[Column
 
 
 def natural_key_text(cols: list[str]) -> Column:
-    """One text per natural key; NULL counts as empty."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    """One text per natural key: each part with its length in front, so that different keys, also with NULL, differ."""
+    parts = [F.col(c).cast("string") for c in cols]
+    return F.concat(*[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("-")) for p in parts])
 
 
-def surrogate_keys(df: DataFrame, natural_key: list[str], id_name: str, hex_digits: int = 3) -> DataFrame:
-    """Unique integer keys for rows that are unique on ``natural_key``.
+def surrogate_keys(
+    df: DataFrame, natural_key: list[str], id_name: str, known: DataFrame | None = None, hex_digits: int = 3,
+) -> DataFrame:
+    """Unique integer keys for rows that are unique on ``natural_key``; a key once given stays.
+
+    Rows are spread over 16**hex_digits buckets by a hash of the natural key and numbered inside their bucket, in the
+    order of the key's columns; key = number * buckets + bucket + 1. One shuffle, no global ordering, and
+    the keys depend on the data alone. That is also the most tasks that number rows: choose
+    ``hex_digits`` so that a bucket fits a task, and keep it from load to load.
 
-    Rows are spread over 16**hex_digits buckets by a hash of the key and numbered inside their
-    bucket; key = number * buckets + bucket + 1. One shuffle, no global ordering and no second
-    pass, and the keys depend on the data alone, so a recomputed frame gets the same ones.
+    ``known`` is the stored table of an earlier load, with ``id_name`` and the natural key: its keys are
+    kept, and only new natural keys are numbered, from their bucket's largest number on.
     """
     buckets = 16**hex_digits
-    keyed = df.withColumn("_key", natural_key_text(natural_key)).withColumn(
+    text = natural_key_text(natural_key)
+    keyed = df.withColumn("_key", text).withColumn(
         "_bucket", F.conv(F.substring(F.md5(F.col("_key")), 1, hex_digits), 16, 10).cast("bigint")
     )
-    number = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
-    key = (number - 1) * F.lit(buckets) + F.col("_bucket") + 1
-    return keyed.withColumn(id_name, key).select(id_name, *df.columns)
+    order = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in natural_key])
+    if known is None:
+        number = F.row_number().over(order) - 1
+        return keyed.withColumn(id_name, number * F.lit(buckets) + F.col("_bucket") + 1).select(id_name, *df.columns)
+    stored = known.select(text.alias("_key"), F.col(id_name))
+    taken = stored.select(F.pmod(F.col(id_name) - 1, F.lit(buckets)).alias("_bucket"), F.floor((F.col(id_name) - 1) / F.lit(buckets)).alias("_n"))
+    taken = taken.groupBy("_bucket").agg((F.max("_n") + 1).alias("_taken"))
+    looked_up = keyed.join(stored, "_key", "left")
+    fresh = looked_up.where(F.col(id_name).isNull()).drop(id_name)
+    number = F.row_number().over(order) - 1 + F.coalesce("_taken", F.lit(0))
+    numbered = fresh.join(taken, "_bucket", "left").withColumn(id_name, (number * F.lit(buckets) + F.col("_bucket") + 1).cast("bigint"))
+    kept = looked_up.where(F.col(id_name).isNotNull())
+    return kept.select(id_name, *df.columns).unionByName(numbered.select(id_name, *df.columns))
 
 
 def upsert_by_key(

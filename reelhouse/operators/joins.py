@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reelhouse.functions.text import title_key
+from reelhouse.functions.text import match_key
 from reelhouse.operators.dedup import dedup_keep_first
 from reelhouse.operators.shape import route_rows
-from reelhouse.operators.skew import chained_join, growing_join
+from reelhouse.operators.skew import join_all
 
 
 def with_keys(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
@@ -17,11 +17,8 @@ def with_keys(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
 
 def prenormalised_join(left: DataFrame, right: DataFrame, keys: dict[str, tuple[Column, Column]]) -> DataFrame:
     """Join on named key expressions, each computed once per row of its side."""
-    return growing_join(
-        with_keys(left, {name: pair[0] for name, pair in keys.items()}),
-        with_keys(right, {name: pair[1] for name, pair in keys.items()}),
-        list(keys),
-    )
+    known = with_keys(right, {name: pair[1] for name, pair in keys.items()})
+    return with_keys(left, {name: pair[0] for name, pair in keys.items()}).join(known, list(keys))
 
 
 def star_join_inner(src: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -29,13 +26,13 @@ def star_join_inner(src: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
     Unmatched rows drop; a dimension with several rows per key multiplies the source rows.
     """
-    return chained_join(src, [(dim, [key]) for key, dim in dims.items()])
+    return join_all(src, [(dim, [key]) for key, dim in dims.items()])
 
 
 def join_on_title_key(left: DataFrame, right: DataFrame, left_title: str, right_title: str) -> DataFrame:
     """Equi-join on the normalised title."""
     return prenormalised_join(
-        left, right, {"title_key": (title_key(F.col(left_title)), title_key(F.col(right_title)))}
+        left, right, {"title_key": (match_key(F.col(left_title)), match_key(F.col(right_title)))}
     )
 
 
@@ -61,21 +58,21 @@ def join_on_name_only(src: DataFrame, clients: DataFrame, store_id: int) -> Data
 def _join_clients(src: DataFrame, clients: DataFrame, store_id: int, parts: list[str]) -> DataFrame:
     keys = person_keys(*[F.col(p) for p in parts])
     known = with_keys(clients.where(F.col("magasin_id") == store_id), keys).select("client_id", *keys)
-    return growing_join(with_keys(src, keys), known, list(keys)).drop(*keys)
+    return with_keys(src, keys).join(known, list(keys)).drop(*keys)
 
 
 def anti_join_title(new: DataFrame, existing: DataFrame, new_title: str, existing_title: str) -> DataFrame:
     """Rows of ``new`` whose normalised title is not among the existing ones."""
-    known = existing.select(title_key(F.col(existing_title)).alias("title_key")).distinct()
-    keyed = new.withColumn("title_key", title_key(F.col(new_title)))
-    return growing_join(keyed, known, ["title_key"], "left_anti").drop("title_key")
+    known = existing.select(match_key(F.col(existing_title)).alias("title_key")).distinct()
+    keyed = new.withColumn("title_key", match_key(F.col(new_title)))
+    return keyed.join(known, ["title_key"], "left_anti").drop("title_key")
 
 
 def anti_join_lower(new: DataFrame, existing: DataFrame, new_title: str, existing_title: str) -> DataFrame:
     """Rows of ``new`` whose lower-cased title is not among the existing ones."""
     known = existing.select(F.lower(existing_title).alias("lower_title")).distinct()
     keyed = new.withColumn("lower_title", F.lower(new_title))
-    return growing_join(keyed, known, ["lower_title"], "left_anti").drop("lower_title")
+    return keyed.join(known, ["lower_title"], "left_anti").drop("lower_title")
 
 
 def lookup_left(
@@ -83,7 +80,7 @@ def lookup_left(
 ) -> DataFrame:
     """Keep every row and add the first matching values, NULL without a match."""
     first = dedup_keep_first(ref.select("*"), [F.col(key)], list(order_by)).select(key, *values)
-    return growing_join(df, first, [key], "left")
+    return df.join(first, [key], "left")
 
 
 def lookup_first_match(
@@ -91,7 +88,7 @@ def lookup_first_match(
 ) -> tuple[DataFrame, DataFrame]:
     """Look up the smallest matching id, then route: (matched rows, rows without a match)."""
     found = ref.groupBy(key).agg(F.min(id_name).alias(id_name))
-    return route_rows(growing_join(df, found, [key], "left"), F.col(id_name).isNotNull())
+    return route_rows(df.join(found, [key], "left"), F.col(id_name).isNotNull())
 
 
 def copy_chain_join(rentals: DataFrame, copies: DataFrame, movies: DataFrame, products: DataFrame) -> DataFrame:
@@ -103,8 +100,8 @@ def copy_chain_join(rentals: DataFrame, copies: DataFrame, movies: DataFrame, pr
     copy_movies = copies.select(F.col("id").alias("copy_id"), F.col("movie_id").alias("movieid"))
     films = products.where(F.col("type") == "film").select("produit_id", F.col("film_id").alias("movieid"))
     film_products = movies.select("movieid").join(films, "movieid")
-    copy_products = growing_join(copy_movies, film_products, ["movieid"]).select("copy_id", "produit_id")
-    return growing_join(rentals, copy_products, ["copy_id"])
+    copy_products = copy_movies.join(film_products, ["movieid"]).select("copy_id", "produit_id")
+    return rentals.join(copy_products, ["copy_id"])
 
 
 def resolve_bridge_keys(pairs: DataFrame, films: DataFrame, actors: DataFrame) -> DataFrame:
@@ -116,20 +113,20 @@ def resolve_bridge_keys(pairs: DataFrame, films: DataFrame, actors: DataFrame) -
     wanted = pairs.select("film_source_id", "acteur_source_id").distinct()
     film_ids = films.select(F.col("source_id").alias("film_source_id"), "film_id")
     actor_ids = actors.select(F.col("source_id").alias("acteur_source_id"), "acteur_id")
-    resolved = chained_join(wanted, [(film_ids, ["film_source_id"]), (actor_ids, ["acteur_source_id"])])
+    resolved = join_all(wanted, [(film_ids, ["film_source_id"]), (actor_ids, ["acteur_source_id"])])
     return resolved.select("film_id", "acteur_id").distinct()
 
 
 def cost_enrichment(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Attach the product's inventory price to each sale."""
     costs = products.select("produit_id", F.col("prix_inventaire").alias("prix_inventaire_total"))
-    return growing_join(sales, costs, ["produit_id"])
+    return sales.join(costs, ["produit_id"])
 
 
 def cross_source_film_ref(df: DataFrame, films: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Resolve ``film_ref_id`` (the other source's movie id) to the integrated film."""
     known = films.select(F.col("source_id").alias("film_ref_id"), "film_id", *extra)
-    return growing_join(df, known, ["film_ref_id"])
+    return df.join(known, ["film_ref_id"])
 
 
 def label_join(agg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -144,8 +141,7 @@ def store_rental_counts(fact: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def quarantine_unmatched(df: DataFrame, dim: DataFrame, key: str, reason: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with a dimension match, rows without one plus ``reason``)."""
-    keys = dim.select(key).distinct()
-    matched = df.join(keys, key, "left_semi")
-    rejected = df.join(keys, key, "left_anti").withColumn("reason", F.lit(reason))
-    return matched, rejected
+    """(rows with a dimension match, rows without one plus ``reason``), from one lookup. Store it to read ``df`` once."""
+    keys = dim.select(key).distinct().withColumn("_known", F.lit(True))
+    matched, rejected = route_rows(df.join(keys, key, "left").select(*df.columns, "_known"), F.col("_known").isNotNull())
+    return matched.drop("_known"), rejected.drop("_known").withColumn("reason", F.lit(reason))

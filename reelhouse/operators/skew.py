@@ -1,98 +1,51 @@
-"""Joins of large tables that stay balanced when one key holds a large share of the rows."""
+"""Joins of growing tables, and an explicit split of their hot keys.
 
-from __future__ import annotations
+Joins are plain Spark joins at every size: adaptive execution broadcasts a side it has measured as small and
+splits skewed partitions. ``spread_join`` is for a caller that knows a key to be too hot for that, such
+as one whose copies meet a costly expression; its hot keys are counted once, on a stored table.
+"""
 
-from collections.abc import Callable
-from functools import partial
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Up to this many input bytes a plain shuffle join copes with any key.
-PLAIN_JOIN_BYTES = 1 << 30
-# A key with a larger share of the rows is cut into pieces of about this share.
-PIECE_SHARE = 1e-5
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files ``df`` reads, from Spark's own statistics; None if unknown."""
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except (AttributeError, TypeError):
-        return None
+# A key with a larger share of the rows is cut into pieces of about this share. There are fewer than 1/share
+# hot keys; with keys of at most KEY_BYTES bytes, their list takes less than KEY_BYTES / share bytes.
+PIECE_SHARE = 1e-4
+KEY_BYTES = 1024
 
 
-def broadcast_sized(df: DataFrame) -> bool:
-    """True when Spark estimates ``df`` below its broadcast threshold, so it will broadcast it."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    except (AttributeError, TypeError):
-        return False
+def join_all(left: DataFrame, joins: list[tuple[DataFrame, list[str]]], how: str = "inner") -> DataFrame:
+    """Join one frame after the other, each given with the columns it shares."""
+    for right, on in joins:
+        left = left.join(right, on, how)
+    return left
 
 
 def hot_keys(df: DataFrame, on: list[str], share: float = PIECE_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows that have one, and ``_pieces`` to cut each into.
+    """Keys holding more than ``share`` of the rows that have one, and ``pieces`` to cut each into.
 
-    There are fewer than 1/share of them and fewer than 2/share pieces in all, whatever the
-    data. One counting pass, of which the total reuses the shuffled counts.
+    Keys longer than KEY_BYTES are never listed, which bounds the list in bytes; adaptive execution is left
+    to split those.
     """
-    counts = df.where(_all_set(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    size = sum((F.octet_length(F.col(c).cast("string")) for c in on), F.lit(0))
+    counts = df.where(size <= KEY_BYTES).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     piece = counts.agg(F.sum("_n")).scalar() * F.lit(share)
     hot = counts.where(F.col("_n") > piece)
-    return hot.select(*on, F.ceil(F.col("_n") / F.greatest(piece, F.lit(1.0))).cast("int").alias("_pieces"))
+    return hot.select(*on, F.ceil(F.col("_n") / F.greatest(piece, F.lit(1.0))).cast("int").alias("pieces"))
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-    hot: Callable[[], DataFrame] | None = None,
-) -> DataFrame:
-    """Equi-join in which a hot left key is cut into pieces in proportion to its rows.
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], row_id: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Equi-join in which the rows of a hot left key are dealt out by ``row_id``, a column that tells left rows apart.
 
-    The right rows of a hot key are repeated once per piece, so every pair still meets exactly
-    once. The piece is a hash of the left row, so a retried task repeats it. In left and anti
-    joins NULL keys, which can never match, are spread the same way.
+    The right rows of a hot key are repeated once per piece, so every pair meets exactly once, also if
+    left rows are equal in all other columns. ``hot`` comes from ``hot_keys``, best from a stored table.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join cannot preserve the right side: {how}")
-    pieces = F.broadcast(hot_keys(left, on) if hot is None else hot())  # fewer than 1/share rows
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+        raise ValueError(f"spread_join cannot preserve the right side: {how}")
+    pieces = F.broadcast(hot.select(*on, F.col("pieces").alias("_pieces")))  # bounded by share and KEY_BYTES
     count = F.coalesce(F.col("_pieces"), F.lit(1))
-    if how != "inner":
-        count = F.when(_all_set(on), count).otherwise(F.lit(int(1 / PIECE_SHARE)))
-    salted_left = left.join(pieces, on, "left").withColumn("_salt", F.pmod(row_hash, count)).drop("_pieces")
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces"), F.lit(1)).cast("bigint") - 1)
-    salted_right = right.join(pieces, on, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
-
-
-def growing_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-    hot: Callable[[], DataFrame] | None = None, plain_bytes: int = PLAIN_JOIN_BYTES,
-) -> DataFrame:
-    """Join two tables that both grow with the data.
-
-    A left side of at most ``plain_bytes``, or a right side small enough for Spark to broadcast,
-    takes the plain join. Everything larger (or unknown) takes the salted join; ``hot`` can
-    supply its hot keys from a cheaper frame than ``left``.
-    """
-    size = input_bytes(left)
-    if (size is not None and size <= plain_bytes) or broadcast_sized(right):
-        return left.join(right, on, how)
-    return salted_join(left, right, on, how, hot)
-
-
-def chained_join(left: DataFrame, joins: list[tuple[DataFrame, list[str]]], how: str = "inner") -> DataFrame:
-    """Growing joins one after the other. Keys ``left`` already has are counted there, not on a joined frame."""
-    joined = left
-    for right, on in joins:
-        hot = partial(hot_keys, left, on) if set(on) <= set(left.columns) else None
-        joined = growing_join(joined, right, on, how, hot)
-    return joined
-
-
-def _all_set(on: list[str]):
-    test = F.lit(True)
-    for name in on:
-        test = test & F.col(name).isNotNull()
-    return test
+    dealt = left.join(pieces, on, "left").withColumn("_piece", F.pmod(F.xxhash64(row_id), count).cast("int")).drop("_pieces")
+    copies = F.explode(F.sequence(F.lit(0), count - 1))
+    repeated = right.join(pieces, on, "left").withColumn("_piece", copies).drop("_pieces")
+    return dealt.join(repeated, [*on, "_piece"], how).drop("_piece")

@@ -20,7 +20,7 @@ from reelhouse.operators.shape import (
     rental_measures, required_fields_filter, sale_flags, stored_margin, union_all, union_distinct,
     valid_interval_filter,
 )
-from reelhouse.operators.skew import chained_join, growing_join
+from reelhouse.operators.skew import join_all
 from reelhouse.plans.stage import Stage
 from reelhouse.sources.tables import mapped
 
@@ -130,7 +130,7 @@ def product_refs(src, products: DataFrame) -> DataFrame:
     by_title = join_on_title_key(bb_titles, films.select("produit_id", "titre"), "bb_titre", "titre")
     by_movie = films.where(F.col("film_id").isNotNull())
     copies = src.ms_copy_for_rent.select(F.col("id").alias("copy_id"), F.col("movie_id").alias("film_id"))
-    by_copy = growing_join(copies, by_movie.select("film_id", "produit_id"), ["film_id"])
+    by_copy = copies.join(by_movie.select("film_id", "produit_id"), ["film_id"])
 
     def refs(df: DataFrame, kind: str, ref: Column) -> DataFrame:
         return df.select(F.lit(kind).alias("ref_kind"), ref.cast("string").alias("produit_ref"), "produit_id")
@@ -161,8 +161,8 @@ def client_refs(src, clients: DataFrame) -> DataFrame:
 
     mmm_ref = _person_text(F.col("first_key"), F.col("last_key"), F.col("date_naissance"))
     return union_all(
-        refs(growing_join(bb, stores[1], ["first_key", "last_key", "date_naissance"]), 1),
-        refs(growing_join(ms, stores[2], ["first_key", "last_key"]), 2),
+        refs(bb.join(stores[1], ["first_key", "last_key", "date_naissance"]), 1),
+        refs(ms.join(stores[2], ["first_key", "last_key"]), 2),
         refs(stores[3].withColumn("client_ref", mmm_ref), 3),
     )
 
@@ -216,37 +216,51 @@ def rental_events(src, min_days: int = 1) -> DataFrame:
     return rented.withColumns({"date_complete": F.to_date("start"), "annee": F.year("start")}).drop("start", "end", "price")
 
 
-def _resolve(events: DataFrame, calendar: DataFrame, products: DataFrame, clients: DataFrame) -> DataFrame:
-    dated = events.join(F.broadcast(calendar.select("date_complete", "temps_id")), "date_complete")  # one row per day
-    return chained_join(dated, [(products, _PRODUCT_REF), (clients, _CLIENT_REF)])
+# Reasons an event is not in its fact.
+NO_DATE, NO_PRODUCT, NO_CLIENT = "no calendar day", "no product", "no client"
 
 
-def union_sales(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, keep_unpriced_gadgets: bool = False) -> DataFrame:
-    """Sales fact of all stores."""
-    events = sale_events(src, keep_unpriced_gadgets)
-    facts = _resolve(events, calendar, product_refs(src, products), client_refs(src, clients))
+def resolved(events: DataFrame, calendar: DataFrame, products: DataFrame, clients: DataFrame) -> DataFrame:
+    """Events with day, product and client, and the reason of those that lack one; ``products`` and ``clients`` are references.
+
+    One lookup each; stored, it gives the fact and its rejects. An event meets every product and client its reference leads to.
+    """
+    days = F.broadcast(calendar.select("date_complete", "temps_id"))  # one row per day
+    found = join_all(events.join(days, "date_complete", "left"), [(products, _PRODUCT_REF), (clients, _CLIENT_REF)], "left")
+    return found.withColumn("reason", F.when(F.col("temps_id").isNull(), NO_DATE).when(F.col("produit_id").isNull(), NO_PRODUCT)
+                            .when(F.col("client_id").isNull(), NO_CLIENT))
+
+
+def rejects(found: DataFrame) -> DataFrame:
+    """Resolved events that are not facts: what they said, and the first reason."""
+    return found.where(F.col("reason").isNotNull()).select("magasin_id", "date_complete", *_PRODUCT_REF, "client_ref", "reason")
+
+
+def sales_facts(found: DataFrame) -> DataFrame:
+    """Sales fact of resolved sales."""
+    facts = found.where(F.col("reason").isNull())
     return stored_margin(facts, "ca_ventes", "prix_inventaire_total").select(
         "temps_id", "magasin_id", "client_id", "produit_id", "annee", "ca_ventes", "prix_inventaire_total",
         "marge", "nb_ventes", "est_neuf",
     )
 
 
-def union_rentals(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, min_days: int = 1) -> DataFrame:
-    """Rentals fact of the two renting stores."""
-    facts = _resolve(rental_events(src, min_days), calendar, product_refs(src, products), client_refs(src, clients))
-    return facts.select(
+def rental_facts(found: DataFrame) -> DataFrame:
+    """Rentals fact of resolved rentals."""
+    return found.where(F.col("reason").isNull()).select(
         "temps_id", "magasin_id", "client_id", "produit_id", "annee", "ca_locations", "nb_locations", "nb_jours_total"
     )
 
 
-def numbered(df: DataFrame, id_name: str) -> DataFrame:
-    """Fact rows with unique, not dense, ids. For writing: a stored fact keeps the ids it got."""
-    return df.select(F.monotonically_increasing_id().alias(id_name), *df.columns)
+def union_sales(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, keep_unpriced_gadgets: bool = False) -> DataFrame:
+    """Sales fact of all stores in one plan."""
+    events = sale_events(src, keep_unpriced_gadgets)
+    return sales_facts(resolved(events, calendar, product_refs(src, products), client_refs(src, clients)))
 
 
-def out_of_calendar(events: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Sale or rental events the calendar does not cover."""
-    return events.join(F.broadcast(calendar.select("date_complete")), "date_complete", "left_anti")
+def union_rentals(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, min_days: int = 1) -> DataFrame:
+    """Rentals fact of the two renting stores in one plan."""
+    return rental_facts(resolved(rental_events(src, min_days), calendar, product_refs(src, products), client_refs(src, clients)))
 
 
 def direct_builders(calendar: DataFrame, stores: DataFrame) -> dict:
@@ -258,8 +272,14 @@ def direct_builders(calendar: DataFrame, stores: DataFrame) -> dict:
         "dim_magasin": lambda s: stores,
         "dim_produit": lambda s: dim_product(s.src),
         "dim_client": lambda s: dim_client(s.src),
-        "fait_ventes": lambda s: union_sales(s.src, s["dim_temps"], s["dim_produit"], s["dim_client"]),
-        "fait_locations": lambda s: union_rentals(s.src, s["dim_temps"], s["dim_produit"], s["dim_client"]),
+        "ref_produit": lambda s: product_refs(s.src, s["dim_produit"]),
+        "ref_client": lambda s: client_refs(s.src, s["dim_client"]),
+        "ventes_resolues": lambda s: resolved(sale_events(s.src), s["dim_temps"], s["ref_produit"], s["ref_client"]),
+        "locations_resolues": lambda s: resolved(rental_events(s.src), s["dim_temps"], s["ref_produit"], s["ref_client"]),
+        "fait_ventes": lambda s: sales_facts(s["ventes_resolues"]),
+        "fait_locations": lambda s: rental_facts(s["locations_resolues"]),
+        "ventes_rejetees": lambda s: rejects(s["ventes_resolues"]),
+        "locations_rejetees": lambda s: rejects(s["locations_resolues"]),
         **agg.BUILDERS,
     }
 

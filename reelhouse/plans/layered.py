@@ -6,20 +6,20 @@ Each function builds one table from the tables it names. Source tables keep ``so
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.functions.dates import parse_birth_date, parse_iso_date_guarded
 from reelhouse.functions.people import age_at_ref, age_band, gender_from_flag, gender_from_label
-from reelhouse.functions.text import parse_name_initial, strip_one_prefix, title_key
+from reelhouse.functions.text import parse_name_initial, match_key, strip_one_prefix
 from reelhouse.operators.dedup import dedup_group_min, dedup_keep_first, surrogate_keys, upsert_by_key
 from reelhouse.operators.joins import (
-    anti_join_title, cost_enrichment, cross_source_film_ref, resolve_bridge_keys,
+    anti_join_title, cross_source_film_ref, resolve_bridge_keys,
 )
 from reelhouse.operators.shape import (
     append_streams, rental_measures, route_rows, sale_flags, stock_vs_sale_split, stored_margin, tag_source,
     union_all, valid_interval_filter,
 )
-from reelhouse.operators.skew import chained_join, growing_join
+from reelhouse.operators.skew import join_all
 from reelhouse.plans import summaries
 from reelhouse.plans.stage import Stage
 from reelhouse.sources.tables import mapped
@@ -41,7 +41,7 @@ def _lookup(df: DataFrame, *refs: tuple[str, DataFrame, str, str]) -> DataFrame:
     Lookups are (key, reference, key there, value there); keys are unique in the reference.
     """
     joins = [(ref.select(F.col(ref_key).alias(key), value), [key]) for key, ref, ref_key, value in refs]
-    return chained_join(df, joins, "left").drop(*[key for key, *_ in refs])
+    return join_all(df, joins, "left").drop(*[key for key, *_ in refs])
 
 
 # --- first source -------------------------------------------------------------------------
@@ -75,10 +75,10 @@ def _bb_person() -> list[Column]:
     return [F.lower("prenom"), F.lower("nom"), F.col("date_naissance")]
 
 
-def bb_client(src) -> DataFrame:
+def bb_client(src, existing: DataFrame | None = None) -> DataFrame:
     """Customers with the smallest source code of each person; codes are text, so '10' precedes '9'."""
     kept = dedup_keep_first(_bb_people(src), _bb_person(), [F.col("source_code")])
-    return surrogate_keys(kept, ["source_code"], "client_id")
+    return surrogate_keys(kept, ["source_code"], "client_id", existing)
 
 
 def bb_client_codes(src, clients: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def bb_client_codes(src, clients: DataFrame) -> DataFrame:
         n: F.coalesce(e.cast("string"), F.lit("")) for n, e in zip(names, _bb_person())
     })
     known = keyed(clients).select("client_id", *names)
-    return growing_join(keyed(_bb_people(src)).select("source_code", *names), known, names).select("source_code", "client_id")
+    return keyed(_bb_people(src)).select("source_code", *names).join(known, names).select("source_code", "client_id")
 
 
 def bb_vente_film(src, films: DataFrame, client_codes: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def ms_client(src, existing: DataFrame | None = None) -> DataFrame:
         "source_code": F.col("code"), "prenom": _stripped("name"), "initiale": _stripped("middlename"),
         "nom": _stripped("surname"), "genre": F.col("gender"),
         "date_naissance": parse_iso_date_guarded(F.col("birthday")), "adresse": _stripped("address"),
-    }, src.ms_customer), ["source_code"], "client_id")
+    }, src.ms_customer), ["source_code"], "client_id", existing)
     if existing is None:
         return clients
     changed = [c for c in clients.columns if c not in ("source_code", "client_id")]
@@ -205,9 +205,9 @@ def rebuild_clients(rentals: DataFrame, sales: DataFrame, gadgets: DataFrame, ge
     }, kept)
 
 
-def mmm_client(src) -> DataFrame:
+def mmm_client(src, existing: DataFrame | None = None) -> DataFrame:
     clients = rebuild_clients(src.mmm_movierentals, src.mmm_moviesales, src.mmm_gadgetsales)
-    return surrogate_keys(clients, ["nom_complet", "date_naissance"], "client_id")
+    return surrogate_keys(clients, ["nom_complet", "date_naissance"], "client_id", existing)
 
 
 def _mmm_person(name: Column, dob: str) -> Column:
@@ -268,33 +268,38 @@ def film_xref(films: DataFrame, bb_films: DataFrame, ms_films: DataFrame) -> Dat
     ).join(films.where(F.col("source") == source).select("source_id", "film_id"), "source_id").select(
         F.lit(source).alias("source"), "source_film_id", "film_id"
     )
-    by_title = films.where(F.col("source") == "MS").groupBy(title_key(F.col("titre")).alias("k")).agg(
+    by_title = films.where(F.col("source") == "MS").groupBy(match_key(F.col("titre")).alias("k")).agg(
         F.min("film_id").alias("film_id")
     )
-    matched = bb_films.select(F.col("film_id").alias("source_film_id"), title_key(F.col("titre")).alias("k"))
+    matched = bb_films.select(F.col("film_id").alias("source_film_id"), match_key(F.col("titre")).alias("k"))
     return union_all(
         own("MS", ms_films, F.col("source_id").cast("string")), own("BB", bb_films, F.col("source_id")),
-        growing_join(matched, by_title, ["k"]).select(F.lit("BB").alias("source"), "source_film_id", "film_id"),
+        matched.join(by_title, ["k"]).select(F.lit("BB").alias("source"), "source_film_id", "film_id"),
     )
 
 
+def actor_key(name: Column) -> Column:
+    """The normalised name; a name without Latin letters or digits stands for itself."""
+    return F.coalesce(match_key(name), F.concat(F.lit("="), F.lower(name)))
+
+
 def merge_actors(bb: DataFrame, ms: DataFrame) -> DataFrame:
     """Actors merged on their normalised name, the MS spelling first."""
     named = union_all(
         ms.select("nom", F.lit(0).alias("rank")), bb.select("nom", F.lit(1).alias("rank"))
     ).where(F.col("nom").isNotNull())
-    kept = dedup_keep_first(named, [title_key(F.col("nom"))], [F.col("rank"), F.col("nom")], ["nom"])
+    kept = dedup_keep_first(named, [actor_key(F.col("nom"))], [F.col("rank"), F.col("nom")], ["nom"])
     return surrogate_keys(kept, ["nom"], "acteur_id")
 
 
 def actor_xref(actors: DataFrame, bb: DataFrame, ms: DataFrame) -> DataFrame:
     """(source, source_acteur_id, acteur_id)."""
-    keyed = actors.select("acteur_id", title_key(F.col("nom")).alias("k"))
+    keyed = actors.select("acteur_id", actor_key(F.col("nom")).alias("k"))
     each = union_all(*[
-        df.select(F.lit(s).alias("source"), F.col("acteur_id").alias("source_acteur_id"), title_key(F.col("nom")).alias("k"))
+        df.select(F.lit(s).alias("source"), F.col("acteur_id").alias("source_acteur_id"), actor_key(F.col("nom")).alias("k"))
         for s, df in (("BB", bb), ("MS", ms))
     ])
-    return growing_join(each, keyed, ["k"]).drop("k")
+    return each.join(keyed, ["k"]).drop("k")
 
 
 def int_joue_dans(bb: DataFrame, ms: DataFrame, films: DataFrame, actors: DataFrame) -> DataFrame:
@@ -303,17 +308,17 @@ def int_joue_dans(bb: DataFrame, ms: DataFrame, films: DataFrame, actors: DataFr
         df.select(F.lit(s).alias("source"), F.col("film_id").alias("source_film_id"), F.col("acteur_id").alias("source_acteur_id"))
         for s, df in (("BB", bb), ("MS", ms))
     ])
-    joined = chained_join(links, [(films, ["source", "source_film_id"]), (actors, ["source", "source_acteur_id"])])
+    joined = join_all(links, [(films, ["source", "source_film_id"]), (actors, ["source", "source_acteur_id"])])
     return joined.select("film_id", "acteur_id").distinct()
 
 
-def int_client(bb: DataFrame, ms: DataFrame, mmm: DataFrame) -> DataFrame:
+def int_client(bb: DataFrame, ms: DataFrame, mmm: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Clients of the three sources, tagged and not merged; ``source_client_id`` leads back."""
     tagged = append_streams(
         tag_source(bb, 1, "BB"), tag_source(ms.withColumn("source_code", F.col("source_code").cast("string")), 2, "MS"),
         tag_source(mmm.drop("nom_complet"), 3, "MMM"),
     ).withColumnRenamed("client_id", "source_client_id")
-    keyed = surrogate_keys(tagged, ["source", "source_client_id"], "client_id")
+    keyed = surrogate_keys(tagged, ["source", "source_client_id"], "client_id", existing)
     return keyed.select(
         "client_id", "prenom", "initiale", "nom", "date_naissance", "genre", "adresse", "magasin_id", "source",
         "source_code", "source_client_id",
@@ -345,7 +350,7 @@ def _with_film(df: DataFrame, source: str, xref: DataFrame, films: DataFrame) ->
     own = xref.where(F.col("source") == source).join(films.select("film_id", "titre"), "film_id").select(
         F.col("source_film_id").alias("_film"), "film_id", "titre"
     )
-    return growing_join(df.withColumnRenamed("film_id", "_film"), own, ["_film"], "left").drop("_film")
+    return df.withColumnRenamed("film_id", "_film").join(own, ["_film"], "left").drop("_film")
 
 
 def _mmm_film(df: DataFrame, films: DataFrame) -> DataFrame:
@@ -389,7 +394,17 @@ def _integrated(rows: DataFrame, s: Stage) -> DataFrame:
     clients = s["int_client"].select("source", F.col("source_client_id").alias("_client"), "client_id")
     products = s["int_produit"].select("produit_id", *_PRODUCT_KEY)
     renamed = rows.withColumnRenamed("client_id", "_client")
-    return chained_join(renamed, [(clients, ["source", "_client"]), (products, _PRODUCT_KEY)], "left")
+    return join_all(renamed, [(clients, ["source", "_client"]), (products, _PRODUCT_KEY)], "left")
+
+
+def row_id(key: list[str], rest: list[str]) -> Column:
+    """128-bit id of a source row, so that a reload finds the same row: its ``key``, and a number among rows that repeat the key.
+
+    Rows of one key are numbered in the order of ``rest``; rows equal in everything are interchangeable.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in key]
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(*rest))
+    return F.md5(F.concat_ws("|", *parts, number))
 
 
 def int_vente(s: Stage) -> DataFrame:
@@ -399,7 +414,7 @@ def int_vente(s: Stage) -> DataFrame:
 
     def branch(df: DataFrame, store: int, source: str, kind: str, title: str = "titre", is_new: Column = none) -> DataFrame:
         return tag_source(df, store, source).select(
-            "date_vente", "prix_vente", F.coalesce(is_new.cast("int"), none).alias("est_neuf"), "client_id",
+            "source_id", "date_vente", "prix_vente", F.coalesce(is_new.cast("int"), none).alias("est_neuf"), "client_id",
             F.col(title).alias("titre"), F.lit(kind).alias("type"), "magasin_id", "source",
         )
 
@@ -410,24 +425,30 @@ def int_vente(s: Stage) -> DataFrame:
         branch(_mmm_film(s["mmm_vente_film"], films), 3, "MMM", "film"),
         branch(s["mmm_vente_gadget"], 3, "MMM", "gadget", title="titre_gadget"),
     )
-    return _integrated(rows, s).select(
-        F.monotonically_increasing_id().alias("vente_id"), "date_vente", "prix_vente", "est_neuf", "client_id",
+    named = rows.withColumn("vente_id", row_id(["source", "type", "source_id"], ["date_vente", "prix_vente", "titre", "client_id", "est_neuf"]))
+    return _integrated(named, s).select(
+        "vente_id", "date_vente", "prix_vente", "est_neuf", "client_id",
         "produit_id", "magasin_id", "source",
     )
 
 
 def int_location(s: Stage) -> DataFrame:
-    """Rentals of the two renting sources."""
+    """Rentals of the two renting sources.
+
+    One source gives its rentals no number: there the id is made of all columns.
+    """
     xref, films = s["film_xref"], s["int_film"]
     copies = s["ms_copie_location"].select("copie_id", "film_id")
-    ms = _with_film(growing_join(s["ms_location"], copies, ["copie_id"], "left"), "MS", xref, films)
-    cols = ["date_debut", "date_fin", "prix_jour", "client_id", "titre", "type", "magasin_id", "source"]
+    ms = _with_film(s["ms_location"].join(copies, ["copie_id"], "left"), "MS", xref, films)
+    ms = ms.withColumn("source_id", F.concat_ws("|", F.col("copie_id").cast("string"), F.col("client_id").cast("string"), F.col("date_debut").cast("string")))
+    cols = ["source_id", "date_debut", "date_fin", "prix_jour", "client_id", "titre", "type", "magasin_id", "source"]
     rows = union_all(*[
         tag_source(df, store, source).withColumn("type", F.lit("film")).select(*cols)
-        for df, store, source in ((ms, 2, "MS"), (_mmm_film(s["mmm_location_film"], films), 3, "MMM"))
+        for df, store, source in ((ms, 2, "MS"), (_mmm_film(s["mmm_location_film"].withColumn("source_id", F.col("source_id").cast("string")), films), 3, "MMM"))
     ])
-    return _integrated(rows, s).select(
-        F.monotonically_increasing_id().alias("location_id"), "date_debut", "date_fin", "prix_jour", "client_id",
+    named = rows.withColumn("location_id", row_id(["source", "source_id"], ["date_debut", "date_fin", "prix_jour", "titre", "client_id"]))
+    return _integrated(named, s).select(
+        "location_id", "date_debut", "date_fin", "prix_jour", "client_id",
         "produit_id", "magasin_id", "source",
     )
 
@@ -453,15 +474,23 @@ def load_dim_client(clients: DataFrame, existing: DataFrame | None = None, unkno
     return rows if existing is None else upsert_by_key(existing, rows, ["client_id"])
 
 
-MISSING_DATE = "Sale skipped: date_vente has no match in dim_temps: "
+# Reasons a sale is not in the fact.
+NO_DATE, NO_PRODUCT = "no calendar day", "no product"
 
 
-def load_fact_sales(sales: DataFrame, products: DataFrame, calendar: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(sales fact, sales whose date the calendar lacks, with the reason)."""
+def dated_sales(sales: DataFrame, products: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Priced sales with cost, calendar day and the reason they can't be facts, from one lookup each; store it."""
     priced = sales.where(F.col("date_vente").isNotNull() & F.col("prix_vente").isNotNull())
-    costed = cost_enrichment(priced, products)
+    costs = products.select("produit_id", F.col("prix_inventaire").alias("prix_inventaire_total"), F.lit(True).alias("_product"))
     days = F.broadcast(calendar.select("temps_id", F.col("date_complete").alias("date_vente")))  # one row per day
-    found, missing = route_rows(costed.join(days, "date_vente", "left"), F.col("temps_id").isNotNull())
+    found = priced.join(costs, "produit_id", "left").join(days, "date_vente", "left")
+    reason = F.when(F.col("temps_id").isNull(), NO_DATE).when(F.col("_product").isNull(), NO_PRODUCT)
+    return found.withColumn("reason", reason).drop("_product")
+
+
+def load_fact_sales(dated: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sales fact, sales left out with the reason) of ``dated_sales``, the fact upserted on ``vente_id``."""
+    found, missing = route_rows(dated, F.col("reason").isNull())
     fact = sale_flags(found, "date_vente", "est_neuf").withColumns({
         "ca_ventes": F.col("prix_vente").cast("decimal(12,2)"),
         "prix_inventaire_total": F.col("prix_inventaire_total").cast("decimal(12,2)"),
@@ -470,10 +499,7 @@ def load_fact_sales(sales: DataFrame, products: DataFrame, calendar: DataFrame,
         "vente_id", "temps_id", "magasin_id", "client_id", "produit_id", "annee", "ca_ventes", "prix_inventaire_total",
         "marge", "nb_ventes", "est_neuf",
     )
-    rejects = missing.drop("temps_id").withColumn(
-        "reason", F.concat(F.lit(MISSING_DATE), F.col("date_vente").cast("string"))
-    )
-    return (fact if existing is None else upsert_by_key(existing, fact, ["vente_id"])), rejects
+    return (fact if existing is None else upsert_by_key(existing, fact, ["vente_id"])), missing.drop("temps_id")
 
 
 def load_fact_rentals(rentals: DataFrame, calendar: DataFrame, min_days: int = 1) -> DataFrame:
@@ -520,8 +546,9 @@ def layered_builders(calendar: DataFrame, stores: DataFrame) -> dict:
         "dim_magasin": lambda s: stores,
         "dim_produit": lambda s: load_dim_product(s["int_produit"]),
         "dim_client": lambda s: load_dim_client(s["int_client"]),
-        "fait_ventes": lambda s: load_fact_sales(s["int_vente"], s["int_produit"], s["dim_temps"])[0],
-        "ventes_rejetees": lambda s: load_fact_sales(s["int_vente"], s["int_produit"], s["dim_temps"])[1],
+        "ventes_datees": lambda s: dated_sales(s["int_vente"], s["int_produit"], s["dim_temps"]),
+        "fait_ventes": lambda s: load_fact_sales(s["ventes_datees"])[0],
+        "ventes_rejetees": lambda s: load_fact_sales(s["ventes_datees"])[1],
         "fait_locations": lambda s: load_fact_rentals(s["int_location"], s["dim_temps"]),
         **summaries.BUILDERS,
     }
@@ -533,5 +560,5 @@ def layered_warehouse(spark, src, calendar: DataFrame, stores: DataFrame, databa
 
 
 def run_layered(stage: Stage) -> DataFrame:
-    """Extract, integrate and load; the result counts the warehouse rows."""
-    return summaries.load_and_report(stage)
+    """Extract, integrate and load every table; the result counts the rows of each."""
+    return summaries.load_and_report(stage, stage.names)

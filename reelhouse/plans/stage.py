@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,20 +29,29 @@ class Stage:
         self._database = database
         self._by_year = by_year
         self._frames: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in builders}
+        self.names = tuple(builders)
 
     def plan(self, name: str) -> DataFrame:
         """The table as a plan over its inputs; the inputs are stored when there is a database."""
         return self._builders[name](self)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            df = self.plan(name)
-            if self._database:
-                table = f"{self._database}.{name}"
-                if name in self._by_year:
-                    fact_partition_by_year(df, table)
-                else:
-                    truncate_reload(df, table)
-                df = self.spark.table(table)
-            self._frames[name] = df
-        return self._frames[name]
+        with self._locks[name]:  # a table asked for by several is built once; builders form no circle
+            if name not in self._frames:
+                df = self.plan(name)
+                if self._database:
+                    table = f"{self._database}.{name}"
+                    if name in self._by_year:
+                        fact_partition_by_year(df, table)
+                    else:
+                        truncate_reload(df, table)
+                    df = self.spark.table(table)
+                self._frames[name] = df
+            return self._frames[name]
+
+    def load(self, names: Iterable[str], at_once: int = 4) -> dict[str, DataFrame]:
+        """The named tables; tables that don't need each other are written at the same time."""
+        names = list(names)
+        with ThreadPoolExecutor(at_once) as pool:
+            return dict(zip(names, pool.map(self.__getitem__, names), strict=True))

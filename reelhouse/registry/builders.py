@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
-from reelhouse.operators.quality import row_count_report
 from reelhouse.operators.shape import append_streams
 from reelhouse.plans import layered, summaries
 from reelhouse.plans.direct import direct_warehouse
 from reelhouse.plans.layered import layered_warehouse, run_layered as load_layered
-from reelhouse.registry.workspace import query
+from reelhouse.registry import oracle as o
+from reelhouse.registry.workspace import query, settled
 from reelhouse.sources.tables import new_database
 
 # Generated row ids are left out of the comparison: their values carry no meaning.
@@ -72,14 +74,36 @@ def dim_client_direct(k):
 
 @query("load_fact_sales", """SELECT temps_id, magasin_id, client_id, produit_id, annee, ca_ventes, prix_inventaire_total, marge, nb_ventes, est_neuf,
     NULL AS reason FROM lw_fait_ventes UNION ALL
-    SELECT NULL, magasin_id, client_id, produit_id, NULL, NULL, NULL, NULL, NULL, NULL,
-    'Sale skipped: date_vente has no match in dim_temps: '||CAST(date_vente AS VARCHAR) FROM lw_costed v
-    WHERE NOT EXISTS (SELECT 1 FROM dim_temps t WHERE t.date_complete = v.date_vente)""")
+    SELECT NULL, magasin_id, client_id, produit_id, NULL, NULL, NULL, NULL, NULL, NULL, reason FROM lw_rejets""")
 def load_fact_sales(k):
-    fact, rejects = layered.load_fact_sales(k.layered["int_vente"], k.layered["int_produit"], k.calendar)
+    fact, rejects = layered.load_fact_sales(k.layered["ventes_datees"])
     return append_streams(fact.drop("vente_id"), rejects.select("magasin_id", "client_id", "produit_id", "reason"))
 
 
+@query("reload_sales", "SELECT temps_id, magasin_id, client_id, produit_id, ca_ventes, est_neuf FROM lw_fait_ventes")
+def reload_sales(k):
+    """Sales loaded without one source and with other prices of the new copies, then loaded again as they are."""
+    dated = k.layered["ventes_datees"]
+    other = F.when(F.col("est_neuf") == 1, F.col("prix_vente") + 1).otherwise(F.col("prix_vente")).cast("decimal(10,2)")
+    stored, _ = layered.load_fact_sales(dated.where("source <> 'MMM'").withColumn("prix_vente", other))
+    again, _ = layered.load_fact_sales(dated, existing=stored)
+    return again.select("temps_id", "magasin_id", "client_id", "produit_id", "ca_ventes", "est_neuf")
+
+
+_CODED = f"SELECT code, gender, {o.key_bucket('code')} AS bucket FROM ms_customer"
+
+
+@query("incremental_clients", f"""WITH coded AS ({_CODED}), numbered AS (
+    SELECT code, bucket, gender = 'F' AS early, row_number() OVER (PARTITION BY bucket, gender = 'F' ORDER BY code) - 1 AS n,
+      count(*) FILTER (gender = 'F') OVER (PARTITION BY bucket) AS before FROM coded)
+    SELECT code AS source_code, CAST((n + CASE WHEN early THEN 0 ELSE before END) * 4096 + CAST('0x'||bucket AS INTEGER) + 1 AS BIGINT) AS client_id
+    FROM numbered""")
+def incremental_clients(k):
+    """Women loaded first, then everybody: keys given by the first load stay, the others are numbered after them."""
+    women = layered.ms_client(SimpleNamespace(ms_customer=k.src.ms_customer.where("gender = 'F'")))
+    return layered.ms_client(k.src, existing=women).select("source_code", "client_id")
+
+
 @query("load_fact_rentals", "SELECT * FROM lw_fait_locations")
 def load_fact_rentals(k):
     return layered.load_fact_rentals(k.layered["int_location"], k.calendar).drop("location_id")
@@ -97,20 +121,58 @@ def load_aggregates(k):
     return append_streams(*parts)
 
 
-@query("direct_load", " UNION ALL ".join(f"SELECT '{n}' AS tbl, count(*) AS nb FROM {n}" for n in summaries.REPORTED))
+def _counts(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS tbl, count(*) AS nb FROM {table}" for name, table in tables.items())
+
+
+def _loaded(k, build, label: str, report):
+    """Rows of ``report`` on a warehouse loaded for it alone and dropped again; one row per table."""
+    database = new_database(k.spark, label)
+    rows = report(build(k.spark, k.src, k.calendar, k.stores, database)).collect()
+    k.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return k.spark.createDataFrame(rows, "tbl string, nb bigint")
+
+
+@query("direct_load", _counts({n: n for n in summaries.REPORTED}))
 def direct_load(k):
-    loaded = direct_warehouse(k.spark, k.src, k.calendar, k.stores, new_database(k.spark, "direct"))
-    return summaries.load_and_report(loaded)
+    return _loaded(k, direct_warehouse, "direct", summaries.load_and_report)
+
 
+# The check's names of the layered tables that differ from the tables' own.
+_LAYERED = {
+    "dim_produit": "int_produit", "dim_client": "lw_dim_client", "ventes_datees": "lw_dated", "fait_ventes": "lw_fait_ventes",
+    "ventes_rejetees": "lw_rejets", "fait_locations": "lw_fait_locations", **{n: f"lw_{n}" for n in summaries.BUILDERS},
+}
 
-@query("run_layered", """SELECT 'dim_produit' AS tbl, count(*) AS nb FROM int_produit UNION ALL SELECT 'dim_client', count(*) FROM lw_dim_client
-    UNION ALL SELECT 'fait_ventes', count(*) FROM lw_fait_ventes UNION ALL SELECT 'fait_locations', count(*) FROM lw_fait_locations""")
+
+@query("run_layered", _counts({n: _LAYERED.get(n, n) for n in layered.layered_builders(None, None)}))
 def run_layered(k):
-    loaded = layered_warehouse(k.spark, k.src, k.calendar, k.stores, new_database(k.spark, "layered"))
-    return load_layered(loaded).where("tbl NOT LIKE 'agg%'")
+    return _loaded(k, layered_warehouse, "layered", load_layered)
+
 
+_RESOLVED = """SELECT magasin_id, date_complete, reason, count(*) AS nb FROM (
+    SELECT e.magasin_id, CAST(quand AS DATE) AS date_complete, CASE WHEN t.temps_id IS NULL THEN 'no calendar day' WHEN p.said IS NULL THEN 'no product'
+      WHEN k.said IS NULL THEN 'no client' END AS reason FROM sold e LEFT JOIN dim_temps t ON t.date_complete = CAST(quand AS DATE)
+    LEFT JOIN product_of p ON p.way = e.way AND p.said = e.produit LEFT JOIN client_of k ON k.magasin_id = e.magasin_id AND k.said = e.client
+    WHERE ca IS NOT NULL AND quand IS NOT NULL) WHERE reason IS NOT NULL GROUP BY ALL"""
 
-@query("direct_load_plan", "SELECT 'fait_ventes' AS tbl, count(*) AS nb FROM fait_ventes UNION ALL SELECT 'fait_locations', count(*) FROM fait_locations")
+
+@query("direct_rejects", _RESOLVED)
+def direct_rejects(k):
+    """Sales the direct path leaves out, with the reason."""
+    return k.direct["ventes_rejetees"].groupBy("magasin_id", "date_complete", "reason").agg(F.count(F.lit(1)).alias("nb"))
+
+
+@query("direct_load_plan", """SELECT 'fait_ventes' AS tbl, annee, magasin_id, count(*) AS nb, CAST(sum(ca_ventes) AS DECIMAL(22,2)) AS ca, CAST(sum(marge) AS DECIMAL(22,2)) AS marge,
+      CAST(sum(est_neuf) AS BIGINT) AS n, count(DISTINCT client_id) AS clients, count(DISTINCT produit_id) AS produits FROM fait_ventes GROUP BY ALL
+    UNION ALL SELECT 'fait_locations', annee, magasin_id, count(*), CAST(sum(ca_locations) AS DECIMAL(22,2)), NULL, CAST(sum(nb_jours_total) AS BIGINT),
+      count(DISTINCT client_id), count(DISTINCT produit_id) FROM fait_locations GROUP BY ALL""")
 def direct_load_plan(k):
     """Both facts straight from the raw tables in one plan, nothing stored on the way."""
-    return row_count_report({n: k.lazy[n] for n in ("fait_ventes", "fait_locations")})
+    def totals(name, money, other, n):
+        groups = k.lazy[name].groupBy(F.lit(name).alias("tbl"), "annee", "magasin_id")
+        return settled(groups.agg(
+            F.count(F.lit(1)).alias("nb"), F.sum(money).alias("ca"), *[F.sum(c).alias("marge") for c in other], F.sum(n).alias("n"),
+            F.count_distinct("client_id").alias("clients"), F.count_distinct("produit_id").alias("produits")))
+
+    return append_streams(totals("fait_ventes", "ca_ventes", ["marge"], "est_neuf"), totals("fait_locations", "ca_locations", [], "nb_jours_total"))

@@ -122,11 +122,15 @@ def slice_dice(k):
     return settled(cb.measure_at_level(sliced, ["Sales Revenue"], ["Month", "Store"]))
 
 
-@query("summary_router", f"""SELECT 'agg_ventes_mois_magasin' AS route, t.annee, f.magasin_id, NULL AS trimestre, {_CA} AS "Sales Revenue"
+@query("summary_router", f"""SELECT 'agg_ventes_mois_magasin' AS route, t.annee, NULL AS trimestre, NULL AS mois, f.magasin_id, NULL AS type, NULL AS sous_type, {_CA} AS "Sales Revenue"
     FROM fait_ventes f JOIN dim_temps t USING (temps_id) GROUP BY ALL
-    UNION ALL SELECT 'fact', t.annee, NULL, t.trimestre, {_CA} FROM fait_ventes f JOIN dim_temps t USING (temps_id) GROUP BY ALL""")
+    UNION ALL SELECT 'agg_ventes_mois_magasin', t.annee, t.trimestre, t.mois, NULL, NULL, NULL, {_CA} FROM fait_ventes f JOIN dim_temps t USING (temps_id) GROUP BY ALL
+    UNION ALL SELECT 'agg_ventes_mois_produit', t.annee, t.trimestre, NULL, NULL, p.type, NULL, {_CA}
+    FROM fait_ventes f JOIN dim_temps t USING (temps_id) JOIN dim_produit p ON p.produit_id = f.produit_id GROUP BY ALL
+    UNION ALL SELECT 'fact', NULL, NULL, NULL, NULL, p.type, p.sous_type, {_CA} FROM fait_ventes f JOIN dim_produit p ON p.produit_id = f.produit_id GROUP BY ALL""")
 def summary_router(k):
-    answers = [cb.summary_router(k.sales, levels, ["Sales Revenue"]) for levels in (["Year", "Store"], ["Year", "Quarter"])]
+    asked = (["Year", "Store"], ["Month"], ["Quarter", "Type"], ["Subtype"])
+    answers = [cb.summary_router(k.sales, levels, ["Sales Revenue"]) for levels in asked]
     return settled(shape.append_streams(*[df.withColumn("route", F.lit(route)) for df, route in answers]))
 
 
@@ -154,13 +158,15 @@ def _monthly(k):
     return settled(qs.monthly_rentals(k.direct["agg_locations_mois_produit_magasin"]))
 
 
-@query("lag_previous_row", "SELECT *, lag(nb_locations) OVER (ORDER BY annee, mois) AS prev FROM mensuel")
+@query("lag_previous_row", "SELECT b.*, a.nb_locations AS prev FROM mensuel b LEFT JOIN (SELECT annee, mois, nb_locations FROM mensuel) a "
+       "ON a.annee * 12 + a.mois = (SELECT max(annee * 12 + mois) FROM mensuel c WHERE c.annee * 12 + c.mois < b.annee * 12 + b.mois)")
 def lag_previous_row(k):
     return periods.lag_previous_row(_monthly(k), "nb_locations")
 
 
-_MOM = """(SELECT *, round(CAST(nb_locations - lag(nb_locations) OVER w AS DOUBLE) / lag(nb_locations) OVER w * 100, 1) AS pct,
-    lag(nb_locations) OVER w AS p FROM mensuel WINDOW w AS (ORDER BY annee, mois)) WHERE p IS NOT NULL"""
+_NUMBERED = "(SELECT *, dense_rank() OVER (ORDER BY annee * 12 + mois) AS i FROM mensuel)"
+_MOM = f"""(SELECT b.annee, b.mois, b.nb_locations, b.ca_total, round(CAST(b.nb_locations - a.nb_locations AS DOUBLE) / a.nb_locations * 100, 1) AS pct
+    FROM {_NUMBERED} a JOIN {_NUMBERED} b ON b.i = a.i + 1)"""
 
 
 @query("mom_change_pct", f"SELECT annee, mois, nb_locations, ca_total, pct FROM {_MOM}")
@@ -201,35 +207,77 @@ def topn_per_group(k):
 _PERIODE = "annee||'-'||lpad(CAST(mois AS VARCHAR), 2, '0') AS Periode"
 
 
-@query("q1_movies_by_month", f"""SELECT {_PERIODE}, titre AS Film, ca_total AS CA_EUR, nb_ventes AS Nb_Ventes
-    FROM agg_ventes_mois_produit JOIN dim_produit USING (produit_id) WHERE type_produit = 'film'""")
+_MONTH = "strftime(date_complete, '%Y-%m') AS Periode"
+_Q1 = f"""SELECT Periode, any_value(titre) AS Film, {_CA} AS CA_EUR, {_NB} AS Nb_Ventes
+    FROM (SELECT {_MONTH}, produit_id, ca_ventes, nb_ventes FROM fait_ventes JOIN dim_temps USING (temps_id)) f
+    JOIN dim_produit p ON p.produit_id = f.produit_id AND p.type = 'film' GROUP BY Periode, f.produit_id"""
+
+
+@query("q1_movies_by_month", _Q1)
 def q1_movies_by_month(k):
     return qs.q1_movies_by_month(k.direct["agg_ventes_mois_produit"], k.direct["dim_produit"])
 
 
-@query("q2_revenue_by_store", f"""SELECT {_PERIODE}, nom AS Magasin, ca_total AS CA_EUR, nb_ventes AS Nb_Ventes, nb_clients AS Nb_Clients
-    FROM agg_ventes_mois_magasin JOIN dim_magasin USING (magasin_id)""")
+_Q2 = f"""SELECT {_MONTH}, nom AS Magasin, {_CA} AS CA_EUR, {_NB} AS Nb_Ventes, count(DISTINCT f.client_id) AS Nb_Clients
+    FROM fait_ventes f JOIN dim_temps t ON t.temps_id = f.temps_id JOIN dim_magasin m ON m.magasin_id = f.magasin_id GROUP BY Periode, nom"""
+
+
+@query("q2_revenue_by_store", _Q2)
 def q2_revenue_by_store(k):
     return qs.q2_revenue_by_store(k.direct["agg_ventes_mois_magasin"], k.stores)
 
 
-@query("q3_renter_profile", """SELECT CASE c.genre WHEN 'F' THEN 'Femme' ELSE 'Homme' END AS Genre, round(avg(c.age), 1) AS Age_Moyen,
-    count(DISTINCT f.client_id) AS Nb_Clients_Distincts, count(*) AS Nb_Locations FROM fait_locations f JOIN dim_client c ON c.client_id = f.client_id GROUP BY c.genre""")
+_Q3 = """SELECT if(g = 'F', 'Femme', 'Homme') AS Genre, round(years / aged, 1) AS Age_Moyen, Nb_Clients_Distincts, Nb_Locations FROM (
+    SELECT coalesce(genre, '?') AS g, CAST(sum(age * n) AS DOUBLE) AS years, sum(n) FILTER (age IS NOT NULL) AS aged,
+      count(*) AS Nb_Clients_Distincts, CAST(sum(n) AS BIGINT) AS Nb_Locations
+    FROM dim_client JOIN (SELECT client_id AS renter, count(*) AS n FROM fait_locations GROUP BY ALL) ON renter = client_id GROUP BY g)"""
+
+
+@query("q3_renter_profile", _Q3)
 def q3_renter_profile(k):
     return qs.q3_renter_profile(k.direct["fait_locations"], k.direct["dim_client"])
 
 
-@query("q4_rentals_by_store", f"""SELECT nom AS Magasin, {_PERIODE}, titre AS Film, nb_locations AS Nb_Locations, ca_total AS CA_EUR
-    FROM agg_locations_mois_produit_magasin JOIN dim_produit USING (produit_id) JOIN dim_magasin USING (magasin_id)""")
+_Q4 = f"""SELECT any_value(nom) AS Magasin, {_MONTH}, any_value(titre) AS Film, {_LOC} AS Nb_Locations, CAST(sum(ca_locations) AS DECIMAL(22,2)) AS CA_EUR
+    FROM fait_locations f JOIN dim_temps t ON t.temps_id = f.temps_id JOIN dim_magasin m ON m.magasin_id = f.magasin_id
+    JOIN dim_produit p ON p.produit_id = f.produit_id GROUP BY f.magasin_id, Periode, f.produit_id"""
+
+
+@query("q4_rentals_by_store", _Q4)
 def q4_rentals_by_store(k):
     return qs.q4_rentals_by_store(k.direct["agg_locations_mois_produit_magasin"], k.direct["dim_produit"], k.stores)
 
 
-@query("q5_rental_trends", f"""SELECT {_PERIODE}, nb_locations AS Nb_Locations, ca_total AS CA_EUR, pct AS Variation_Pct FROM {_MOM}""")
+_Q5 = f"SELECT {_PERIODE}, nb_locations AS Nb_Locations, ca_total AS CA_EUR, pct AS Variation_Pct FROM {_MOM}"
+
+
+@query("q5_rental_trends", _Q5)
 def q5_rental_trends(k):
     return qs.q5_rental_trends(k.direct["agg_locations_mois_produit_magasin"])
 
 
+_ANSWERS = {  # fixed values: how each question's result is meant to be shown
+    "Q1 — Top Movies by Monthly Revenue": ("bar", _Q1, ("Periode", "Film", "CA_EUR", "Nb_Ventes")),
+    "Q2 — Monthly Revenue by Store": ("line", _Q2, ("Periode", "Magasin", "CA_EUR", "Nb_Ventes", "Nb_Clients")),
+    "Q3 — Renter Profile (Average Age M/F)": ("bar", _Q3, ("Genre", "Age_Moyen", "Nb_Clients_Distincts", "Nb_Locations")),
+    "Q4 — Most Rented Movies by Store": ("table", _Q4, ("Magasin", "Periode", "Film", "Nb_Locations", "CA_EUR")),
+    "Q5 — Monthly Rental Trends": ("line", _Q5, ("Periode", "Nb_Locations", "CA_EUR", "Variation_Pct")),
+}
+
+
+@query("question_registry", " UNION ALL ".join(
+    f"SELECT '{name}' AS question, '{display}' AS display, concat_ws('|', {', '.join(cols)}) AS answer FROM ({sql})"
+    for name, (display, sql, cols) in _ANSWERS.items()
+))
+def question_registry(k):
+    """The rows of every registered question, as text."""
+    return shape.union_all(*[
+        qs.ask(k.direct, q.name).select(
+            F.lit(q.name).alias("question"), F.lit(q.display).alias("display"), F.concat_ws("|", *_ANSWERS[q.name][2]).alias("answer"))
+        for q in qs.QUESTIONS.values()
+    ])
+
+
 _TOP = "SELECT produit_id FROM agg_ventes_mois_produit {} GROUP BY produit_id ORDER BY sum(ca_total) DESC, produit_id LIMIT {}"
 
 

@@ -63,9 +63,9 @@ def anti_join_title(k):
 
 
 @query("anti_join_lower", """SELECT DISTINCT gadget_title FROM mmm_gadgetsales g WHERE NOT EXISTS
-    (SELECT 1 FROM bb_gadget b WHERE b.sale_price > 50000 AND lower(b.title) = lower(g.gadget_title))""")
+    (SELECT 1 FROM bb_gadget b WHERE lower(b.title) = lower(g.gadget_title))""")
 def anti_join_lower(k):
-    known = k.src.bb_gadget.where("sale_price > 50000").select("title")
+    known = k.src.bb_gadget.select("title")
     return joins.anti_join_lower(k.src.mmm_gadgetsales.select("gadget_title").distinct(), known, "gadget_title", "title")
 
 

@@ -30,6 +30,7 @@ _BLOCK = "concat(n_name, '-', c_custkey div 16)"
 _TITLE = "concat(CASE WHEN p_size > 40 THEN 'The ' ELSE '' END, p_name, ' ', p_partkey div 4)"
 _BB_TITLE = "concat(CASE WHEN p_size > 40 THEN 'THE ' ELSE '' END, upper(p_name), '-', p_partkey div 4)"
 _GADGET = "concat('T', p_name, ' ', p_partkey div 4)"
+_MMM_GADGET = "concat('T', p_name, IF(p_size % 10 = 3, ' Deluxe ', ' '), p_partkey div 4)"  # some that BB lacks
 _MMM_NAME = "concat('T', initcap(c_mktsegment), IF(c_acctbal > 7500, ' Q.', ''), ' ', n_name, '-', c_custkey div 16)"
 _MMM_MALE = "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey % 2 END"
 _UNSOLD = "l_linestatus = 'O'"
@@ -189,7 +190,7 @@ class RawSources:
     @cached_property
     def mmm_gadgetsales(self) -> DataFrame:
         return self._with_buyer(self._gadget_lines("R")).selectExpr(
-            "l_orderkey * 8 + l_linenumber AS ref_no", f"{_GADGET} AS gadget_title", "concat('T', p_brand) AS gadget_type",
+            "l_orderkey * 8 + l_linenumber AS ref_no", f"{_MMM_GADGET} AS gadget_title", "concat('T', p_brand) AS gadget_type",
             "o_orderdate AS sale_date", "IF(l_discount = 0, NULL, l_extendedprice) AS price_sale",
             "p_retailprice AS inv_price", "to_date(l_shipdate) AS inv_date",
             f"{_MMM_NAME} AS cust_name", f"{_MMM_MALE} AS sex_male", f"{_BIRTH} AS birthdate",

@@ -24,42 +24,39 @@ def dim(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(facts, dim, rows, how):
-    plain = facts.join(dim, "k", how)
-    assert rows(skew.salted_join(facts, dim, ["k"], how)) == rows(plain)
-    assert rows(skew.growing_join(facts, dim, ["k"], how, plain_bytes=-1)) == rows(plain)
+def test_spread_join_equals_plain_join(facts, dim, rows, how):
+    spread = skew.spread_join(facts, dim, ["k"], "line", skew.hot_keys(facts, ["k"], share=0.05), how)
+    plain = facts.join(dim, ["k"], how)
+    assert rows(spread, *plain.columns) == rows(plain)
 
 
-def test_salted_join_spreads_the_hot_key(facts, dim, spark):
+def test_spread_join_deals_out_equal_rows_of_a_hot_key(spark):
+    sales = spark.range(40_000).select(F.col("id").alias("row"), F.lit(7).alias("k"), F.lit(1.5).alias("price"))
+    names = spark.createDataFrame([(7, "name")], "k int, name string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_join(facts, dim, ["k"]).where("k = 7")
-        tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert sum(r["count"] for r in tasks) == 2000  # two rows of the dimension match
-        assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 1000
+        hot = skew.hot_keys(sales, ["k"], share=0.02)
+        tasks = skew.spread_join(sales, names, ["k"], "row", hot).groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in tasks) == 40_000
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 12_000
 
 
-def test_salted_join_refuses_to_preserve_the_right_side(facts, dim):
+def test_spread_join_refuses_to_preserve_the_right_side(facts, dim):
     with pytest.raises(ValueError):
-        skew.salted_join(facts, dim, ["k"], "full")
+        skew.spread_join(facts, dim, ["k"], "line", skew.hot_keys(facts, ["k"]), "full")
 
 
 def test_hot_keys_are_few(facts, rows):
-    assert rows(skew.hot_keys(facts, ["k"], share=0.1)) == [(7, 4)]  # 1000 of 2900 keyed rows
+    assert rows(skew.hot_keys(facts.where("k IS NOT NULL"), ["k"], share=0.1)) == [(7, 4)]  # 1000 of 2900 keyed rows
     many = skew.hot_keys(facts, ["k"], share=0.01)
-    assert many.count() < 100 and many.agg(F.sum("_pieces")).collect()[0][0] < 200
+    assert many.count() < 100 and many.agg(F.sum("pieces")).collect()[0][0] < 200
     assert skew.hot_keys(facts.limit(0), ["k"]).count() == 0
 
 
-def test_input_bytes_sees_files(ws):
-    assert skew.input_bytes(ws.src.table("lineitem")) > 10_000
-    assert skew.broadcast_sized(ws.calendar)
-
-
 def test_keep_first_takes_the_smallest_text_code(spark, rows):
     df = spark.createDataFrame(
         [("9", "ann", "Lee"), ("10", "ANN", "lee"), ("3", "Bob", None), (None, "Bob", None)], "code string, first string, last string"
@@ -73,6 +70,28 @@ def test_group_min_takes_each_column_on_its_own(spark, rows):
     assert rows(dedup.dedup_group_min(df, {"key": F.lower("k")}, ["t", "n"])) == [("a", "x", 1), ("b", None, None)]
 
 
+def test_known_surrogate_keys_stay_and_new_ones_are_unique(spark, rows):
+    people = spark.range(50_000).select(F.col("id").cast("string").alias("code"))
+    half = dedup.surrogate_keys(people.where("cast(code AS bigint) % 2 = 0"), ["code"], "id").cache()
+    everybody = dedup.surrogate_keys(people, ["code"], "id", known=half).cache()
+    assert everybody.count() == everybody.select("id").distinct().count() == 50_000
+    assert everybody.join(half, ["code", "id"]).count() == half.count() == 25_000
+    again = dedup.surrogate_keys(people, ["code"], "id", known=everybody)
+    assert again.join(everybody, ["code", "id"]).count() == 50_000
+
+
+def test_natural_keys_that_differ_stay_apart(spark):
+    df = spark.createDataFrame([("a", None), ("a", ""), ("x|y", "z"), ("x", "y|z"), (None, "a")], "a string, b string")
+    assert df.select(dedup.natural_key_text(["a", "b"]).alias("k")).distinct().count() == 5
+
+
+def test_titles_without_latin_letters_never_match(spark, rows):
+    new = spark.createDataFrame([("千と千尋",), ("Амели",), ("Up!",)], "t string")
+    old = spark.createDataFrame([("もののけ姫",), ("up",)], "o string")
+    assert joins.join_on_title_key(new, old, "t", "o").count() == 1
+    assert [r[0] for r in rows(joins.anti_join_title(new, old, "t", "o"))] == ["Амели", "千と千尋"]
+
+
 def test_surrogate_keys_are_unique_and_repeatable(spark, rows):
     df = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("name"), F.when(F.col("id") > 9, F.col("id")).alias("n"))
     first = rows(dedup.surrogate_keys(df, ["name", "n"], "id"))
