@@ -6,14 +6,14 @@ import base64
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelhouse.llm.common import ship
 from reelhouse.llm.pieces import TextCoder
 
+ROWS_AT_ONCE = 512
 WORD, LOW = 6, 63  # a level of the bitmap has a bit for each 64-bit word of the level below
 
 
@@ -34,8 +34,11 @@ class RankQueue:
         bucket = self.buckets.get(rank)
         if bucket is not None:
             bucket.append(position)
-            return
-        self.buckets[rank] = [position]
+        else:
+            self.open(rank, [position])
+
+    def open(self, rank: int, positions: list[int]) -> None:
+        self.buckets[rank] = positions
         self.bits[rank >> WORD] |= 1 << (rank & LOW)
         self.words[rank >> 2 * WORD] |= 1 << (rank >> WORD & LOW)
         self.top |= 1 << (rank >> 2 * WORD)
@@ -64,7 +67,8 @@ class ByteBpe:
         self.tokens: list[bytes] = [b""] * self.size
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)])
+        self.bytes_rank = np.array([self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
         self.pairs = {
             self.ranks[token[:i]] * self.size + self.ranks[token[i:]]: rank
             for token, rank in self.ranks.items() for i in range(1, len(token))
@@ -84,19 +88,24 @@ class ByteBpe:
         The lowest rank goes first, from left to right. Pieces don't touch, so each ends as if it had
         been merged alone, and a piece of any length costs a queue step per merge.
         """
-        ids = [self.single[b] for p in pieces for b in p]
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        at = 0
-        for p in pieces:
-            before[at] = -1
-            at += len(p)
-            after[at - 1] = -1
-        rank_at, queue, size, rank_of = [-1] * len(ids), RankQueue(self.size), self.size, self.pairs.get
-        push = queue.push
-        for i, j in enumerate(after):
-            if j >= 0 and (rank := rank_of(ids[i] * size + ids[j], -1)) >= 0:
-                rank_at[i] = rank
-                push(rank, i)
+        if not pieces:
+            return []
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum([len(p) for p in pieces])
+        ids = self.single[data].tolist()
+        last = np.zeros(len(data), bool)
+        last[ends - 1] = True
+        after = np.where(last, -1, np.arange(1, len(data) + 1)).tolist()
+        before = np.where(np.roll(last, 1), -1, np.arange(-1, len(data) - 1)).tolist()
+        ranks = np.where(last, -1, self.bytes_rank[data.astype(np.int64) * 256 + np.roll(data, -1)])
+        rank_at, queue, size, rank_of = ranks.tolist(), RankQueue(self.size), self.size, self.pairs.get
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0):]
+        if len(order):
+            starts = np.flatnonzero(np.diff(ranks[order], prepend=-1))
+            for rank, positions in zip(ranks[order[starts]].tolist(), np.split(order, starts[1:]), strict=True):
+                queue.open(rank, positions.tolist())
+        bucket_of, push = queue.buckets.get, queue.push
         while queue.top:
             rank = queue.first()
             positions = queue.pop(rank)
@@ -112,23 +121,27 @@ class ByteBpe:
                     before[k] = i
                     if (new := rank_of(rank * size + ids[k], -1)) >= 0:
                         rank_at[i] = new
-                        push(new, i)
+                        if bucket := bucket_of(new):
+                            bucket.append(i)
+                        else:
+                            push(new, i)
                         lower = new < rank
                 if h >= 0:
                     rank_at[h] = new = rank_of(ids[h] * size + rank, -1)
                     if new >= 0:
-                        push(new, h)
+                        if bucket := bucket_of(new):
+                            bucket.append(h)
+                        else:
+                            push(new, h)
                         lower = lower or new < rank
                 if lower:
                     for late in positions[n + 1:]:
                         push(rank, late)
                     break
-        coded, at, out = np.array(ids, dtype=np.int64), 0, []
-        for p in pieces:
-            own = coded[at:at + len(p)]
-            out.append(own[own >= 0].astype("<u4").tobytes())
-            at += len(p)
-        return out
+        coded = np.array(ids, dtype=np.int64)
+        tokens = np.concatenate([[0], np.cumsum(coded >= 0)])[np.concatenate([[0], ends])] * 4
+        flat = coded[coded >= 0].astype("<u4").tobytes()
+        return [flat[i:j] for i, j in zip(tokens[:-1].tolist(), tokens[1:].tolist(), strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -154,36 +167,24 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encoded(text: Column, file: Broadcast, pattern: str) -> Column:
-    """Ids of the whole text as little-endian 32-bit integers; null and empty texts have none."""
-    @pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        code = _coder(file, pattern)[1]
-        for texts in batches:
-            yield pd.Series(list(code(texts)), dtype=object)
-
-    return encode(text)
-
-
-def decoded(ids: Column, file: Broadcast, pattern: str) -> Column:
-    """The bytes that ids from ``encoded`` stand for."""
-    @pandas_udf("binary")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = _coder(file, pattern)[0]
-        for ids in batches:
-            yield pd.Series([bpe.decode(i) for i in ids], dtype=object)
-
-    return decode(ids)
-
-
 def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids, decoded.
+    """One row per document: doc_id, n_tokens, ids (little-endian 32-bit integers), decoded (the bytes the ids stand for).
 
     No special tokens: their strings are ordinary text. Null text counts as empty and has no ids;
     repeated rows are coded each; an empty table gives no rows.
     """
     file = vocabulary(docs.sparkSession, path)
-    coded = docs.select(F.col(doc_id).alias("doc_id"), encoded(F.coalesce(F.col(text), F.lit("")), file, pattern).alias("ids"))
-    return coded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", decoded(F.col("ids"), file, pattern).alias("decoded"),
-    )
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, coder = _coder(file, pattern)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                ids = list(coder(part.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.binary())], ["doc_id", "ids", "decoded"])
+
+    coded = rows.mapInArrow(code, f"doc_id {id_type}, ids binary, decoded binary")
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")

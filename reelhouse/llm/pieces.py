@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import regex
 
 # Chunks and pre-tokens remembered by one Python worker, and characters coded together.
-REMEMBERED = 500_000
+CHUNKS, PIECES = 300_000, 800_000
 CHARS_AT_ONCE = 1 << 21
 
 
@@ -20,8 +20,8 @@ class TextCoder:
     pattern as a whole.
     """
 
-    def __init__(self, pattern: str, code: Callable[[list[str]], list[bytes]], remembered: int = REMEMBERED) -> None:
-        self.find, self.code, self.remembered = regex.compile(pattern).findall, code, remembered
+    def __init__(self, pattern: str, code: Callable[[list[str]], list[bytes]]) -> None:
+        self.find, self.code = regex.compile(pattern).findall, code
         self.chunks: dict[str, bytes | None] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -36,9 +36,9 @@ class TextCoder:
         yield from self._together(held)
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.chunks) > self.remembered:
+        if len(self.chunks) > CHUNKS:
             self.chunks.clear()
-        if len(self.pieces) > self.remembered:
+        if len(self.pieces) > PIECES:
             self.pieces.clear()
         cut = [t.split(" ") for t in texts]
         heads = [c.pop(0) for c in cut]
