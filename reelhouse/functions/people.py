@@ -10,11 +10,10 @@ AGE_BANDS = (("<25", 25), ("25-40", 40), ("40-60", 60))
 TOP_BAND = ">60"
 
 
-def gender_from_label(col: Column, default: str | None = None) -> Column:
+def gender_from_label(col: Column, default: str | None = None, ignore_case: bool = False) -> Column:
     """F or M from a text holding 'Female' or 'Male'; anything else gives ``default``."""
-    return (
-        F.when(col.contains("Female"), "F").when(col.contains("Male"), "M").otherwise(F.lit(default))
-    )
+    label, female, male = (F.lower(col), "female", "male") if ignore_case else (col, "Female", "Male")
+    return F.when(label.contains(female), "F").when(label.contains(male), "M").otherwise(F.lit(default))
 
 
 def gender_from_flag(col: Column, default: str | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelhouse.functions.text import match_key
@@ -68,11 +70,13 @@ def anti_join_title(new: DataFrame, existing: DataFrame, new_title: str, existin
     return keyed.join(known, ["title_key"], "left_anti").drop("title_key")
 
 
-def anti_join_lower(new: DataFrame, existing: DataFrame, new_title: str, existing_title: str) -> DataFrame:
-    """Rows of ``new`` whose lower-cased title is not among the existing ones."""
-    known = existing.select(F.lower(existing_title).alias("lower_title")).distinct()
-    keyed = new.withColumn("lower_title", F.lower(new_title))
-    return keyed.join(known, ["lower_title"], "left_anti").drop("lower_title")
+def anti_join_lower(
+    new: DataFrame, existing: DataFrame, new_title: str, existing_title: str, key: Callable[[Column], Column] = F.lower,
+) -> DataFrame:
+    """Rows of ``new`` whose title is not among the existing ones, compared by ``key``: lower case, or ``collated``."""
+    known = existing.select(key(F.col(existing_title)).alias("_title")).distinct()
+    keyed = new.withColumn("_title", key(F.col(new_title)))
+    return keyed.join(known, ["_title"], "left_anti").drop("_title")
 
 
 def lookup_left(

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from reelhouse.functions.measures import margin
+
 
 def coerce_decimals(df: DataFrame) -> DataFrame:
     """Replace every decimal column by a double."""
@@ -55,7 +57,7 @@ def sale_flags(df: DataFrame, date: str, flag: str | None = None) -> DataFrame:
 
 def stored_margin(df: DataFrame, revenue: str, cost: str) -> DataFrame:
     """Add ``marge`` as a real column, since Parquet tables have no generated columns."""
-    return df.withColumn("marge", (F.col(revenue) - F.col(cost)).cast("decimal(12,2)"))
+    return df.withColumn("marge", margin(F.col(revenue), F.col(cost)))
 
 
 def route_rows(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:

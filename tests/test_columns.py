@@ -98,3 +98,7 @@ def test_ratios_and_margin(values):
     assert values([4, 0, None], lambda c: measures.ratio_measures(F.lit(2), c), "v int") == [0.5, None, None]
     assert values([80, 0, None], lambda c: measures.change(F.lit(100), c), "v int") == [0.25, None, None]
     assert values([3, None], lambda c: measures.margin(F.lit(10), c), "v int")[1] is None
+
+
+def test_gender_labels_in_any_case(values):
+    assert values(["TFEMALE", "tmale", "x", None], lambda c: people.gender_from_label(c, ignore_case=True)) == ["F", "M", None, None]

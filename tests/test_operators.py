@@ -70,6 +70,15 @@ def test_group_min_takes_each_column_on_its_own(spark, rows):
     assert rows(dedup.dedup_group_min(df, {"key": F.lower("k")}, ["t", "n"])) == [("a", "x", 1), ("b", None, None)]
 
 
+def test_anti_join_by_another_key(spark, rows):
+    from reelhouse.functions.text import collated
+
+    new = spark.createDataFrame([("ÉMILE",), ("Zoe",)], "t string")
+    old = spark.createDataFrame([("emile",)], "o string")
+    assert joins.anti_join_lower(new, old, "t", "o").count() == 2
+    assert rows(joins.anti_join_lower(new, old, "t", "o", collated)) == [("Zoe",)]
+
+
 def test_known_surrogate_keys_stay_and_new_ones_are_unique(spark, rows):
     people = spark.range(50_000).select(F.col("id").cast("string").alias("code"))
     half = dedup.surrogate_keys(people.where("cast(code AS bigint) % 2 = 0"), ["code"], "id").cache()
