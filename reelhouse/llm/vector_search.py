@@ -17,7 +17,7 @@ from reelhouse.llm.common import ship, stored
 # The tree is fitted on about so many vectors and bytes, chosen by a hash; its leaves hold about LEAF_ROWS of
 # all rows each, but LEAST_SAMPLED sampled ones at least.
 SAMPLE, SAMPLE_BYTES = 100_000, 64 << 20
-BRANCHES, LEAF_ROWS, LEAST_SAMPLED, ROUNDS = 8, 500, 12, 8
+BRANCHES, LEAF_ROWS, LEAST_SAMPLED, ROUNDS = 8, 250, 12, 8
 # Leaf visits are widened until so many calibration queries find this share of their exact neighbours.
 CALIBRATION, RECALL = 200, 0.95
 CHUNK = 4096
@@ -133,25 +133,31 @@ def _bytes(frame: DataFrame, width: int) -> DataFrame:
     return frame.mapInArrow(pack, schema)
 
 
-def _top(scores: np.ndarray, ids: list[np.ndarray], keep: int) -> list[tuple[float, int]]:
-    """The ``keep`` best (score, id), ties to the smaller id."""
-    if len(scores) > keep:
-        cut = np.partition(scores, len(scores) - keep)[len(scores) - keep]
-        rows = np.flatnonzero(scores >= cut)
+def _top(scores: np.ndarray, ids: np.ndarray, keep: int) -> list[list[tuple[float, int]]]:
+    """For each row of scores the ``keep`` best (-score, id), ties to the smaller id."""
+    found = []
+    if scores.shape[1] > keep:
+        near = np.argpartition(-scores, keep, axis=1)[:, :keep]
+        least = np.take_along_axis(scores, near, 1).min(1)
+        tied = (scores >= least[:, None]).sum(1) > keep
     else:
-        rows = np.arange(len(scores))
-    return sorted(((-float(scores[r]), int(i)) for r in rows for i in ids[r]))[:keep]
+        near, tied = np.broadcast_to(np.arange(scores.shape[1]), scores.shape), np.zeros(len(scores), bool)
+    for row, columns in enumerate(near):
+        if tied[row]:
+            columns = np.flatnonzero(scores[row] >= least[row])
+        found.append(sorted(zip((-scores[row, columns]).tolist(), ids[columns].tolist(), strict=True))[:keep])
+    return found
 
 
-def _joined_parts(left: pd.DataFrame, right: pd.DataFrame, width: int, keep: int) -> Iterator[tuple[int, list]]:
-    """Products of the queries with the vectors of one block: (query, its best ids)."""
+def _compared(left: pd.DataFrame, right: pd.DataFrame, width: int, keep: int) -> Iterator[tuple[int, list]]:
+    """Products of the queries with all vectors of one block: (query, its best ids)."""
     x = np.frombuffer(b"".join(right["vector"]), "<f8").reshape(-1, width)
-    ids = list(right["ids"])
+    copies = np.array([len(i) for i in right["ids"]])
+    ids, x = np.concatenate(list(right["ids"])), np.repeat(x, copies, axis=0)
     for start in range(0, len(left), 256):
         part = left.iloc[start:start + 256]
         scores = np.frombuffer(b"".join(part["vector"]), "<f8").reshape(-1, width) @ x.T
-        for rep, own in zip(part["query"], scores, strict=True):
-            yield rep, _top(own, ids, keep)
+        yield from zip(part["query"], _top(scores, ids, keep), strict=True)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
@@ -230,35 +236,45 @@ def _calibrate(index: DataFrame, wanted: DataFrame, tree: Tree, shared, width: i
 def _search_leaves(index: DataFrame, wanted: DataFrame, shared, leaves: int, width: int, visits: int, keep: int) -> DataFrame:
     """(query, best): the best ids of each query over the leaves it visits.
 
-    A leaf's vectors and its queries are dealt out in chunks of about CHUNK rows; every chunk of one meets every
-    chunk of the other in a task of its own.
+    Neighbouring leaves make a block of about CHUNK rows, a larger leaf several blocks; a query meets the whole of each
+    block in which it visits a leaf. The queries of a block are dealt out in chunks of about CHUNK too.
     """
+    spark = index.sparkSession
+    rows = {r.leaf: r["count"] for r in index.groupBy("leaf").count().collect()}  # one row per leaf of the tree
+    first, parts, block, held = np.zeros(leaves, np.int64), np.ones(leaves, np.int64), 0, 0
+    for leaf in range(leaves):
+        n = rows.get(leaf, 0)
+        if held and held + n > CHUNK:
+            block, held = block + 1, 0
+        first[leaf], parts[leaf] = block, max(1, -(-n // CHUNK))
+        held += n
+        if parts[leaf] > 1:
+            block, held = block + int(parts[leaf]), 0
+    places = spark.sparkContext.broadcast((first, parts))
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tree(*shared.value)
+        own, (first, parts) = Tree(*shared.value), places.value
         for batch in batches:
             if batch.num_rows:
-                bins = [best_bins(v, own, visits) for v in _matrix(batch.column(1), "<f8", width).astype(np.float32)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bins, pa.list_(pa.int64()))], ["query", "vector", "bins"])
-
-    asked = stored(wanted.mapInArrow(visit, "query long, vector binary, bins array<long>"), "visits")
-    each = asked.select("query", "vector", F.explode("bins").alias("leaf"))
-    # One row per leaf of the tree, whose size is bounded by the sample.
-    rows = {r.leaf: r["count"] for r in index.groupBy("leaf").count().collect()}
-    asks = {r.leaf: r["count"] for r in each.groupBy("leaf").count().collect()}
-    parts = [(leaf, -(-rows.get(leaf, 0) // CHUNK) or 1, -(-asks.get(leaf, 0) // CHUNK) or 1) for leaf in range(leaves)]
-    cut = F.broadcast(index.sparkSession.createDataFrame(parts, "leaf long, a int, b int"))
-
-    def numbers(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    left = each.join(cut, "leaf").withColumn("j", F.pmod(F.xxhash64("query"), F.col("b")).cast("int")).withColumn("i", numbers("a"))
-    right = index.join(cut, "leaf").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("a")).cast("int")).withColumn("j", numbers("b"))
+                blocks = []
+                for v in _matrix(batch.column(1), "<f8", width).astype(np.float32):
+                    bins = best_bins(v, own, visits)
+                    blocks.append(sorted({int(first[b]) + i for b in bins for i in range(int(parts[b]))}))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.list_(pa.int64()))], ["query", "vector", "blocks"])
+
+    asked = stored(wanted.mapInArrow(visit, "query long, vector binary, blocks array<long>"), "visits")
+    each = asked.select("query", "vector", F.explode("blocks").alias("block"))
+    cut = each.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("pieces"))
+    leaf_blocks = F.broadcast(spark.createDataFrame([(leaf, int(first[leaf]), int(parts[leaf])) for leaf in range(leaves)], "leaf long, first long, parts long"))
+    left = each.join(cut, "block").withColumn("j", F.pmod(F.xxhash64("query"), F.col("pieces")).cast("int"))
+    placed = index.join(leaf_blocks, "leaf").withColumn("block", F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts")))
+    right = placed.join(cut, "block").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = list(_joined_parts(left, right, width, keep)) if len(left) and len(right) else []
+        found = list(_compared(left, right, width, keep)) if len(left) and len(right) else []
         return pd.DataFrame({"query": [q for q, _ in found], "best": [[{"cost": c, "id": i} for c, i in b] for _, b in found]})
 
-    on = ["leaf", "i", "j"]
+    on = ["block", "j"]
     blocks = left.select(*on, "query", "vector").groupBy(*on).cogroup(right.select(*on, "ids", "vector").groupBy(*on)) \
         .applyInPandas(meet, "query long, best array<struct<cost:double,id:long>>")
     return blocks.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, keep).alias("best"))
