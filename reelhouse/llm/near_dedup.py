@@ -311,7 +311,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     buckets = rows.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(rows.join(buckets, "bucket"), "buckets")
     own = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
-    texts = stored(own.join(members.select("node").distinct(), "node", "left_semi"), "candidates")
+    # Texts are joined by merging at every size, so that what a small input shuffles tells what a large one will.
+    texts = stored(own.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "candidates").hint("merge")
 
     links = stored(_verified(members.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts, idf), "links")
     copies = sketch.join(different.select("key", "node"), "key").select("doc_id", "node")
