@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-# Chunks and pre-tokens remembered by one Python worker, and characters coded together.
-CHUNKS, PIECES = 300_000, 800_000
-CHARS_AT_ONCE = 1 << 21
+# Chunks remembered by one Python worker, and characters coded together.
+CHUNKS = 800_000
+CHARS_AT_ONCE = 1 << 22
 
 
 class TextCoder:
@@ -17,13 +20,13 @@ class TextCoder:
     ``code`` maps different pre-tokens to the bytes of their ids. Texts are cut at single spaces first:
     a space before something else than white space always starts a pre-token, so the chunk after
     it can be coded and remembered by itself. A text with other spacing goes through the
-    pattern as a whole.
+    pattern as a whole. Chunks are cut, told apart and put together in Arrow arrays; Python sees the different ones.
     """
 
     def __init__(self, pattern: str, code: Callable[[list[str]], list[bytes]]) -> None:
         self.find, self.code = regex.compile(pattern).findall, code
-        self.chunks: dict[str, bytes | None] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes | None] = {}  # a word stands here for itself after a space
+        self.pieces: dict[str, bytes] = {}  # other pre-tokens
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         held, chars = [], 0
@@ -33,33 +36,59 @@ class TextCoder:
             if chars >= CHARS_AT_ONCE:
                 yield from self._together(held)
                 held, chars = [], 0
-        yield from self._together(held)
+        if held:
+            yield from self._together(held)
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.chunks) > CHUNKS:
+        if len(self.chunks) + len(self.pieces) > CHUNKS:
             self.chunks.clear()
-        if len(self.pieces) > PIECES:
             self.pieces.clear()
-        cut = [t.split(" ") for t in texts]
-        heads = [c.pop(0) for c in cut]
-        found = {}
-        for chunk in set().union(*cut).difference(self.chunks):
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        begin = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        place, heads = coded.indices.to_numpy().copy(), [t.partition(" ")[0] for t in texts]
+        own_heads = {h: i for i, h in enumerate(dict.fromkeys(heads))}
+        rest = np.ones(len(place), bool)
+        rest[begin[:-1]] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[place[rest]] = True
+        found = self._chunk_ids([c if u else "" for c, u in zip(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), used.tolist(), strict=True)])
+        place[begin[:-1]] = [len(found) + own_heads[h] for h in heads]
+        found += self._joined([self.find(h) for h in own_heads])
+        odd = np.concatenate([[0], np.cumsum(np.array([f is None for f in found], bool)[place])])[begin]
+        joined = pa.array([f or b"" for f in found], pa.large_binary()).take(pa.array(place))
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[: len(place) + 1][begin].tolist()
+        data = memoryview(joined.buffers()[2] or b"")
+        for i, text in enumerate(texts):
+            if odd[i] == odd[i + 1]:
+                yield bytes(data[ends[i]:ends[i + 1]])
+            else:  # a chunk that depends on its neighbours
+                yield self._joined([self.find(text)])[0]
+
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes | None]:
+        """Ids of each chunk with a space before it; None for one that depends on its neighbours."""
+        known = self.chunks
+        new = [c for c in chunks if c not in known]
+        self._learn_words([c for c in new if c.isalpha()])
+        mixed = []
+        for chunk in new:
             if not chunk or chunk[0].isspace():
-                self.chunks[chunk] = None
-            else:
-                found[chunk] = [" " + chunk] if chunk.isalpha() else self.find(" " + chunk)
-        first = {h: self.find(h) for h in set(heads)}
-        self._learn(p for some in (found, first) for pieces in some.values() for p in pieces)
-        for chunk, pieces in found.items():
-            self.chunks[chunk] = b"".join([self.pieces[p] for p in pieces])
-        for text, head, chunks in zip(texts, heads, cut, strict=True):
-            try:
-                yield b"".join([self.pieces[p] for p in first[head]]) + b"".join(map(self.chunks.__getitem__, chunks))
-            except TypeError:  # a chunk that depends on its neighbours
-                pieces = self.find(text)
-                self._learn(pieces)
-                yield b"".join(map(self.pieces.__getitem__, pieces))
+                known[chunk] = None
+            elif not chunk.isalpha():
+                mixed.append(chunk)
+        known.update(zip(mixed, self._joined([self.find(" " + c) for c in mixed]), strict=True))
+        return list(map(known.__getitem__, chunks))
+
+    def _learn_words(self, words: Iterable[str]) -> None:
+        new = list(set(words).difference(self.chunks))
+        self.chunks.update(zip(new, self.code([" " + w for w in new]), strict=True))
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        new = list(set(pieces).difference(self.pieces))
-        self.pieces.update(zip(new, self.code(new), strict=True))
+    def _joined(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts given as their pre-tokens."""
+        different = set().union(*texts)
+        words = {p: p[1:] for p in different if p[0] == " " and p[1:].isalpha()}
+        others = list(different.difference(words).difference(self.pieces))
+        self._learn_words(words.values())
+        self.pieces.update(zip(others, self.code(others), strict=True))
+        ids = {p: self.chunks[w] for p, w in words.items()} | {p: self.pieces[p] for p in different.difference(words)}
+        return [b"".join([ids[p] for p in pieces]) for pieces in texts]
