@@ -28,13 +28,15 @@ from reelhouse.sources.tables import shared_folder
 LONGEST = 20  # bits of the longest code; the decoding table has 2**LONGEST places
 CHECK_EVERY = 128
 BLOCK_TOKENS = 1 << 17
-STAGED = "part long, pos long, start long, doc_id long, ids binary"
+PIECES_AT_ONCE = 1024
+ROWS_AT_ONCE = 1024
+STAGED = "part long, pos long, start long, doc_id long, ids binary, counts binary"
 BLOCKS = "part long, start long, tokens long, doc_ids array<long>, lengths array<int>, checkpoints binary, payload binary"
 
 _loaded: dict[tuple[int, str], TextCoder] = {}
 
 
-def _coder(file: Broadcast, pattern: str) -> TextCoder:
+def _coder(file: Broadcast, pattern: str, kind: str) -> TextCoder:
     key = (hash(file.value), pattern)
     if key not in _loaded:
         import os
@@ -46,58 +48,88 @@ def _coder(file: Broadcast, pattern: str) -> TextCoder:
         tokenizer.encode_special_tokens = True
 
         def code(pieces: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            """Pieces that start with their only space are coded as one text: they end where the next begins."""
+            spaced = [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+            found = {}
+            for start in range(0, len(spaced), PIECES_AT_ONCE):
+                part = spaced[start:start + PIECES_AT_ONCE]
+                whole = tokenizer.encode("".join(part), add_special_tokens=False)
+                ids, word = np.array(whole.ids, kind).tobytes(), np.array(whole.word_ids)
+                ends = np.searchsorted(word, np.arange(len(part) + 1)) * np.dtype(kind).itemsize
+                if word[-1] != len(part) - 1:
+                    raise ValueError("pre-tokens ran together")
+                found |= {p: ids[i:j] for p, i, j in zip(part, ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
+            others = [p for p in pieces if p not in found]
+            single = tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            found |= {p: np.array(e.ids, kind).tobytes() for p, e in zip(others, single, strict=True)}
+            return [found[p] for p in pieces]
 
         _loaded.clear()
         _loaded[key] = TextCoder(pattern, code)
     return _loaded[key]
 
 
+def id_kind(path: str, end_id: int) -> str:
+    """How staged ids are held: 16 bits where the vocabulary allows."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
 def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Stored rows (part, pos, start, doc_id, ids) in ascending doc_id order, null ids first.
+    """Stored rows (part, pos, start, doc_id, ids, counts) in ascending doc_id order, null ids first.
 
     Each task codes one range of doc_ids; part is its number, pos and start the documents and tokens
     before the row in it. Equal doc_ids are ordered by a hash of their text. Null text counts as empty: its only token is
-    ``end_id``.
+    ``end_id``. One more row per task, without ids, counts all its ids.
     """
-    ship(docs.sparkSession)
     with open(path) as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    end = np.array([end_id], "<u4").tobytes()
+    kind = id_kind(path, end_id)
+    end, size = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, pos, start = _coder(file, pattern), TaskContext.get().partitionId(), 0, 0
+        coder, part, pos, start, total = _coder(file, pattern, kind), TaskContext.get().partitionId(), 0, 0, np.zeros(0, np.int64)
         for batch in batches:
-            ids = [own + end for own in coder(batch.column(1).to_pylist())]
-            n = np.array([len(i) // 4 for i in ids], np.int64)
-            starts = start + np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(pos, pos + len(ids))), pa.array(starts),
-                batch.column(0), pa.array(ids, pa.binary()),
-            ], ["part", "pos", "start", "doc_id", "ids"])
-            pos, start = pos + len(ids), start + int(n.sum())
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = batch.slice(at, ROWS_AT_ONCE)
+                ids = [own + end for own in coder(rows.column(1).to_pylist())]
+                n = np.array([len(i) // size for i in ids], np.int64)
+                starts = start + np.cumsum(n) - n
+                seen = np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
+                seen[:len(total)] += total
+                total = seen
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(ids), part, np.int64)), pa.array(np.arange(pos, pos + len(ids))), pa.array(starts),
+                    rows.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary()),
+                ], ["part", "pos", "start", "doc_id", "ids", "counts"])
+                pos, start = pos + len(ids), start + int(n.sum())
+        yield pa.RecordBatch.from_arrays([
+            pa.array([part]), pa.array([-1]), pa.array([-1]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary()),
+        ], ["part", "pos", "start", "doc_id", "ids", "counts"])
 
     return stored(ordered.mapInArrow(code, STAGED), "token-ids")
 
 
 def id_counts(staged: DataFrame) -> DataFrame:
-    """(id, n) over all tokens, counted in each task first."""
+    """(id, n) over all tokens, summed from the tasks' own counts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-                if len(own) > len(total):
-                    own[:len(total)] += total
-                    total = own
-                else:
-                    total[:len(own)] += own
+            for counts in batch.column(0):
+                own = np.frombuffer(counts.as_py(), np.int64)
+                both = np.zeros(max(len(own), len(total)), np.int64)
+                both[:len(own)] += own
+                both[:len(total)] += total
+                total = both
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    return staged.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    found = staged.where("counts IS NOT NULL").select("counts")
+    return found.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -163,8 +195,8 @@ class Code:
         return out.T.reshape(-1)[:tokens]
 
 
-def write_files(staged: DataFrame, folder: str) -> None:
-    """Code the staged ids by their global counts into a new ``folder``."""
+def write_files(staged: DataFrame, folder: str, kind: str) -> None:
+    """Code the staged ids, held as ``kind``, by their global counts into a new ``folder``."""
     spark = staged.sparkSession
     ship(spark)
     counts = id_counts(staged).toPandas()  # one row per id of the vocabulary at most
@@ -184,13 +216,14 @@ def write_files(staged: DataFrame, folder: str) -> None:
                 if held and (size >= BLOCK_TOKENS or following != (part, pos)):
                     yield _block(code, held)
                     held, size = [], 0
-                held.append((part, start, doc_id, np.frombuffer(ids, "<u4")))
-                size += len(ids) // 4
+                held.append((part, start, doc_id, np.frombuffer(ids, kind)))
+                size += len(held[-1][3])
                 following = (part, pos + 1)
         if held:
             yield _block(code, held)
 
-    staged.select("part", "pos", "start", "doc_id", "ids").mapInArrow(blocks, BLOCKS).write.parquet(f"{folder}/blocks")
+    rows = staged.where("ids IS NOT NULL").select("part", "pos", "start", "doc_id", "ids")
+    rows.mapInArrow(blocks, BLOCKS).write.parquet(f"{folder}/blocks")
 
 
 def _block(code: Code, held: list) -> pa.RecordBatch:
@@ -241,5 +274,5 @@ def ids_crc32(ids: np.ndarray) -> int:
 def round_trip(docs: DataFrame, path: str, pattern: str, end_id: int, each: Callable = ids_crc32, column: str = "ids_crc32 long") -> DataFrame:
     """Tokenise, write the files under the shared folder, and read them back."""
     folder = f"{shared_folder(docs.sparkSession)}/token-files-{uuid.uuid4().hex[:12]}"
-    write_files(tokenised(docs, path, pattern, end_id), folder)
+    write_files(tokenised(docs, path, pattern, end_id), folder, id_kind(path, end_id))
     return read_files(docs.sparkSession, folder, each, column)
