@@ -20,7 +20,7 @@ SAMPLE = 20_000
 BUCKETS = 1 << 20
 FEATURES = 4096
 EVIDENCE, LEAST_DOCS = 20.0, 4
-RIDGE, SWAP_PENALTY, STEPS = 1e-4, 1.0, 400
+RIDGE, SWAP_PENALTY, STEPS = 2e-5, 1.0, 600
 GRAMS = (4, 5, 6)
 REMEMBERED = 500_000
 
@@ -118,56 +118,74 @@ def choose_features(rows: DataFrame) -> np.ndarray:
     return np.sort(np.array(found, np.int64))
 
 
-def examples(rows: DataFrame, kept: np.ndarray, groups: tuple = IDENTITY) -> pd.DataFrame:
-    """(toxic, places, swapped): kept features of each row and of each of its swapped versions. One row per sampled label."""
+def examples(rows: DataFrame, kept: np.ndarray, groups: tuple = IDENTITY) -> pa.Table:
+    """(toxic, order, places, swapped): kept features of each row and of each of its swapped versions. One row per sampled label."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(kept)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([sorted(reader(t)) for t in texts], pa.list_(pa.int32())),
+                batch.column(0), pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
+                pa.array([sorted(reader(t)) for t in texts], pa.list_(pa.int32())),
                 pa.array([[sorted(reader(s)) for s in swaps(t, groups)] for t in texts], pa.list_(pa.list_(pa.int32()))),
-            ], ["toxic", "places", "swapped"])
+            ], ["toxic", "order", "places", "swapped"])
 
-    return rows.mapInArrow(read, "toxic int, places array<int>, swapped array<array<int>>").toPandas()
+    return rows.mapInArrow(read, "toxic int, order long, places array<int>, swapped array<array<int>>").toArrow()
 
 
-def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    lengths = [len(x) for x in lists]
-    return np.repeat(np.arange(len(lists)), lengths), np.concatenate([np.asarray(x, np.int64) for x in lists] or [np.zeros(0, np.int64)])
+class _Presence:
+    """Features present in each row, read in stretches so that what a step computes on them stays small."""
 
+    def __init__(self, lists: pa.ListArray, features: int) -> None:
+        ends = np.asarray(lists.offsets, np.int64)
+        self.column = np.asarray(lists.flatten(), np.int32)
+        self.row = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(ends))
+        self.rows, self.features = len(lists), features
 
-def fit(found: pd.DataFrame, kept: np.ndarray, swap_penalty: float = SWAP_PENALTY) -> Model:
+    def _stretches(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(self.row), 1 << 18):
+            yield self.row[at:at + (1 << 18)], self.column[at:at + (1 << 18)]
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        return sum((np.bincount(r, weights[c], self.rows) for r, c in self._stretches()), np.zeros(self.rows))
+
+    def turned_times(self, slope: np.ndarray) -> np.ndarray:
+        return sum((np.bincount(c, slope[r], self.features) for r, c in self._stretches()), np.zeros(self.features))
+
+
+def fit(found: pa.Table, kept: np.ndarray, swap_penalty: float = SWAP_PENALTY) -> Model:
     """Logistic regression; every difference of score between a row and its swapped version costs its square."""
-    n, size = len(found), len(kept)
-    y = found["toxic"].to_numpy(float) if n else np.zeros(0)
-    if not n or y.min() == y.max():
-        return Model(kept[:0], np.zeros(0), -20.0 if not n or y.max() == 0 else 20.0)
-    order = np.argsort([f"{t}{list(p)}" for t, p in zip(found["toxic"], found["places"], strict=True)], kind="stable")
-    found, y = found.iloc[order], y[order]
-    row, col = _flat(list(found["places"]))
-    pairs = [(i, s) for i, all_swaps in enumerate(found["swapped"]) for s in all_swaps]
-    origin = np.array([i for i, _ in pairs], np.int64)
-    swap_row, swap_col = _flat([s for _, s in pairs])
-    w, moment, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    y = np.asarray(found["toxic"], float)
+    if not len(y) or y.min() == y.max():
+        return Model(kept[:0], np.zeros(0), 20.0 if len(y) and y.max() else -20.0)
+    found = found.take(np.lexsort((found["order"].to_numpy(), y))).combine_chunks()
+    y, n = np.asarray(found["toxic"], float), len(y)
+    own = _Presence(_list(found["places"]), len(kept))
+    swapped = _list(found["swapped"])
+    origin = np.repeat(np.arange(n), np.diff(np.asarray(swapped.offsets)))
+    other = _Presence(swapped.flatten(), len(kept)) if len(origin) else None
+    w, moment, second = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     w[-1] = np.log(y.mean() / (1 - y.mean()))
     for step in range(1, STEPS + 1):
-        z = np.bincount(row, w[col], n) + w[-1]
+        z = own.times(w[:-1]) + w[-1]
         slope = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-        if pairs:
-            gap = z[origin] - np.bincount(swap_row, w[swap_col], len(pairs)) - w[-1]
-            pull = 2 * swap_penalty * gap / len(pairs)
+        gradient = np.zeros(len(w))
+        if other:
+            pull = 2 * swap_penalty * (z[origin] - other.times(w[:-1]) - w[-1]) / len(origin)
             slope = slope + np.bincount(origin, pull, n)
-        gradient = np.append(np.bincount(col, slope[row], size), slope.sum())
-        if pairs:
-            gradient[:-1] -= np.bincount(swap_col, pull[swap_row], size)
+            gradient[:-1] -= other.turned_times(pull)
             gradient[-1] -= pull.sum()
-        gradient[:-1] += RIDGE * w[:-1]
+        gradient[:-1] += own.turned_times(slope) + RIDGE * w[:-1]
+        gradient[-1] += slope.sum()
         moment, second = 0.9 * moment + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         w -= 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8) * (1 - step / (STEPS + 1))
     return Model(kept, w[:-1], float(w[-1]))
 
 
+def _list(column: pa.ChunkedArray) -> pa.ListArray:
+    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+
+
 def learn_model(docs: DataFrame, labels: DataFrame, learn: Column, swap_penalty: float = SWAP_PENALTY) -> Model:
     """The model of the labelled rows that ``learn``, an expression over labels, is true for.
 
