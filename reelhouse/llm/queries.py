@@ -47,7 +47,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_files.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
+    return token_files.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2, added=True)
 
 
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -33,11 +33,11 @@ ROWS_AT_ONCE = 1024
 STAGED = "part long, pos long, start long, doc_id long, ids binary, counts binary"
 BLOCKS = "part long, start long, tokens long, doc_ids array<long>, lengths array<int>, checkpoints binary, payload binary"
 
-_loaded: dict[tuple[int, str], TextCoder] = {}
+_loaded: dict[tuple[int, str, bool], Callable[[list[str]], list[bytes]]] = {}
 
 
-def _coder(file: Broadcast, pattern: str, kind: str) -> TextCoder:
-    key = (hash(file.value), pattern)
+def _coder(file: Broadcast, pattern: str, kind: str, added: bool) -> Callable[[list[str]], list[bytes]]:
+    key = (hash(file.value), pattern, added)
     if key not in _loaded:
         import os
 
@@ -45,7 +45,9 @@ def _coder(file: Broadcast, pattern: str, kind: str) -> TextCoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(file.value)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = True  # of pieces: texts that hold an added token go to the library whole
+        library = Tokenizer.from_str(file.value)
+        marks = [t.content for t in library.get_added_tokens_decoder().values()] if added else []
 
         def code(pieces: list[str]) -> list[bytes]:
             """Pieces that start with their only space are coded as one text: they end where the next begins."""
@@ -64,8 +66,17 @@ def _coder(file: Broadcast, pattern: str, kind: str) -> TextCoder:
             found |= {p: np.array(e.ids, kind).tobytes() for p, e in zip(others, single, strict=True)}
             return [found[p] for p in pieces]
 
+        by_pieces = TextCoder(pattern, code)
+
+        def code_texts(texts: list[str]) -> list[bytes]:
+            marked = {i: t for i, t in enumerate(texts) if any(m in t for m in marks)}
+            ids = list(by_pieces("" if i in marked else t for i, t in enumerate(texts)))
+            for i, text in marked.items():
+                ids[i] = np.array(library.encode(text, add_special_tokens=False).ids, kind).tobytes()
+            return ids
+
         _loaded.clear()
-        _loaded[key] = TextCoder(pattern, code)
+        _loaded[key] = code_texts
     return _loaded[key]
 
 
@@ -73,15 +84,16 @@ def id_kind(path: str, end_id: int) -> str:
     """How staged ids are held: 16 bits where the vocabulary allows."""
     from tokenizers import Tokenizer
 
-    return "<u2" if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    return "<u2" if max([*Tokenizer.from_file(path).get_vocab().values(), end_id]) < 1 << 16 else "<u4"
 
 
-def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, doc_id: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Stored rows (part, pos, start, doc_id, ids, counts) in ascending doc_id order, null ids first.
 
     Each task codes one range of doc_ids; part is its number, pos and start the documents and tokens
     before the row in it. Equal doc_ids are ordered by a hash of their text. Null text counts as empty: its only token is
-    ``end_id``. One more row per task, without ids, counts all its ids.
+    ``end_id``. One more row per task, without ids, counts all its ids. With ``added``, strings of the file's added
+    tokens get their ids, as in the library's own call; without, they are ordinary text.
     """
     with open(path) as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -92,7 +104,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, doc_id: str
     end, size = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, pos, start, total = _coder(file, pattern, kind), TaskContext.get().partitionId(), 0, 0, np.zeros(0, np.int64)
+        coder, part, pos, start, total = _coder(file, pattern, kind, added), TaskContext.get().partitionId(), 0, 0, np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 rows = batch.slice(at, ROWS_AT_ONCE)
@@ -271,8 +283,8 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, end_id: int, each: Callable = ids_crc32, column: str = "ids_crc32 long") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, end_id: int, each: Callable = ids_crc32, column: str = "ids_crc32 long", added: bool = False) -> DataFrame:
     """Tokenise, write the files under the shared folder, and read them back."""
     folder = f"{shared_folder(docs.sparkSession)}/token-files-{uuid.uuid4().hex[:12]}"
-    write_files(tokenised(docs, path, pattern, end_id), folder, id_kind(path, end_id))
+    write_files(tokenised(docs, path, pattern, end_id, added=added), folder, id_kind(path, end_id))
     return read_files(docs.sparkSession, folder, each, column)

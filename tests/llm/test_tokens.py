@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelhouse.llm import byte_bpe, token_files
+from reelhouse.llm import byte_bpe, queries, token_files
 from reelhouse.llm.pieces import TextCoder
 
 RANKS, JSON = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
@@ -132,3 +132,14 @@ def test_token_files_of_odd_tables(documents):
     got = token_files.round_trip(documents([(1, "a"), (1, "a"), (None, None), (1, "b")]), JSON, public_tokenizers.PATTERN, 2).collect()
     assert sorted((r.start, r.n_tokens) for r in got) == [(0, 1), (1, 2), (3, 2), (5, 2)]
     assert min(got, key=lambda r: r.start).doc_id is None
+
+
+def test_query_codes_added_tokens_as_the_library_does(documents, spark, folder):
+    end = "<|endoftext|>"
+    texts = [t or "" for t in HOSTILE] + [f"a {end} b", end, f"{end}{end}", f"x{end}y  \n{end} ", f"{end[:-1]} >", "<|endof text|>", f"don't{end}'t {'word ' * 500}"]
+    library, start = Tokenizer.from_file(JSON), 0
+    got = {r.doc_id: r for r in queries.op8_token_files(spark, folder(documents=documents(list(enumerate(texts))))).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
