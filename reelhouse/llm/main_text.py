@@ -56,6 +56,7 @@ class Page(NamedTuple):
     tokens: list[Token]
     sections: list[frozenset[str]]  # features of each section
     inside: list[bool]  # whether a section lies in an article or main element, and in nothing else within that
+    around: list[bool]  # whether a section holds such an element
 
 
 def _features(tag: str, attrs: str) -> frozenset[str]:
@@ -72,7 +73,7 @@ def _features(tag: str, attrs: str) -> frozenset[str]:
 def parse(page: str) -> Page:
     """Text pieces and tags in page order. Comments, declarations and elements without page text are left out."""
     tokens: list[Token] = []
-    sections, inside = [frozenset()], [False]
+    sections, inside, around, parents = [frozenset()], [False], [False], [-1]
     stack: list[tuple[str, int]] = [("", 0)]
     at = 0
     while at < len(page):
@@ -99,6 +100,12 @@ def parse(page: str) -> Page:
             if features and tag not in EMPTY:
                 sections.append(features)
                 inside.append(tag in MAIN and not _hinted(features) or inside[place] and tag not in OTHER and not _hinted(features))
+                around.append(False)
+                parents.append(place)
+                holder = place if inside[-1] and not inside[place] else -1
+                while holder >= 0 and not around[holder]:
+                    around[holder] = True
+                    holder = parents[holder]
                 place = len(sections) - 1
             tokens.append(Token(tag, "", place, tag in BLOCKS))
             if tag not in EMPTY and not attrs.rstrip().endswith("/"):
@@ -106,7 +113,7 @@ def parse(page: str) -> Page:
                     stack.pop()
                     place = place if features and tag not in EMPTY else stack[-1][1]
                 stack.append((tag, place))
-    return Page(tokens, sections, inside)
+    return Page(tokens, sections, inside, around)
 
 
 def _hinted(features: frozenset[str]) -> bool:
@@ -124,14 +131,19 @@ class Weights(NamedTuple):
 
 
 def count_page(page: str, counts: Counter) -> None:
-    """Add the words and tags of a page that marks its main text by an article or main element."""
+    """Add the words and tags of a page that marks its main text by an article or main element.
+
+    Words beside that element, in what holds it, tell of pages that mark their text only: they count for ``around``, not for
+    the names of the section. The body and the page hold whatever there is, so their own names never count.
+    """
     parsed = parse(page)
     for t in parsed.tokens:
         main = parsed.inside[t.place]
         if t.tag:
             counts["tag", t.tag, main] += 1
         elif words := len(t.text.split()):
-            for f in parsed.sections[t.place] or ("page",):
+            features = parsed.sections[t.place]
+            for f in ("around",) if parsed.around[t.place] and not main else () if "body" in features else features:
                 counts["section", f, main] += words
 
 
@@ -170,13 +182,9 @@ def learn(pages: DataFrame, page: str = "html") -> Weights:
     return Weights(sections, tags)
 
 
-def main_text(page: str | None, weights: Weights) -> str:
-    """Blocks of the best stretch, one per line; empty without a word in main text."""
-    if not page:
-        return ""
-    parsed = parse(page)
-    odds = [sum(weights.sections.get(f, 0.0) for f in features) if features else weights.sections.get("page", 0.0) for features in parsed.sections]
-    kept = [o >= 0 for o in odds]
+def _stretch(parsed: Page, odds: list[float], shown: list[bool], weights: Weights) -> tuple[float, str]:
+    """Score and blocks of the best stretch, without its sections of negative odds and those not shown."""
+    kept = [o >= 0 and s for o, s in zip(odds, shown, strict=True)]
     spent = [0.0] * len(odds)
     best, best_sum, start, running = (0, 0), 0.0, 0, 0.0
     for i, t in enumerate(parsed.tokens):
@@ -185,7 +193,7 @@ def main_text(page: str | None, weights: Weights) -> str:
         elif kept[t.place]:
             score = len(t.text.split()) * (1 + odds[t.place])
         else:
-            score = max(len(t.text.split()) * odds[t.place], spent[t.place] - MOST_COST)
+            score = max(len(t.text.split()) * min(odds[t.place], 0.0), spent[t.place] - MOST_COST)
             spent[t.place] -= score
         running += score
         if running <= 0:
@@ -202,7 +210,34 @@ def main_text(page: str | None, weights: Weights) -> str:
         elif not t.tag and kept[t.place]:
             block.append(t.text)
     lines = (" ".join("".join(b).split()) for b in [*blocks, block])
-    return "\n".join(line for line in lines if line)
+    return best_sum, "\n".join(line for line in lines if line)
+
+
+def main_text(page: str | None, weights: Weights) -> str:
+    """Blocks of the best stretch, one per line; empty without a word in main text.
+
+    Sections of negative odds are left out as long as the rest scores more than the words of the weightiest of them, each divided
+    by the square of its odds. Else that section is what the page has to say: odds then count from its own, and the
+    stretch is sought again. Hidden sections stay out, and so do elements that hold other text by definition; a form may hold
+    the whole page.
+    """
+    if not page:
+        return ""
+    parsed = parse(page)
+    odds = [sum(weights.sections.get(f, 0.0) for f in (features | {"around"} if around and not inside else features))
+            for features, inside, around in zip(parsed.sections, parsed.inside, parsed.around, strict=True)]
+    shown = [".hidden" not in features for features in parsed.sections]
+    found, text = _stretch(parsed, odds, shown, weights)
+    named = [s and not features & (OTHER - {"form"}) for s, features in zip(shown, parsed.sections, strict=True)]
+    masses: Counter = Counter()
+    for t in parsed.tokens:
+        if not t.tag and odds[t.place] < 0 and named[t.place]:
+            masses[odds[t.place]] += len(t.text.split()) / (1 - odds[t.place]) ** 2
+    level, mass = max(masses.items(), key=lambda m: (m[1], m[0]), default=(0.0, 0.0))
+    if mass > found:
+        shown = [n or s and o >= 0 for n, s, o in zip(named, shown, odds, strict=True)]
+        text = _stretch(parsed, [o - level for o in odds], shown, weights)[1] or text
+    return text
 
 
 def extract(pages: DataFrame, page: str = "html", text: str = "text") -> DataFrame:

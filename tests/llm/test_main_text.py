@@ -70,3 +70,36 @@ def test_tables_without_marked_pages(spark):
     pages = spark.createDataFrame([(1, "<p>only words</p>"), (2, None)], "page_id long, html string")
     assert {r.page_id: r.text for r in mt.extract(pages).collect()} == {1: "only words", 2: ""}
     assert mt.extract(pages.limit(0)).count() == 0
+
+
+def test_plain_pages_beside_marked_pages_with_stray_text(spark):
+    """Marked pages with text beside their article don't cost pages without such an element theirs."""
+    rng = random.Random(5)
+    marked = [_page(rng, i) for i in range(60)]
+    stray = [p.replace("<body>", "<body class='home'><p>skip to the content of this page</p><div class='wrap'>copyright of the owner ").replace("</body>", "</div></body>")
+             for p, _ in marked]
+    blocks = [[_text(rng, rng.randrange(15, 80)) for _ in range(4)] for _ in range(40)]
+    bodies = ["".join(f"<p>{b}</p>" for b in own) for own in blocks]
+    plain = [f"<html><body>{b}</body></html>" if i % 3 == 0 else f"<html><body class='home'><div class='wrap'>{b}</div></body></html>" if i % 3 == 1 else b
+             for i, b in enumerate(bodies)]
+    pages = spark.createDataFrame(list(enumerate(stray + plain)), "page_id long, html string")
+    got = {r.page_id: r.text for r in mt.extract(pages).collect()}
+    assert [got[60 + i] for i in range(40)] == ["\n".join(own) for own in blocks]
+    assert [got[i] for i in range(60)] == [t for _, t in marked]
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_one_name_does_not_cost_a_page_its_text(learned, known):
+    weights = learned if known else mt.Weights(dict(mt.PRIOR), {})
+    rng = random.Random(6)
+    blocks = [_text(rng, 60) for _ in range(8)]
+    body, text = "".join(f"<p>{b}</p>" for b in blocks), "\n".join(blocks)
+    nav = "<nav><ul><li><a href='/'>home</a></li><li><a href='/a'>about</a></li></ul></nav>"
+    hidden = "<div class='sidebar' style='display:none'>" + "not shown " * 400 + "</div>"
+    assert mt.main_text(f"<body>{nav}<div class='content has-sidebar'>{body}</div><footer>imprint</footer></body>", weights) == text
+    assert mt.main_text(f"<body><p>skip to content</p>{nav}<div class='content has-sidebar'>{body}</div>{hidden}</body>", weights).endswith(text)
+    assert mt.main_text(f"<body><form id='whole'>{nav}{body}</form></body>", weights) == text
+    comments = f"<div class='comments'>{'they said so ' * 200}</div>"
+    assert mt.main_text(f"<body>{body}{comments}</body>", weights) == text
+    assert mt.main_text(f"<body>{nav}</body>", weights) == ""
+    assert mt.main_text(f"<body>{hidden}</body>", weights) == ""
