@@ -8,12 +8,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from reelhouse.llm.common import ship
+from reelhouse.llm.common import ship, stored
 
-# Features, bound of the training sample (labelled rows over all languages, and least per language), landmarks, ridge.
+# Features, bound of the training sample (different labelled texts over all languages, and least per language), landmarks, ridge.
 BUCKETS = 1 << 14
 SAMPLE, SAMPLE_LEAST = 4000, 20
 LANDMARKS = 256
@@ -62,22 +63,38 @@ def _rows(found: list[np.ndarray]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, learn: Column, rows: int = SAMPLE, least: int = SAMPLE_LEAST) -> pd.DataFrame:
-    """(lang, packed presence bits) of about ``rows`` labelled texts, spread evenly over the languages by a hash of the text."""
-    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = labelled.groupBy("lang").count()
+    """(lang, packed presence bits) of different labelled texts with a letter, chosen by a hash of the text.
+
+    Every language gives as many, ``rows`` over their number or ``least``; all it has where it has fewer. Copies of a text count once.
+    """
+    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("hash"))
+    different = stored(labelled.select("lang", "hash").distinct(), "different-texts")
+    counts = different.groupBy("lang").count()
     total = counts.agg(F.count(F.lit(1))).scalar()
-    share = F.greatest(F.lit(float(least)), F.lit(float(rows)) / total) / F.col("count")
+    wanted = F.greatest(F.lit(least), F.ceil(F.lit(rows) / total)).alias("wanted")
     ship(docs.sparkSession)
 
-    @pandas_udf("binary")
-    def bits(texts: pd.Series) -> pd.Series:
-        found = [grams(t) for t in texts]
-        return pd.Series([None if f is None else np.packbits(np.isin(np.arange(BUCKETS), f)).tobytes() for f in found], dtype=object)
-
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = labelled.join(counts.select("lang", share.alias("share")), "lang").where(place < F.col("share"))
-    found = chosen.select("lang", bits("text").alias("bits")).where("bits IS NOT NULL").toPandas()
-    return found.sort_values(["lang", "bits"], ignore_index=True)
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # of the chosen texts
+        for batch in batches:
+            new = []
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            part = batch.take(pa.array(new, pa.int64()))
+            found = [grams(t) for t in part.column(2).to_pylist()]
+            packed = [None if f is None else np.packbits(np.isin(np.arange(BUCKETS), f)).tobytes() for f in found]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], ["lang", "hash", "bits"])
+
+    # About four times as many as wanted, so that the exact cut sorts few rows.
+    place = F.pmod("hash", F.lit(1 << 30))
+    near = different.join(F.broadcast(counts.select("lang", "count", wanted)), "lang").where(place / F.lit(float(1 << 30)) < 4 * F.col("wanted") / F.col("count"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(place, "hash"))
+    chosen = near.withColumn("turn", turn).where(F.col("turn") <= F.col("wanted")).select("lang", "hash")
+    found = labelled.join(F.broadcast(chosen), ["lang", "hash"]).select("lang", "hash", "text").mapInArrow(bits, "lang string, hash long, bits binary")
+    once = found.where("bits IS NOT NULL").groupBy("lang", "hash").agg(F.min("bits").alias("bits")).select("lang", "bits").toPandas()
+    return once.sort_values(["lang", "bits"], ignore_index=True)
 
 
 def fit(found: pd.DataFrame, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:

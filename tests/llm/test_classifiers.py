@@ -126,3 +126,13 @@ def test_no_language_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in language.identify(docs, F.lit(True)).collect()] == ["und"]
     assert language.identify(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_sample_takes_different_texts_and_no_more_than_wanted(spark):
+    rng = random.Random(7)
+    texts = {"aa": [_speech(rng, "aa", 12) for _ in range(3)] * 500, "bb": [_speech(rng, "bb", 12) for _ in range(900)] + ["straft glomp"] * 2000, "cc": [_speech(rng, "cc", 12)] * 800,
+             "dd": ["12 -- 34"] * 300 + [f"{i}" for i in range(300)] + ["mira"]}
+    docs = spark.createDataFrame([(t, lang) for lang, own in texts.items() for t in own], "text string, lang string").repartition(8)
+    found = language.sample(docs, F.lit(True), rows=120, least=5)
+    assert found.groupby("lang").size().to_dict() == {"aa": 3, "bb": 30, "cc": 1, "dd": 1}
+    assert not found.duplicated().any()
