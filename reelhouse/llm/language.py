@@ -22,6 +22,7 @@ RIDGE = 1e-2
 ORDERS = (1, 2, 3, 4)
 ROWS_AT_ONCE = 128
 CHARS_AT_ONCE = 1 << 20
+STRETCH = 1 << 14  # characters whose n-grams leave most buckets empty
 
 
 class Model(NamedTuple):
@@ -54,6 +55,12 @@ def grams(text: str) -> np.ndarray | None:
     return np.flatnonzero(seen) if letters else None
 
 
+def stretches(text: str) -> list[str]:
+    """The whole text in stretches of about equal length, STRETCH at most but for the n-grams they share."""
+    n = max(-(-len(text) // STRETCH), 1)
+    return [text[len(text) * i // n:len(text) * (i + 1) // n + (max(ORDERS) - 1 if i < n - 1 else 0)] for i in range(n)]
+
+
 def _rows(found: list[np.ndarray]) -> np.ndarray:
     """Presence vectors, scaled to length one."""
     x = np.zeros((len(found), BUCKETS), np.float32)
@@ -65,7 +72,7 @@ def _rows(found: list[np.ndarray]) -> np.ndarray:
 def sample(docs: DataFrame, learn: Column, rows: int = SAMPLE, least: int = SAMPLE_LEAST) -> pd.DataFrame:
     """(lang, packed presence bits) of different labelled texts with a letter, chosen by a hash of the text.
 
-    Every language gives as many, ``rows`` over their number or ``least``; all it has where it has fewer. Copies of a text count once.
+    A long text stands for itself by the stretch its hash tells, or the first after it with a letter. Every language gives as many, ``rows`` over their number or ``least``; all it has where it has fewer. Copies of a text count once.
     """
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("hash"))
     different = stored(labelled.select("lang", "hash").distinct(), "different-texts")
@@ -83,7 +90,8 @@ def sample(docs: DataFrame, learn: Column, rows: int = SAMPLE, least: int = SAMP
                     seen.add(key)
                     new.append(i)
             part = batch.take(pa.array(new, pa.int64()))
-            found = [grams(t) for t in part.column(2).to_pylist()]
+            found = [next((f for i in range(len(own)) if (f := grams(own[(key + i) % len(own)])) is not None), None)
+                     for key, own in zip(part.column(1).to_pylist(), map(stretches, part.column(2).to_pylist()), strict=True)]
             packed = [None if f is None else np.packbits(np.isin(np.arange(BUCKETS), f)).tobytes() for f in found]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], ["lang", "hash", "bits"])
 
@@ -122,24 +130,30 @@ def fit(found: pd.DataFrame, landmarks: int = LANDMARKS, ridge: float = RIDGE) -
 
 
 def predict(texts: list[str | None], model: Model) -> pd.DataFrame:
-    """lang and score of each text; ``und`` with score 0 for null texts and texts without a letter."""
+    """lang and score of each text, from the mean of its stretches with a letter; ``und`` with score 0 for null texts and texts without a letter."""
     lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
-    held: list[tuple[int, np.ndarray]] = []
+    sums, sizes = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
+    held: list[tuple[int, int, np.ndarray]] = []
 
     def flush() -> None:
         if held:
-            out = (_rows([f for _, f in held]) @ model.weights).astype(np.float64)
-            share = np.exp(4 * (out - out.max(1, keepdims=True)))
-            for (i, _), s, w in zip(held, share, out.argmax(1), strict=True):
-                lang[i], score[i] = model.langs[w], s[w] / s.sum()
+            place, size = np.array([h[0] for h in held]), np.array([h[1] for h in held], float)
+            np.add.at(sums, place, (_rows([h[2] for h in held]) @ model.weights).astype(np.float64) * size[:, None])
+            np.add.at(sizes, place, size)
             held.clear()
 
     for i, text in enumerate(texts):
-        if text and model.langs and (found := grams(text)) is not None:
-            held.append((i, found))
-            if len(held) == ROWS_AT_ONCE:
-                flush()
+        for own in stretches(text) if text and model.langs else ():
+            if (found := grams(own)) is not None:
+                held.append((i, len(own), found))
+                if len(held) == ROWS_AT_ONCE:
+                    flush()
     flush()
+    some = np.flatnonzero(sizes)
+    if len(some):
+        out = sums[some] / sizes[some, None]
+        share = np.exp(4 * (out - out.max(1, keepdims=True)))
+        lang[some], score[some] = np.array(model.langs, object)[out.argmax(1)], share.max(1) / share.sum(1)
     return pd.DataFrame({"lang": lang, "score": score})
 
 

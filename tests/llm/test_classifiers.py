@@ -136,3 +136,19 @@ def test_sample_takes_different_texts_and_no_more_than_wanted(spark):
     found = language.sample(docs, F.lit(True), rows=120, least=5)
     assert found.groupby("lang").size().to_dict() == {"aa": 3, "bb": 30, "cc": 1, "dd": 1}
     assert not found.duplicated().any()
+
+
+def test_long_texts_of_rich_vocabulary(spark):
+    """Every language has all letters, in shares of its own, so that texts of megabytes hold nearly all n-grams."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    shares = {lang: rng.dirichlet(np.full(len(letters), 2.0)) * 0.9 + 0.1 / len(letters) for lang in ("aa", "bb", "cc")}
+
+    def prose(lang, n):
+        return "".join(rng.choice(letters, n, p=shares[lang]))
+
+    rows = [(prose(lang, int(rng.integers(500, 4000))), lang) for lang in shares for _ in range(60)] + [(prose("aa", 200_000), "aa")]
+    model = language.fit(language.sample(spark.createDataFrame(rows, "text string, lang string"), F.lit(True)))
+    got = language.predict([prose(lang, 3_000_000) for lang in shares] + ["12 " * 20_000, " " * 50_000 + prose("bb", 2000)], model)
+    assert got["lang"].tolist() == ["aa", "bb", "cc", "und", "bb"] and (got["score"][:3] > 0.5).all()
+    assert all("".join(s[:len(s) - 3] for s in own[:-1]) + own[-1] == t for t in ("", "ab", "x" * 16385, prose("cc", 70_001)) for own in [language.stretches(t)])
