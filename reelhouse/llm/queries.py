@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.llm import byte_bpe, exact_dedup, language, main_text, mixing, near_dedup, secrets, token_files, toxicity, vector_search
+from reelhouse.llm import (
+    byte_bpe, exact_dedup, language, main_text, mixing, near_dedup, periodic_runs, prefix_trie, secrets, simhash, token_files, toxicity, vector_search,
+)
 from reelhouse.llm.common import table
 
 
@@ -60,6 +62,18 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"), rebuild=prefix_trie.rebuilt)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, folder, "documents"), loops=True)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secret_scan, op3_byte_bpe, op4_main_text, op5_vector_search, op6_mix_sources, op7_toxicity, op8_token_files,
-    op9_near_dedup, op10_language)}
-CHECKS = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_secret_scan": secrets.ORACLE, "op6_mix_sources": mixing.ORACLE}
+    op9_near_dedup, op10_language, op11_simhash, op12_prefix_trie, op13_periodic_runs)}
+CHECKS = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_secret_scan": secrets.ORACLE, "op6_mix_sources": mixing.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -23,7 +24,7 @@ def test_query_returns_a_row_each(spark, name):
     rows = duckdb.sql(f"SELECT count(*) FROM '{TESTDATA}/{source}.parquet'").fetchall()[0][0]
     if name == "op5_vector_search":
         assert len(found) == 20 * duckdb.sql(f"SELECT count(*) FROM '{TESTDATA}/embeddings.parquet' WHERE vec_id % 20 = 0").fetchall()[0][0]
-    else:
+    elif name != "op12_prefix_trie":
         assert len(found) == rows
 
 
@@ -31,11 +32,12 @@ def test_query_returns_a_row_each(spark, name):
 def test_query_matches_its_check(spark, name):
     found = QUERIES[name](spark, TESTDATA)
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{TESTDATA}/documents.parquet'")
+    for source in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {source} AS SELECT * FROM '{TESTDATA}/{source}.parquet'")
     cursor = duck.execute(CHECKS[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(found.columns)
-    assert sorted(map(tuple, found.select(columns).collect())) == sorted(cursor.fetchall())
+    assert Counter(map(tuple, found.select(columns).collect())) == Counter(cursor.fetchall())
 
 
 def test_stages_do_what_their_parts_do(spark):
