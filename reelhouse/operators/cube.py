@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelhouse.functions.measures import ratio_measures
 from reelhouse.functions.text import client_caption
 from reelhouse.operators.periods import top_members
+from reelhouse.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -162,7 +164,7 @@ def star(cube: CubeSpec, columns: list[str], measures: list[str]) -> DataFrame:
     keys = {dim: cube.dims[dim][1] for dim in used}
     fact = cube.fact
     if "Year" in cube.slices and "annee" in fact.columns:
-        fact = fact.where(F.col("annee").isin(*cube.slices["Year"]))  # prunes the fact's year folders
+        fact = fact.where(_in_slice("Year", cube.slices["Year"]))  # prunes the fact's year folders
     sums = {m: cube.measures[m] for m in measures}
     rows = fact.groupBy(*keys.values()).agg(*[F.sum(c).alias(m) for m, c in sums.items()])
     for dim, key in sorted(keys.items(), key=lambda item: item[0] not in _BOUNDED):
@@ -191,30 +193,74 @@ def calculated_members(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({n: ratio_measures(F.col(CALCULATED[n][0]), F.col(CALCULATED[n][1])) for n in names})
 
 
-def _rolled(cube: CubeSpec, columns: list[str], measures: list[str], how: str) -> DataFrame:
-    finest = star(cube, list(columns), measures).groupBy(*columns).agg(*[F.sum(m).alias(m) for m in measures])
-    grouped = finest.rollup(*columns) if how == "rollup" else finest.cube(*columns)
-    return grouped.agg(F.grouping_id().alias("grouping_id"), *[F.sum(m).alias(m) for m in measures])
+def _finest(cube: CubeSpec, columns: list[str], measures: list[str]) -> DataFrame:
+    sums = star(cube, columns, measures).groupBy(*columns).agg(*[F.sum(m).alias(m) for m in measures])
+    return sums.withColumn("grouping_id", F.lit(0).cast("bigint"))
+
+
+def without(level: DataFrame, columns: list[str], dropped: str, merges: dict[str, Column], also: tuple[str, ...] = ()) -> DataFrame:
+    """Totals of ``level`` over the 'All' member of one of its ``columns``; ``also`` are further keys that stay."""
+    bit = 1 << len(columns) - 1 - columns.index(dropped)
+    kinds = dict(level.dtypes)
+    keys = [c for c in (*columns, *also, "grouping_id") if c != dropped]
+    totals = level.groupBy(*keys).agg(*[merge.cast(kinds[name]).alias(name) for name, merge in merges.items()])
+    changed = {dropped: F.lit(None).cast(kinds[dropped]), "grouping_id": F.col("grouping_id") + F.lit(bit)}
+    return totals.select([changed.get(c, F.col(f"`{c}`")).alias(c) for c in level.columns])
+
+
+def path_totals(finest: DataFrame, path: list[str], merges: dict[str, Column], also: tuple[str, ...] = ()) -> DataFrame:
+    """Every level of a drill path, each summed from the level below it; ``finest`` has a grouping_id of 0."""
+    levels = [finest]
+    for column in reversed(path):
+        levels.append(without(levels[-1], path, column, merges, also))
+    return reduce(DataFrame.unionByName, levels)
+
+
+def every_total(finest: DataFrame, columns: list[str], order: list[str], merges: dict[str, Column], also: tuple[str, ...] = ()) -> DataFrame:
+    """Every combination of columns and 'All' members; ``order`` lists the columns with the most members first.
+
+    Columns are summed away one after the other, each time from everything found so far: a combination thus comes from the one that has, beside
+    its columns, the missing column with the fewest members, the smallest it can come from. That is one shuffle per column rather
+    than one row per combination for every finest row.
+    """
+    found = finest
+    for column in order:
+        found = found.unionByName(without(found, columns, column, merges, also))
+    return found
+
+
+def by_members(cube: CubeSpec, columns: list[str]) -> list[str]:
+    """The columns, those with most members in their dimension first."""
+    owner = {c: LEVELS[name].dim for name in LEVELS for c in LEVELS[name].columns}
+    counts = [cube.dims[owner[c]][0].agg(F.approx_count_distinct(c).alias("n")).select(F.lit(c).alias("c"), "n") for c in columns]
+    members = {row.c: row.n for row in reduce(DataFrame.unionAll, counts).collect()}  # one row per column
+    return sorted(columns, key=lambda c: -members[c])
+
+
+def _sums(measures: list[str]) -> dict[str, Column]:
+    return {m: F.sum(f"`{m}`") for m in measures}
 
 
 def rollup_time(cube: CubeSpec, measures: list[str]) -> DataFrame:
     """Totals for all periods, years, quarters, months and days."""
-    return _rolled(cube, list(TIME_PATH), measures, "rollup")
+    return path_totals(_finest(cube, list(TIME_PATH), measures), list(TIME_PATH), _sums(measures))
 
 
 def rollup_product(cube: CubeSpec, measures: list[str]) -> DataFrame:
     """Totals for all products, types, subtypes and products."""
-    return _rolled(cube, list(PRODUCT_PATH), measures, "rollup")
+    return path_totals(_finest(cube, list(PRODUCT_PATH), measures), list(PRODUCT_PATH), _sums(measures))
 
 
 def rollup_client(cube: CubeSpec, measures: list[str], hierarchy: str) -> DataFrame:
     """Totals for all clients, bands (``age``) or genders (``gender``), and clients."""
-    return _rolled(cube, list(CLIENT_PATHS[hierarchy]), measures, "rollup")
+    path = list(CLIENT_PATHS[hierarchy])
+    return path_totals(_finest(cube, path, measures), path, _sums(measures))
 
 
 def cube_cross_dims(cube: CubeSpec, measures: list[str], columns: list[str]) -> DataFrame:
-    """Totals for every combination of the level columns and their 'All' members."""
-    return _rolled(cube, columns, measures, "cube")
+    """Totals for every combination of the level columns and their 'All' members; the finest ones are stored and read by the others."""
+    finest = written(_finest(cube, columns, measures), "cube")
+    return every_total(finest, columns, by_members(cube, columns), _sums(measures))
 
 
 def pivot_matrix(df: DataFrame, row: list[str], col: str, values: list, measure: str) -> DataFrame:

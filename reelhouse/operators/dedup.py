@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reelhouse.sources.shared import written
+
 
 def dedup_group_min(df: DataFrame, keys: dict[str, Column], min_cols: list[str]) -> DataFrame:
     """One row per key, each listed column represented by its own minimum."""
@@ -79,6 +81,34 @@ def surrogate_keys(
     return kept.select(id_name, *df.columns).unionByName(numbered.select(id_name, *df.columns))
 
 
+def dense_keys(df: DataFrame, natural_key: list[str], id_name: str, known: DataFrame | None = None) -> DataFrame:
+    """Keys 1 to n without gaps, in the order of the natural key (NULLs first), for rows that are unique on it.
+
+    Rows are sorted inside ranges of the natural key and written with their range and their place in it; a range's first number is the sum of
+    the sizes of those before it. Only one row per range meets in one place, so any number of rows is numbered by as many tasks
+    as there are ranges. The rows are stored before they are numbered: range borders are sampled, and a second reading could
+    draw them elsewhere.
+
+    ``known`` is the stored table of an earlier load, with ``id_name`` and the natural key: its keys stay, and new natural keys follow the largest.
+    """
+    order = [F.col(c).asc_nulls_first() for c in natural_key]
+    fresh, first, kept = df, F.lit(0).cast("bigint"), None
+    if known is not None:
+        text = natural_key_text(natural_key)
+        looked_up = df.withColumn("_key", text).join(known.select(text.alias("_key"), F.col(id_name)), "_key", "left")
+        kept = looked_up.where(F.col(id_name).isNotNull()).select(id_name, *df.columns)
+        fresh = looked_up.where(F.col(id_name).isNull()).select(*df.columns)
+        first = F.coalesce(known.agg(F.max(id_name)).scalar(), first)
+    ranges = fresh.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = written(ranges.withColumns({"_range": F.spark_partition_id(), "_place": place}), "dense-keys")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.join(F.broadcast(starts), "_range").withColumn(id_name, (first + F.col("_start") + F.col("_place") + 1).cast("bigint"))
+    numbered = numbered.select(id_name, *df.columns)
+    return numbered if kept is None else kept.unionByName(numbered)
+
+
 def upsert_by_key(
     target: DataFrame, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None,
 ) -> DataFrame:

@@ -27,13 +27,13 @@ def mom_change_pct(monthly: DataFrame, value: str, out: str = "pct") -> DataFram
 
 
 def previous_calendar_month(monthly: DataFrame, value: str, by: list[str] = (), out: str = "prev") -> DataFrame:
-    """Value of the calendar month before, NULL when that month has no row.
+    """Value of the calendar month before, NULL when that month has no row. The input has one row per month (and ``by``).
 
-    Months are joined as a running number, so a gap gives NULL rather than an older month.
+    Months are ordered by their running number and the frame is the one number before, so a gap gives NULL
+    rather than an older month, and the frame's input is read once.
     """
-    number = F.col("annee") * 12 + F.col("mois")
-    earlier = monthly.select(*by, (number + 1).alias("_month"), F.col(value).alias(out))
-    return monthly.withColumn("_month", number).join(earlier, [*by, "_month"], "left").drop("_month")
+    before = Window.partitionBy(*by).orderBy(F.col("annee") * 12 + F.col("mois")).rangeBetween(-1, -1)
+    return monthly.withColumn(out, F.first(value).over(before))
 
 
 def change_on_calendar_month(monthly: DataFrame, value: str) -> DataFrame:

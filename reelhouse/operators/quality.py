@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelhouse.functions.measures import ratio_measures
 
@@ -22,6 +22,40 @@ def row_count_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def watched(df: DataFrame) -> list[Column]:
+    """Row count and missing values per column, as metrics that a write of ``df`` can measure on its way."""
+    return [_rows().alias("nb"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in df.columns]]
+
+
+def measured_counts(spark: SparkSession, measured: dict[str, dict[str, int]]) -> DataFrame:
+    """(tbl, nb) from what was measured while the tables were written; no table is read."""
+    return spark.createDataFrame([(name, found["nb"]) for name, found in measured.items()], "tbl string, nb bigint")
+
+
+def measured_nulls(spark: SparkSession, measured: dict[str, dict[str, int]]) -> DataFrame:
+    """(table, col, n_null, n, pct) per table and column, from what was measured while the tables were written."""
+    rows = [(name, key.removeprefix("null_"), value, found["nb"]) for name, found in measured.items() for key, value in found.items() if key != "nb"]
+    counted = spark.createDataFrame(rows, "`table` string, col string, n_null bigint, n bigint")
+    return counted.withColumn("pct", _percent(F.col("n_null"), F.col("n")))
+
+
+def row_text(cols: list[str]) -> Column:
+    """One text per row: values in their SQL spelling, a missing one as ``-``."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols])
+
+
+def table_fingerprint(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
+    """(tbl, nb, total, mixed): row count, and the sum and the exclusive or of 60-bit row hashes over ``cols``.
+
+    The same rows give the same fingerprint in any order and split; a row that is missing, changed or repeated shows in the sum.
+    """
+    hashed = F.conv(F.substring(F.md5(row_text(cols)), 1, 15), 16, 10).cast("bigint")
+    return df.select(hashed.alias("h")).agg(
+        F.lit(name).alias("tbl"), _rows().alias("nb"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")).cast("string"), F.lit("0")).alias("total"),
+        F.coalesce(F.bit_xor("h"), F.lit(0)).alias("mixed"),
+    )
+
+
 def count_by_source(sales: DataFrame) -> DataFrame:
     """Rows per source code."""
     return sales.groupBy("source").agg(_rows().alias("nb"))

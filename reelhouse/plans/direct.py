@@ -20,8 +20,10 @@ from reelhouse.operators.shape import (
     rental_measures, required_fields_filter, sale_flags, stored_margin, union_all, union_distinct,
     valid_interval_filter,
 )
-from reelhouse.operators.skew import join_all
+from reelhouse.operators.skew import frequent_keys, join_all, pieces_of, spread_join
+from reelhouse.plans import groups
 from reelhouse.plans.stage import Stage
+from reelhouse.plans.summaries import BUILDERS as SUMMARIES
 from reelhouse.sources.tables import mapped
 
 _KINDS = ("film", "gadget")
@@ -220,15 +222,42 @@ def rental_events(src, min_days: int = 1) -> DataFrame:
 NO_DATE, NO_PRODUCT, NO_CLIENT = "no calendar day", "no product", "no client"
 
 
-def resolved(events: DataFrame, calendar: DataFrame, products: DataFrame, clients: DataFrame) -> DataFrame:
+# A reference that holds a larger share of the events is split; the list of such references is shorter than 1 / share.
+HOT_SHARE = 1e-2
+_REFERENCES = {"produit": (_PRODUCT_REF, "ref_kind string, produit_ref string"), "client": (_CLIENT_REF, "magasin_id int, client_ref string")}
+
+
+def reference_frequencies(events: DataFrame) -> DataFrame:
+    """Product and client references that hold much of the events, both estimated in one pass over them."""
+    return frequent_keys(events, {side: on for side, (on, _) in _REFERENCES.items()}, HOT_SHARE)
+
+
+def _looked_up(found: DataFrame, refs: DataFrame, side: str, frequencies: DataFrame | None) -> DataFrame:
+    """Left join of events with what their references lead to; frequent references are dealt out over several tasks."""
+    on, schema = _REFERENCES[side]
+    if frequencies is not None:
+        hot = pieces_of(frequencies, side, schema, HOT_SHARE)
+        if not hot.isEmpty():
+            # The pieces are chosen by the event itself: events equal in all columns may share one.
+            dealt = found.withColumn("_event", F.xxhash64(*[F.col(c) for c in found.columns if c not in on]))
+            return spread_join(dealt, refs, on, "_event", hot, "left").drop("_event")
+    return found.join(refs, on, "left")
+
+
+def resolved(
+    events: DataFrame, calendar: DataFrame, products: DataFrame, clients: DataFrame, frequencies: DataFrame | None = None, who: str = "client_id",
+) -> DataFrame:
     """Events with day, product and client, and the reason of those that lack one; ``products`` and ``clients`` are references.
 
     One lookup each; stored, it gives the fact and its rejects. An event meets every product and client its reference leads to.
+    ``frequencies`` is the stored result of ``reference_frequencies``, by which frequent references are split. ``who`` is the key that
+    client references lead to.
     """
     days = F.broadcast(calendar.select("date_complete", "temps_id"))  # one row per day
-    found = join_all(events.join(days, "date_complete", "left"), [(products, _PRODUCT_REF), (clients, _CLIENT_REF)], "left")
+    dated = events.join(days, "date_complete", "left")
+    found = _looked_up(_looked_up(dated, products, "produit", frequencies), clients, "client", frequencies)
     return found.withColumn("reason", F.when(F.col("temps_id").isNull(), NO_DATE).when(F.col("produit_id").isNull(), NO_PRODUCT)
-                            .when(F.col("client_id").isNull(), NO_CLIENT))
+                            .when(F.col(who).isNull(), NO_CLIENT))
 
 
 def rejects(found: DataFrame) -> DataFrame:
@@ -236,19 +265,19 @@ def rejects(found: DataFrame) -> DataFrame:
     return found.where(F.col("reason").isNotNull()).select("magasin_id", "date_complete", *_PRODUCT_REF, "client_ref", "reason")
 
 
-def sales_facts(found: DataFrame) -> DataFrame:
+def sales_facts(found: DataFrame, who: str = "client_id") -> DataFrame:
     """Sales fact of resolved sales."""
     facts = found.where(F.col("reason").isNull())
     return stored_margin(facts, "ca_ventes", "prix_inventaire_total").select(
-        "temps_id", "magasin_id", "client_id", "produit_id", "annee", "ca_ventes", "prix_inventaire_total",
+        "temps_id", "magasin_id", who, "produit_id", "annee", "ca_ventes", "prix_inventaire_total",
         "marge", "nb_ventes", "est_neuf",
     )
 
 
-def rental_facts(found: DataFrame) -> DataFrame:
+def rental_facts(found: DataFrame, who: str = "client_id") -> DataFrame:
     """Rentals fact of resolved rentals."""
     return found.where(F.col("reason").isNull()).select(
-        "temps_id", "magasin_id", "client_id", "produit_id", "annee", "ca_locations", "nb_locations", "nb_jours_total"
+        "temps_id", "magasin_id", who, "produit_id", "annee", "ca_locations", "nb_locations", "nb_jours_total"
     )
 
 
@@ -265,7 +294,8 @@ def union_rentals(src, calendar: DataFrame, products: DataFrame, clients: DataFr
 
 def direct_builders(calendar: DataFrame, stores: DataFrame) -> dict:
     """Builders of the warehouse tables over raw sources."""
-    from reelhouse.plans import summaries as agg
+    def by_group(s: Stage, events: DataFrame, frequencies: str) -> DataFrame:
+        return resolved(events, s["dim_temps"], s["ref_produit"], s["ref_groupe"], s[frequencies] if s.stored else None, "groupe_id")
 
     return {
         "dim_temps": lambda s: calendar,
@@ -274,13 +304,20 @@ def direct_builders(calendar: DataFrame, stores: DataFrame) -> dict:
         "dim_client": lambda s: dim_client(s.src),
         "ref_produit": lambda s: product_refs(s.src, s["dim_produit"]),
         "ref_client": lambda s: client_refs(s.src, s["dim_client"]),
-        "ventes_resolues": lambda s: resolved(sale_events(s.src), s["dim_temps"], s["ref_produit"], s["ref_client"]),
-        "locations_resolues": lambda s: resolved(rental_events(s.src), s["dim_temps"], s["ref_produit"], s["ref_client"]),
+        "freq_ventes": lambda s: reference_frequencies(sale_events(s.src)),
+        "freq_locations": lambda s: reference_frequencies(rental_events(s.src)),
+        "ventes_resolues": lambda s: resolved(sale_events(s.src), s["dim_temps"], s["ref_produit"], s["ref_client"], s["freq_ventes"] if s.stored else None),
+        "locations_resolues": lambda s: resolved(rental_events(s.src), s["dim_temps"], s["ref_produit"], s["ref_client"], s["freq_locations"] if s.stored else None),
         "fait_ventes": lambda s: sales_facts(s["ventes_resolues"]),
         "fait_locations": lambda s: rental_facts(s["locations_resolues"]),
         "ventes_rejetees": lambda s: rejects(s["ventes_resolues"]),
         "locations_rejetees": lambda s: rejects(s["locations_resolues"]),
-        **agg.BUILDERS,
+        "dim_groupe": lambda s: groups.client_groups(s["dim_client"]),
+        "pont_groupe_client": lambda s: groups.group_members(s["dim_client"], s["dim_groupe"]),
+        "ref_groupe": lambda s: groups.group_refs(s.src, s["dim_groupe"]),
+        "ventes_groupes": lambda s: sales_facts(by_group(s, sale_events(s.src), "freq_ventes"), "groupe_id"),
+        "locations_groupes": lambda s: rental_facts(by_group(s, rental_events(s.src), "freq_locations"), "groupe_id"),
+        **SUMMARIES,
     }
 
 
@@ -289,4 +326,4 @@ FACTS = ("fait_ventes", "fait_locations")
 
 def direct_warehouse(spark, src, calendar: DataFrame, stores: DataFrame, database: str | None = None) -> Stage:
     """All warehouse tables, lazily or stored in ``database``."""
-    return Stage(spark, src, direct_builders(calendar, stores), database, by_year=FACTS)
+    return Stage(spark, src, direct_builders(calendar, stores), database, by_year=(*FACTS, "ventes_groupes", "locations_groupes", *SUMMARIES))

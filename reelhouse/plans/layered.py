@@ -556,7 +556,7 @@ def layered_builders(calendar: DataFrame, stores: DataFrame) -> dict:
 
 def layered_warehouse(spark, src, calendar: DataFrame, stores: DataFrame, database: str | None = None) -> Stage:
     """All layered tables, lazily or stored in ``database``."""
-    return Stage(spark, src, layered_builders(calendar, stores), database, by_year=("fait_ventes", "fait_locations"))
+    return Stage(spark, src, layered_builders(calendar, stores), database, by_year=("fait_ventes", "fait_locations", *summaries.BUILDERS))
 
 
 def run_layered(stage: Stage) -> DataFrame:

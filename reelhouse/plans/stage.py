@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from reelhouse.operators.quality import watched
 from reelhouse.sources.tables import fact_partition_by_year, truncate_reload
 
 
@@ -16,7 +17,8 @@ class Stage:
 
     Without a database every table is one lazy plan. With one, each table is written before
     the next reads it, so a lost executor costs at most one table's work. Tables named in
-    ``by_year`` are stored one folder per year.
+    ``by_year`` are stored one folder per year. ``measured`` holds row count and missing values of each written table,
+    taken while it was written.
     """
 
     def __init__(
@@ -31,6 +33,16 @@ class Stage:
         self._frames: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in builders}
         self.names = tuple(builders)
+        self.measured: dict[str, dict[str, int]] = {}
+
+    @property
+    def stored(self) -> bool:
+        """True when tables are written, so that reading one doesn't compute it again."""
+        return self._database is not None
+
+    @property
+    def database(self) -> str | None:
+        return self._database
 
     def plan(self, name: str) -> DataFrame:
         """The table as a plan over its inputs; the inputs are stored when there is a database."""
@@ -41,11 +53,13 @@ class Stage:
             if name not in self._frames:
                 df = self.plan(name)
                 if self._database:
-                    table = f"{self._database}.{name}"
+                    table, seen = f"{self._database}.{name}", Observation()
+                    df = df.observe(seen, *watched(df))
                     if name in self._by_year:
                         fact_partition_by_year(df, table)
                     else:
                         truncate_reload(df, table)
+                    self.measured[name] = seen.get
                     df = self.spark.table(table)
                 self._frames[name] = df
             return self._frames[name]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from reelhouse.operators.quality import row_count_report
+from reelhouse.operators.quality import measured_counts, row_count_report
 
 # Totals are wider than one fact value so that a sum over any number of rows fits.
 TOTAL = "decimal(22,2)"
@@ -55,5 +55,8 @@ REPORTED = ("dim_produit", "dim_client", "fait_ventes", "fait_locations", *BUILD
 
 
 def load_and_report(stage, names: tuple[str, ...] = REPORTED) -> DataFrame:
-    """Build the named tables and count their rows."""
-    return row_count_report(stage.load(names))
+    """Build the named tables and count their rows, while they are written if they are stored."""
+    frames = stage.load(names)
+    if stage.stored:
+        return measured_counts(stage.spark, {n: stage.measured[n] for n in names})
+    return row_count_report(frames)

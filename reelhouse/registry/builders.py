@@ -6,10 +6,11 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from reelhouse.operators import quality
 from reelhouse.operators.shape import append_streams
 from reelhouse.plans import layered, summaries
 from reelhouse.plans.direct import direct_warehouse
-from reelhouse.plans.layered import layered_warehouse, run_layered as load_layered
+from reelhouse.plans.layered import layered_warehouse
 from reelhouse.registry import oracle as o
 from reelhouse.registry.workspace import query, settled
 from reelhouse.sources.tables import new_database
@@ -121,33 +122,96 @@ def load_aggregates(k):
     return append_streams(*parts)
 
 
-def _counts(tables: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{name}' AS tbl, count(*) AS nb FROM {table}" for name, table in tables.items())
+# Columns that fingerprints of loaded tables cover: all but generated row ids, whose values carry no meaning.
+_SUMMARIES = {
+    "agg_ventes_mois_magasin": "annee mois magasin_id ca_total marge_totale nb_ventes nb_clients",
+    "agg_ventes_mois_produit": "annee mois produit_id type_produit ca_total nb_ventes",
+    "agg_locations_mois_produit_magasin": "annee mois produit_id magasin_id ca_total nb_locations nb_jours_total",
+}
+_WAREHOUSE = {
+    "dim_produit": "produit_id titre type sous_type film_id",
+    "dim_client": "client_id prenom nom date_naissance age tranche_age genre magasin_id",
+    "fait_ventes": "temps_id magasin_id client_id produit_id annee ca_ventes prix_inventaire_total marge nb_ventes est_neuf",
+    "fait_locations": "temps_id magasin_id client_id produit_id annee ca_locations nb_locations nb_jours_total",
+    **_SUMMARIES,
+}
+_LAYERED_COLUMNS = {
+    "bb_film": "film_id source_id titre annee",
+    "bb_acteur": "acteur_id source_id nom",
+    "bb_joue_dans": "film_id acteur_id",
+    "bb_client": "client_id source_code prenom nom date_naissance genre",
+    "bb_client_codes": "source_code client_id",
+    "bb_vente_film": "source_id date_vente prix_vente prix_inventaire type_produit client_id film_id",
+    "bb_vente_gadget": "source_id titre type_gadget date_vente prix_vente prix_inventaire client_id",
+    "ms_film": "film_id source_id titre annee_production date_sortie prix_sortie realisateur scenariste",
+    "ms_acteur": "acteur_id source_id nom",
+    "ms_joue_dans": "film_id acteur_id",
+    "ms_client": "client_id source_code prenom initiale nom genre date_naissance adresse",
+    "ms_copie_location": "copie_id source_id type_copie disposed film_id",
+    "ms_copie_vente": "source_id type_copie est_neuf prix_vente date_vente film_id client_id",
+    "ms_location": "date_debut date_fin prix_jour copie_id client_id",
+    "mmm_client": "client_id prenom initiale nom nom_complet genre date_naissance adresse",
+    "mmm_location_film": "source_id film_ref_id date_debut date_fin prix_jour client_id",
+    "mmm_vente_film": "source_id film_ref_id date_vente prix_vente client_id",
+    "mmm_vente_gadget": "source_id type_gadget titre_gadget date_vente prix_vente prix_inventaire date_inventaire client_id",
+    "int_film": "film_id source source_id titre annee_production date_sortie prix_sortie realisateur scenariste type_film",
+    "film_xref": "source source_film_id film_id",
+    "int_acteur": "acteur_id nom",
+    "actor_xref": "source source_acteur_id acteur_id",
+    "int_joue_dans": "film_id acteur_id",
+    "int_client": "client_id prenom initiale nom date_naissance genre adresse magasin_id source source_code source_client_id",
+    "int_produit": "produit_id titre type magasin_id sous_type prix_inventaire date_inventaire film_id",
+    "int_vente": "date_vente prix_vente est_neuf client_id produit_id magasin_id source",
+    "int_location": "date_debut date_fin prix_jour client_id produit_id magasin_id source",
+    "dim_temps": "temps_id date_complete jour mois nom_mois trimestre annee",
+    "dim_magasin": "magasin_id nom",
+    "dim_produit": "produit_id titre type sous_type film_id",
+    "dim_client": "client_id prenom nom date_naissance age tranche_age genre magasin_id",
+    "ventes_datees": "date_vente produit_id prix_vente est_neuf client_id magasin_id source temps_id reason",
+    "fait_ventes": "temps_id magasin_id client_id produit_id annee ca_ventes prix_inventaire_total marge nb_ventes est_neuf",
+    "ventes_rejetees": "date_vente produit_id prix_vente est_neuf client_id magasin_id source reason",
+    "fait_locations": "temps_id magasin_id client_id produit_id annee ca_locations nb_locations nb_jours_total",
+    **_SUMMARIES,
+}
+# The check's names of the layered tables that differ from the tables' own.
+_LAYERED = {
+    "dim_produit": "int_produit", "dim_client": "lw_dim_client", "ventes_datees": "lw_dated", "fait_ventes": "lw_fait_ventes",
+    "ventes_rejetees": "lw_rejets", "fait_locations": "lw_fait_locations", **{n: f"lw_{n}" for n in summaries.BUILDERS},
+}
+
+
+def _fingerprints(columns: dict[str, str], tables: dict[str, str]) -> str:
+    def one(name: str, cols: str) -> str:
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols.split())
+        return (
+            f"SELECT '{name}' AS tbl, count(*) AS nb, CAST(coalesce(sum(h), 0) AS VARCHAR) AS total, coalesce(bit_xor(h), 0) AS mixed "
+            f"FROM (SELECT CAST('0x'||substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT) AS h FROM {tables.get(name, name)})"
+        )
 
+    return " UNION ALL ".join(one(name, cols) for name, cols in columns.items())
 
-def _loaded(k, build, label: str, report):
-    """Rows of ``report`` on a warehouse loaded for it alone and dropped again; one row per table."""
+
+def _loaded(k, build, label: str, columns: dict[str, str]):
+    """Fingerprints of the tables of a warehouse loaded for them alone and dropped again; one row per table.
+
+    Row counts are those measured while the tables were written, contents are read from the stored tables.
+    """
     database = new_database(k.spark, label)
-    rows = report(build(k.spark, k.src, k.calendar, k.stores, database)).collect()
+    stage = build(k.spark, k.src, k.calendar, k.stores, database)
+    counted = {r.tbl: r.nb for r in summaries.load_and_report(stage, tuple(columns)).collect()}
+    prints = append_streams(*[quality.table_fingerprint(stage[name], name, cols.split()) for name, cols in columns.items()]).collect()
     k.spark.sql(f"DROP DATABASE {database} CASCADE")
-    return k.spark.createDataFrame(rows, "tbl string, nb bigint")
+    return k.spark.createDataFrame([(r.tbl, counted[r.tbl], r.total, r.mixed) for r in prints], "tbl string, nb bigint, total string, mixed bigint")
 
 
-@query("direct_load", _counts({n: n for n in summaries.REPORTED}))
+@query("direct_load", _fingerprints(_WAREHOUSE, {}))
 def direct_load(k):
-    return _loaded(k, direct_warehouse, "direct", summaries.load_and_report)
-
-
-# The check's names of the layered tables that differ from the tables' own.
-_LAYERED = {
-    "dim_produit": "int_produit", "dim_client": "lw_dim_client", "ventes_datees": "lw_dated", "fait_ventes": "lw_fait_ventes",
-    "ventes_rejetees": "lw_rejets", "fait_locations": "lw_fait_locations", **{n: f"lw_{n}" for n in summaries.BUILDERS},
-}
+    return _loaded(k, direct_warehouse, "direct", _WAREHOUSE)
 
 
-@query("run_layered", _counts({n: _LAYERED.get(n, n) for n in layered.layered_builders(None, None)}))
+@query("run_layered", _fingerprints(_LAYERED_COLUMNS, _LAYERED))
 def run_layered(k):
-    return _loaded(k, layered_warehouse, "layered", load_layered)
+    return _loaded(k, layered_warehouse, "layered", _LAYERED_COLUMNS)
 
 
 _RESOLVED = """SELECT magasin_id, date_complete, reason, count(*) AS nb FROM (

@@ -8,12 +8,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reelhouse.operators.cube import CubeSpec, rentals_cube, sales_cube
+from reelhouse.operators.member_sets import monthly_client_sets
 from reelhouse.plans.dimensions import dim_date, dim_store
 from reelhouse.plans.direct import direct_warehouse
 from reelhouse.plans.layered import layered_warehouse
 from reelhouse.plans.stage import Stage
 from reelhouse.registry.oracle import complete
 from reelhouse.sources.binding import BENCHMARK_CALENDAR, RawSources
+from reelhouse.sources.shared import written
 from reelhouse.sources.tables import new_database
 
 
@@ -55,6 +57,11 @@ class Workspace:
             "Store": (stores, "magasin_id"), "Client": (self.direct["dim_client"], "client_id"),
         }
 
+    @cached_property
+    def client_sets(self) -> DataFrame:
+        """Monthly sets of clients, stored on first use."""
+        return written(monthly_client_sets(self.direct["fait_ventes"], self.direct["dim_temps"], self.direct["dim_produit"]), "client-sets")
+
     @cached_property
     def sales(self) -> CubeSpec:
         return sales_cube(

@@ -2,7 +2,8 @@
 
 Every part, customer, supplier and order line belongs to some source; membership follows
 descriptive attributes. Names and titles carry a running volume or block number, so the number
-of namesakes per key stays bounded while the tables grow.
+of namesakes per key stays bounded while the tables grow, but for one nation's customers of the second store, whose namesakes
+grow with the square root of the customers. One product holds an eighth of all order lines.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ _MMM_GADGET = "concat('T', p_name, IF(p_size % 10 = 3, ' Deluxe ', ' '), p_partk
 _MMM_NAME = "concat('T', initcap(c_mktsegment), IF(c_acctbal > 7500, ' Q.', ''), ' ', n_name, '-', c_custkey div 16)"
 _MMM_MALE = "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey % 2 END"
 _UNSOLD = "l_linestatus = 'O'"
+_HOT_PART = "IF(l_orderkey % 8 = 0, 7L, l_partkey)"
+_MS_BLOCK = "IF(c_nationkey = 7, cast(floor(sqrt(c_custkey) / 4) as bigint), c_custkey div 8)"
 
 
 class RawSources:
@@ -56,7 +59,7 @@ class RawSources:
 
     def _lines(self, flag: str) -> DataFrame:
         """Order lines of one store: returned (A, R) and not returned (N) lines are the stores."""
-        lines = self.table("lineitem").where(F.col("l_returnflag") == flag)
+        lines = self.table("lineitem").where(F.col("l_returnflag") == flag).withColumn("l_partkey", F.expr(_HOT_PART))
         return lines.join(self.table("orders"), F.expr("l_orderkey = o_orderkey"))
 
     def _gadget_lines(self, flag: str) -> DataFrame:
@@ -141,7 +144,7 @@ class RawSources:
         return self._customers.selectExpr(
             "c_custkey AS code", "concat('T', initcap(c_mktsegment)) AS name",
             "IF(c_acctbal > 7500, concat('T', substring(c_mktsegment, 1, 1), '.'), NULL) AS middlename",
-            "concat('T', n_name, '-', c_custkey div 8) AS surname",
+            f"concat('T', n_name, '-', {_MS_BLOCK}) AS surname",
             "CASE WHEN c_custkey % 13 = 0 THEN 'X' WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
             f"CASE WHEN c_custkey % 11 = 0 THEN 'Tunknown' ELSE concat('T', cast({_BIRTH} AS string)) END AS birthday",
             "concat('T', c_name) AS address",

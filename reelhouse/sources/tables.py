@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from reelhouse.operators.dedup import upsert_by_key
 from reelhouse.operators.shape import coerce_decimals
+from reelhouse.sources.shared import shared_folder
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: spark.checkpoint.dir, set here only for local runs without one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="reelhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+def new_name() -> str:
+    """A name no other run takes."""
+    return uuid.uuid4().hex[:12]
 
 
 def new_database(spark: SparkSession, name: str = "reelhouse") -> str:
     """Create an empty database under the shared folder and return its name."""
-    database = f"{name}_{uuid.uuid4().hex[:12]}"
+    database = f"{name}_{new_name()}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}/{database}'")
     return database
 
@@ -95,20 +89,46 @@ def fact_partition_by_year(df: DataFrame, table: str, year: str = "annee") -> No
     """Store a fact in one folder per year.
 
     The rebalance hint gathers a year's rows into few files and splits a year that is much
-    larger than the others over several tasks.
+    larger than the others over several tasks. The table is set up so that ``overwrite_partitions`` replaces only the years it is given.
     """
     balanced = df.hint("rebalance", year)
-    balanced.write.mode("overwrite").partitionBy(year).saveAsTable(table)
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).saveAsTable(table)
+
+
+def overwrite_partitions(df: DataFrame, table: str, partition: str, touched: Iterable) -> None:
+    """Replace the ``touched`` partitions of a table by the rows of ``df``, which holds rows of those alone, in one committed job.
+
+    ``df`` may read the table: new files are written beside the old ones and take their place when the job commits, so a
+    failure before that leaves the table as it was. A touched partition without rows is dropped after the commit.
+    """
+    spark = df.sparkSession
+    filled = Observation()
+    counts = [F.count_if(F.col(partition) == value).alias(f"p{i}") for i, value in enumerate(touched)]
+    columns = spark.table(table).columns
+    df.observe(filled, F.count(F.lit(1)).alias("n"), *counts).hint("rebalance", partition).select(*columns).write.mode("overwrite").insertInto(table)
+    rows = filled.get
+    for i, value in enumerate(touched):
+        if not rows[f"p{i}"]:
+            shown = f"'{value}'" if isinstance(value, str) else value
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {shown})")
+    spark.catalog.refreshTable(table)
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Replace a table by rows derived from it: write beside it, then swap the names."""
+    """Replace an unpartitioned table by rows derived from it: they are written beside it, then the table is pointed there.
+
+    That is one change of the catalogue, so the table is whole at any time; the old files stay for those who still read them.
+    """
     spark = df.sparkSession
-    beside, old = f"{table}_{uuid.uuid4().hex[:8]}", f"{table}_old_{uuid.uuid4().hex[:8]}"
-    truncate_reload(df, beside)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    place = f"{shared_folder(spark)}/{table.split('.')[-1]}-{new_name()}"
+    df.write.parquet(place)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
+
+
+def _partitions_of(rows: DataFrame, partition: str) -> list:
+    """Partition values of some rows. Their number is that of the years, which is why they may pass through the driver."""
+    return [row[0] for row in rows.select(partition).distinct().collect()]
 
 
 def upsert_table(
@@ -116,9 +136,9 @@ def upsert_table(
 ) -> None:
     """Insert or update rows of a stored table by key.
 
-    With an integer ``partition`` column, as in facts stored by year, only the partitions that hold an
-    updated row before or after the change are rewritten. Their number is that of the years
-    touched, which is why they may pass through the driver.
+    With a ``partition`` column, as in facts stored by year, only the partitions that hold an updated row before or after the change
+    are read for the merge and rewritten, all in one job. Should the driver be lost between that job and the dropping of
+    a partition that lost all its rows, the same call sets it right.
     """
     spark = updates.sparkSession
     target = spark.table(table)
@@ -126,23 +146,72 @@ def upsert_table(
         replace_table(upsert_by_key(target, updates, keys, update_cols), table)
         return
     held = target.join(updates.select(*keys), keys, "left_semi").select(partition)
-    touched = [row[0] for row in held.unionByName(updates.select(partition)).distinct().collect()]
-    if not touched:
-        return
-    beside = f"{table}_{uuid.uuid4().hex[:8]}"
-    merged = upsert_by_key(target.where(F.col(partition).isin(touched)), updates, keys, update_cols)
-    fact_partition_by_year(merged, beside, partition)
-    filled = {row[0] for row in spark.table(beside).select(partition).distinct().collect()}
-    others = ", ".join(c for c in target.columns if c != partition)
-    for value in touched:
-        if value in filled:
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = {value}) "
-                f"SELECT {others} FROM {beside} WHERE {partition} = {value}"
-            )
-        else:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
-    spark.sql(f"DROP TABLE {beside}")
+    touched = _partitions_of(held.unionByName(updates.select(partition)), partition)
+    if touched:
+        overwrite_partitions(upsert_by_key(target.where(F.col(partition).isin(touched)), updates, keys, update_cols), table, partition, touched)
+
+
+def delete_rows(table: str, gone: DataFrame, keys: list[str], partition: str) -> None:
+    """Remove the rows of a partitioned table whose key is in ``gone``; only partitions that hold one are rewritten."""
+    target = gone.sparkSession.table(table)
+    held = target.join(gone.select(*keys), keys, "left_semi")
+    touched = _partitions_of(held, partition)
+    if touched:
+        rest = target.where(F.col(partition).isin(touched)).join(gone.select(*keys), keys, "left_anti")
+        overwrite_partitions(rest, table, partition, touched)
+
+
+_ENTRY = "path string, length bigint, modified timestamp, lot string, taken timestamp"
+
+
+def ingested_files(spark: SparkSession, table: str) -> DataFrame:
+    """The ledger of an ingested table: the last taken version of every file."""
+    entries = spark.table(f"{table}_ledger")
+    last = entries.groupBy("path").agg(F.max_by(F.struct(*[c for c in entries.columns if c != "path"]), "taken").alias("last"))
+    return last.select("path", "last.*")
+
+
+def _file_name(path: Column) -> Column:
+    """One spelling of a file's address, however many slashes follow its scheme."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def ingest_new_files(spark: SparkSession, folder: str, table: str, schema: str, file_format: str = "parquet", **options) -> DataFrame:
+    """Take the files below ``folder`` that the table's ledger doesn't list with their length and modification time; returns their entries.
+
+    Each call's rows are one partition (``lot``) of the table, with the file they came from in ``source_file``. A file that changed is taken again
+    and the rows of its earlier version are removed. The ledger is written last: a lot that no entry names, left by a run
+    that failed, is dropped by the next call, which takes its files again. Decimals become doubles. Only the
+    listing of new files passes through the driver, as it does in any read.
+    """
+    ledger = f"{table}_ledger"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {ledger} ({_ENTRY}) USING parquet")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    here = listing.select(_file_name(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"), F.col("path").alias("address"))
+    known = ingested_files(spark, table)
+    new = here.join(known.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti").collect()
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        named = {row[0] for row in known.select("lot").distinct().collect()}
+        for (part,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            lot = part.removeprefix("lot=")
+            if lot not in named:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (lot = '{lot}')")
+    lot = new_name()
+    entries = spark.createDataFrame([(f.path, f.length, f.modified, lot) for f in new], ", ".join(_ENTRY.split(", ")[:4])).withColumn("taken", F.current_timestamp())
+    if not new:
+        return entries
+    if exists:
+        changed = known.join(entries.select("path"), "path", "left_semi").select("path", "lot")
+        lots = _partitions_of(changed, "lot")
+        if lots:
+            held = spark.table(table).where(F.col("lot").isin(lots))
+            overwrite_partitions(held.join(changed.select(F.col("path").alias("source_file"), "lot"), ["source_file", "lot"], "left_anti"), table, "lot", lots)
+    read = spark.read.format(file_format).schema(schema).options(**options).load([f.address for f in new])
+    rows = coerce_decimals(read.select("*", _file_name(F.col("_metadata.file_path")).alias("source_file"))).withColumn("lot", F.lit(lot))
+    rows.write.mode("append").option("partitionOverwriteMode", "dynamic").partitionBy("lot").saveAsTable(table)
+    entries.write.insertInto(ledger)
+    return entries
 
 
 def reporting_views(frames: dict[str, DataFrame]) -> None:
