@@ -241,26 +241,48 @@ def _sums(measures: list[str]) -> dict[str, Column]:
     return {m: F.sum(f"`{m}`") for m in measures}
 
 
+def coarser_totals(finest: DataFrame, columns: list[str], kept: list[list[str]], merges: dict[str, Column]) -> DataFrame:
+    """``finest`` and the totals that keep only the listed columns, all from one pass over it; the finest rows themselves aren't grouped again."""
+    kinds = dict(finest.dtypes)
+    grouped = finest.groupingSets([[F.col(c) for c in own] for own in kept], *columns)
+    totals = grouped.agg(F.grouping_id().alias("grouping_id"), *[merge.cast(kinds[name]).alias(name) for name, merge in merges.items()])
+    return finest.unionByName(totals)
+
+
+def _prefixes(path: list[str]) -> list[list[str]]:
+    return [path[:i] for i in range(len(path))]
+
+
 def rollup_time(cube: CubeSpec, measures: list[str]) -> DataFrame:
     """Totals for all periods, years, quarters, months and days."""
-    return path_totals(_finest(cube, list(TIME_PATH), measures), list(TIME_PATH), _sums(measures))
+    path = list(TIME_PATH)
+    return coarser_totals(_finest(cube, path, measures), path, _prefixes(path), _sums(measures))
 
 
 def rollup_product(cube: CubeSpec, measures: list[str]) -> DataFrame:
-    """Totals for all products, types, subtypes and products."""
-    return path_totals(_finest(cube, list(PRODUCT_PATH), measures), list(PRODUCT_PATH), _sums(measures))
+    """Totals for all products, types, subtypes and products; each level from the one below, since products grow with the data."""
+    path = list(PRODUCT_PATH)
+    return path_totals(_finest(cube, path, measures), path, _sums(measures))
 
 
 def rollup_client(cube: CubeSpec, measures: list[str], hierarchy: str) -> DataFrame:
-    """Totals for all clients, bands (``age``) or genders (``gender``), and clients."""
+    """Totals for all clients, bands (``age``) or genders (``gender``), and clients; each level from the one below."""
     path = list(CLIENT_PATHS[hierarchy])
     return path_totals(_finest(cube, path, measures), path, _sums(measures))
 
 
-def cube_cross_dims(cube: CubeSpec, measures: list[str], columns: list[str]) -> DataFrame:
-    """Totals for every combination of the level columns and their 'All' members; the finest ones are stored and read by the others."""
-    finest = written(_finest(cube, columns, measures), "cube")
-    return every_total(finest, columns, by_members(cube, columns), _sums(measures))
+def cube_cross_dims(cube: CubeSpec, measures: list[str], columns: list[str], chained: bool = False) -> DataFrame:
+    """Totals for every combination of the level columns and their 'All' members.
+
+    By default all of them come from one pass over the finest totals, which repeats each of those once per combination before they are
+    reduced in the task: right for few members. ``chained`` stores the finest totals and sums the columns away one after the other
+    instead (``every_total``): right where products or clients are among the columns.
+    """
+    finest = _finest(cube, columns, measures)
+    if chained:
+        return every_total(written(finest, "cube"), columns, by_members(cube, columns), _sums(measures))
+    kept = [[c for i, c in enumerate(columns) if not gone >> i & 1] for gone in range(1, 1 << len(columns))]
+    return coarser_totals(finest, columns, kept, _sums(measures))
 
 
 def pivot_matrix(df: DataFrame, row: list[str], col: str, values: list, measure: str) -> DataFrame:

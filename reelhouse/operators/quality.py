@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from reelhouse.functions.measures import ratio_measures
 
@@ -22,9 +23,17 @@ def row_count_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
-def watched(df: DataFrame) -> list[Column]:
+def watched(df: DataFrame) -> dict[str, Column]:
     """Row count and missing values per column, as metrics that a write of ``df`` can measure on its way."""
-    return [_rows().alias("nb"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in df.columns]]
+    return {"nb": _rows(), **{f"null_{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns}}
+
+
+def metrics_of(seen: Observation, names: list[str]) -> dict[str, int]:
+    """What a write measured; zero under every name where Spark found the plan to be empty and so measured nothing."""
+    try:
+        return seen.get
+    except Py4JError:
+        return dict.fromkeys(names, 0)
 
 
 def measured_counts(spark: SparkSession, measured: dict[str, dict[str, int]]) -> DataFrame:

@@ -8,7 +8,7 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from reelhouse.operators.quality import watched
+from reelhouse.operators.quality import metrics_of, watched
 from reelhouse.sources.tables import fact_partition_by_year, truncate_reload
 
 
@@ -53,13 +53,13 @@ class Stage:
             if name not in self._frames:
                 df = self.plan(name)
                 if self._database:
-                    table, seen = f"{self._database}.{name}", Observation()
-                    df = df.observe(seen, *watched(df))
+                    table, seen, metrics = f"{self._database}.{name}", Observation(), watched(df)
+                    df = df.observe(seen, *[metric.alias(key) for key, metric in metrics.items()])
                     if name in self._by_year:
                         fact_partition_by_year(df, table)
                     else:
                         truncate_reload(df, table)
-                    self.measured[name] = seen.get
+                    self.measured[name] = metrics_of(seen, list(metrics))
                     df = self.spark.table(table)
                 self._frames[name] = df
             return self._frames[name]

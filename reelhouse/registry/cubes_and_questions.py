@@ -108,6 +108,13 @@ def cube_cross_dims(k):
     return settled(cb.cube_cross_dims(k.sales, ["Sales Revenue", "Number of Sales"], ["annee", "type", "magasin_id", "genre"]))
 
 
+@query("cube_of_products", f"""SELECT t.annee, f.produit_id, c.tranche_age, CAST(grouping_id(t.annee, f.produit_id, c.tranche_age) AS BIGINT) AS grouping_id,
+    {_CA} AS "Sales Revenue", {_NB} AS "Number of Sales" FROM {_SALES} GROUP BY CUBE (t.annee, f.produit_id, c.tranche_age)""")
+def cube_of_products(k):
+    """A cube with a dimension that grows with the data, summed column by column."""
+    return settled(cb.cube_cross_dims(k.sales, ["Sales Revenue", "Number of Sales"], ["annee", "produit_id", "tranche_age"], chained=True))
+
+
 @query("pivot_matrix", "SELECT magasin_id, mois, " + ", ".join(
     f'CAST(sum(CASE WHEN annee = {y} THEN nb_locations END) AS BIGINT) AS "{y}"' for y in _YEARS
 ) + " FROM agg_locations_mois_produit_magasin GROUP BY magasin_id, mois")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from reelhouse.operators.dedup import upsert_by_key
+from reelhouse.operators.quality import metrics_of
 from reelhouse.operators.shape import coerce_decimals
 from reelhouse.sources.shared import shared_folder
 
@@ -95,18 +95,17 @@ def fact_partition_by_year(df: DataFrame, table: str, year: str = "annee") -> No
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).saveAsTable(table)
 
 
-def overwrite_partitions(df: DataFrame, table: str, partition: str, touched: Iterable) -> None:
+def overwrite_partitions(df: DataFrame, table: str, partition: str, touched: list) -> None:
     """Replace the ``touched`` partitions of a table by the rows of ``df``, which holds rows of those alone, in one committed job.
 
     ``df`` may read the table: new files are written beside the old ones and take their place when the job commits, so a
     failure before that leaves the table as it was. A touched partition without rows is dropped after the commit.
     """
     spark = df.sparkSession
-    filled = Observation()
-    counts = [F.count_if(F.col(partition) == value).alias(f"p{i}") for i, value in enumerate(touched)]
-    columns = spark.table(table).columns
-    df.observe(filled, F.count(F.lit(1)).alias("n"), *counts).hint("rebalance", partition).select(*columns).write.mode("overwrite").insertInto(table)
-    rows = filled.get
+    seen, columns = Observation(), spark.table(table).columns
+    filled = [F.count_if(F.col(partition) == value).alias(f"p{i}") for i, value in enumerate(touched)]
+    df.observe(seen, *filled).hint("rebalance", partition).select(*columns).write.mode("overwrite").insertInto(table)
+    rows = metrics_of(seen, [f"p{i}" for i in range(len(filled))])
     for i, value in enumerate(touched):
         if not rows[f"p{i}"]:
             shown = f"'{value}'" if isinstance(value, str) else value
