@@ -32,7 +32,7 @@ class Level:
 class Summary:
     """A pre-aggregated table: {dimension column: its expression there} and {measure: column} it can answer.
 
-    ``grain`` ranks summaries by size, the smallest first.
+    ``rows`` is its size as measured when it was written; summaries of unknown size come after all others, in the order of ``grain``.
     """
 
     name: str
@@ -40,6 +40,11 @@ class Summary:
     columns: dict[str, str]
     measures: dict[str, str]
     grain: int
+    rows: int | None = None
+
+    @property
+    def size(self) -> tuple[bool, int, int]:
+        return self.rows is None, self.rows or 0, self.grain
 
 
 @dataclass(frozen=True)
@@ -98,20 +103,24 @@ CALCULATED = {
 _MONTHS = {"annee": "annee", "trimestre": "CAST((mois + 2) DIV 3 AS INT)", "mois": "mois"}
 
 
-def sales_cube(fact: DataFrame, dims: dict, by_store: DataFrame | None = None, by_product: DataFrame | None = None) -> CubeSpec:
-    """The sales cube, with whichever of its two summaries exist."""
-    summaries = []
+def sales_cube(
+    fact: DataFrame, dims: dict, by_store: DataFrame | None = None, by_product: DataFrame | None = None, rows: dict[str, int] | None = None,
+) -> CubeSpec:
+    """The sales cube, with whichever of its two summaries exist and their measured rows by name."""
+    summaries, rows = [], rows or {}
     if by_store is not None:
         summaries.append(Summary(
             "agg_ventes_mois_magasin", by_store,
             {**_MONTHS, "magasin_id": "magasin_id"},
             {"Sales Revenue": "ca_total", "Gross Margin": "marge_totale", "Number of Sales": "nb_ventes"}, 1,
+            rows.get("agg_ventes_mois_magasin"),
         ))
     if by_product is not None:
         summaries.append(Summary(
             "agg_ventes_mois_produit", by_product,
             {**_MONTHS, "type": "type_produit", "produit_id": "produit_id"},
             {"Sales Revenue": "ca_total", "Number of Sales": "nb_ventes"}, 2,
+            rows.get("agg_ventes_mois_produit"),
         ))
     return CubeSpec(fact, dims, SALES_MEASURES, tuple(summaries))
 
@@ -325,7 +334,7 @@ def top_count(cube: CubeSpec, level: str, n: int, measure: str) -> DataFrame:
 
 
 def summary_router(cube: CubeSpec, levels: list[str], measures: list[str]) -> tuple[DataFrame, str]:
-    """Answer from the smallest declared summary that covers the request, else from the fact.
+    """Answer from the smallest summary that covers the request, by measured rows, else from the fact.
 
     Both routes give the columns of ``measure_at_level``: each level with its ancestors, so that members
     that share a name stay apart, and the measures. A summary covers a request when it has every column
@@ -333,7 +342,7 @@ def summary_router(cube: CubeSpec, levels: list[str], measures: list[str]) -> tu
     """
     columns = _level_columns(levels)
     asked = {*columns, *_level_columns(list(cube.slices))}
-    for summary in sorted(cube.summaries, key=lambda s: s.grain):
+    for summary in sorted(cube.summaries, key=lambda s: s.size):
         if asked <= set(summary.columns) and set(measures) <= set(summary.measures):
             at = lambda c: F.expr(summary.columns[c])  # noqa: B023, E731
             rows = summary.frame

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reelhouse.plans.layered import dated_sales, load_fact_sales
 from reelhouse.sources.shared import written
-from reelhouse.sources.tables import delete_rows, overwrite_partitions, upsert_table
+from reelhouse.sources.tables import delete_rows, overwrite_partitions, replace_table, upsert_table
 
 
 def _in_months(months: list[tuple[int, int]]) -> Column:
@@ -67,3 +68,18 @@ def refresh_aggregates(fact: str, summaries: dict[str, Callable[[DataFrame, Data
         fresh = refreshed(spark.table(fact), dates, months, build).select(*summary.columns)
         overwrite_partitions(kept.unionByName(fresh), table, "annee", years)
     return months
+
+
+def replay_rejects(fact: str, rejected: str, products: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Take up the sales of a stored table of rejects whose day or product has arrived; returns the days of the sales taken, for a refresh.
+
+    The rejects are looked up again by themselves, whatever the size of the sales. Those that are facts now are upserted by their id and the others stay, each with
+    its present reason. The fact is written first: cut off between the two, the next replay finds the same sales and writes them over themselves.
+    """
+    spark = products.sparkSession
+    left = spark.table(rejected)
+    found = written(dated_sales(left.drop("prix_inventaire_total", "reason"), products, calendar), "replayed")
+    taken, missing = load_fact_sales(found)
+    days = change_fact(fact, ["vente_id"], taken)
+    replace_table(missing.select(*left.columns), rejected)
+    return days

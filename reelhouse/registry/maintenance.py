@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from reelhouse.operators import dedup, member_sets, quality
 from reelhouse.operators.shape import append_streams
-from reelhouse.plans import groups, refresh, summaries
+from reelhouse.plans import groups, layered, refresh, summaries
+from reelhouse.plans.dimensions import dim_date
 from reelhouse.plans.direct import reference_frequencies, sale_events
 from reelhouse.registry.workspace import query
 from reelhouse.sources import tables
-from reelhouse.sources.shared import shared_folder
+from reelhouse.sources.binding import BENCHMARK_CALENDAR
+from reelhouse.sources.shared import shared_folder, written
 
 # --- distinct clients at every level -------------------------------------------------------
 
@@ -142,6 +144,21 @@ def refresh_aggregates(k):
         by_product.select(F.lit("product").alias("summary"), "annee", "mois", "produit_id", "ca_total", "nb_ventes"))
 
 
+@query("replayed_rejects", """SELECT temps_id, magasin_id, client_id, produit_id, annee, ca_ventes, NULL AS reason FROM lw_fait_ventes UNION ALL
+    SELECT NULL, magasin_id, client_id, produit_id, NULL, NULL, reason FROM lw_rejets""")
+def replayed_rejects(k):
+    """Sales loaded while the calendar ended in 1998 and without the gadgets, then the rejects replayed with all days and products."""
+    database = tables.new_database(k.spark, "replay")
+    short, films = dim_date(k.spark, BENCHMARK_CALENDAR[0], "1998-12-31"), k.layered["int_produit"].where("type = 'film'")
+    fact, missing = layered.load_fact_sales(written(layered.dated_sales(k.layered["int_vente"], films, short), "dated"))
+    tables.fact_partition_by_year(fact, f"{database}.fait_ventes")
+    tables.truncate_reload(missing, f"{database}.rejets")
+    refresh.replay_rejects(f"{database}.fait_ventes", f"{database}.rejets", k.layered["int_produit"], k.calendar)
+    facts, rejected = k.spark.table(f"{database}.fait_ventes"), k.spark.table(f"{database}.rejets")
+    return append_streams(
+        facts.select("temps_id", "magasin_id", "client_id", "produit_id", "annee", "ca_ventes"), rejected.select("magasin_id", "client_id", "produit_id", "reason"))
+
+
 # --- ingest, keys, measurements -------------------------------------------------------------
 
 @query("incremental_ingest", """SELECT 1 AS pass, 1 AS files, count(*) FILTER (c_nationkey < 12) AS n_rows FROM customer

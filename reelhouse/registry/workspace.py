@@ -64,9 +64,8 @@ class Workspace:
 
     @cached_property
     def sales(self) -> CubeSpec:
-        return sales_cube(
-            self.direct["fait_ventes"], self.dims, self.direct["agg_ventes_mois_magasin"], self.direct["agg_ventes_mois_produit"]
-        )
+        summaries = [self.direct[name] for name in ("agg_ventes_mois_magasin", "agg_ventes_mois_produit")]
+        return sales_cube(self.direct["fait_ventes"], self.dims, *summaries, {name: found["nb"] for name, found in self.direct.measured.items()})
 
     @cached_property
     def rentals(self) -> CubeSpec:

@@ -157,6 +157,29 @@ def test_years_can_be_sliced_by_tuple(ws, rows):
     assert rows(one) == rows(other)
 
 
+def test_router_takes_the_smallest_summary_by_measured_rows(ws):
+    d = ws.direct
+    summaries = d["agg_ventes_mois_magasin"], d["agg_ventes_mois_produit"]
+    asked = (["Year"], ["Sales Revenue"])
+    for rows, route in (({"agg_ventes_mois_magasin": 9, "agg_ventes_mois_produit": 5}, "agg_ventes_mois_produit"), ({"agg_ventes_mois_produit": 5}, "agg_ventes_mois_produit"),
+                        ({"agg_ventes_mois_magasin": 4, "agg_ventes_mois_produit": 5}, "agg_ventes_mois_magasin"), ({}, "agg_ventes_mois_magasin")):
+        assert cb.summary_router(cb.sales_cube(d["fait_ventes"], ws.dims, *summaries, rows), *asked)[1] == route
+    assert all(s.rows == s.frame.count() for s in ws.sales.summaries)
+
+
+def test_replayed_rejects_need_no_second_load(ws, spark, database, rows):
+    from reelhouse.plans import layered
+
+    dated = ws.layered["ventes_datees"]
+    fact, missing = layered.load_fact_sales(dated)
+    tables.fact_partition_by_year(fact, f"{database}.fact")
+    tables.truncate_reload(missing, f"{database}.rejects")
+    for _ in range(2):
+        days = refresh.replay_rejects(f"{database}.fact", f"{database}.rejects", ws.layered["int_produit"], ws.calendar)
+        assert days.count() == 0 and rows(spark.table(f"{database}.rejects"), *missing.columns) == rows(missing)
+        assert rows(spark.table(f"{database}.fact"), *fact.columns) == rows(fact)
+
+
 def test_fingerprints_see_any_change(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "b", 1.5), (2, "b", 1.5)], "id int, t string, v double")
     cols = df.columns
