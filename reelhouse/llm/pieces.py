@@ -23,8 +23,8 @@ class TextCoder:
     pattern as a whole. Chunks are cut, told apart and put together in Arrow arrays; Python sees the different ones.
     """
 
-    def __init__(self, pattern: str, code: Callable[[list[str]], list[bytes]]) -> None:
-        self.find, self.code = regex.compile(pattern).findall, code
+    def __init__(self, pattern: str, code: Callable[[list[str]], list[bytes]], chars_at_once: int = CHARS_AT_ONCE) -> None:
+        self.find, self.code, self.chars_at_once = regex.compile(pattern).findall, code, chars_at_once
         self.chunks: dict[str, bytes | None] = {}  # a word stands here for itself after a space
         self.pieces: dict[str, bytes] = {}  # other pre-tokens
 
@@ -33,7 +33,7 @@ class TextCoder:
         for text in texts:
             held.append(text or "")
             chars += len(held[-1])
-            if chars >= CHARS_AT_ONCE:
+            if chars >= self.chars_at_once:
                 yield from self._together(held)
                 held, chars = [], 0
         if held:
@@ -41,8 +41,7 @@ class TextCoder:
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.chunks) + len(self.pieces) > CHUNKS:
-            self.chunks.clear()
-            self.pieces.clear()
+            self._forget()
         cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         begin = cut.offsets.to_numpy()
         coded = cut.flatten().dictionary_encode()
@@ -65,6 +64,13 @@ class TextCoder:
             else:  # a chunk that depends on its neighbours
                 yield self._joined([self.find(text)])[0]
 
+    def _forget(self) -> None:
+        """Chunks with other signs than letters seldom come again; words go only where they alone are too many."""
+        self.pieces.clear()
+        self.chunks = {c: ids for c, ids in self.chunks.items() if c.isalpha()}
+        if len(self.chunks) > CHUNKS * 3 // 4:
+            self.chunks.clear()
+
     def _chunk_ids(self, chunks: list[str]) -> list[bytes | None]:
         """Ids of each chunk with a space before it; None for one that depends on its neighbours."""
         known = self.chunks

@@ -11,6 +11,7 @@ Parts follow each other in doc_id order, and so do the blocks of a part by start
 
 from __future__ import annotations
 
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,8 +29,10 @@ from reelhouse.sources.tables import shared_folder
 LONGEST = 20  # bits of the longest code; the decoding table has 2**LONGEST places
 CHECK_EVERY = 128
 BLOCK_TOKENS = 1 << 17
-PIECES_AT_ONCE = 1024
-ROWS_AT_ONCE = 1024
+ROWS_AT_ONCE, CHARS_AT_ONCE = 4096, 1 << 23
+_SHOWN = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+# Byte-level vocabularies spell a byte by its own character where that shows, else by the next character from 256 on.
+BYTE_LETTERS = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 STAGED = "part long, pos long, start long, doc_id long, ids binary, counts binary"
 BLOCKS = "part long, start long, tokens long, doc_ids array<long>, lengths array<int>, checkpoints binary, payload binary"
 
@@ -42,31 +45,23 @@ def _coder(file: Broadcast, pattern: str, kind: str, added: bool) -> Callable[[l
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tokenizer = Tokenizer.from_str(file.value)
-        tokenizer.encode_special_tokens = True  # of pieces: texts that hold an added token go to the library whole
         library = Tokenizer.from_str(file.value)
         marks = [t.content for t in library.get_added_tokens_decoder().values()] if added else []
 
+        tokenise = tokenizer.model.tokenize
+        packed = lambda ids: struct.pack(f"<{len(ids)}{'H' if kind == '<u2' else 'I'}", *ids)
+        if not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or tokenizer.normalizer is not None:
+            raise ValueError("the tokenizer file is not byte-level")
+
         def code(pieces: list[str]) -> list[bytes]:
-            """Pieces that start with their only space are coded as one text: they end where the next begins."""
-            spaced = [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
-            found = {}
-            for start in range(0, len(spaced), PIECES_AT_ONCE):
-                part = spaced[start:start + PIECES_AT_ONCE]
-                whole = tokenizer.encode("".join(part), add_special_tokens=False)
-                ids, word = np.array(whole.ids, kind).tobytes(), np.array(whole.word_ids)
-                ends = np.searchsorted(word, np.arange(len(part) + 1)) * np.dtype(kind).itemsize
-                if word[-1] != len(part) - 1:
-                    raise ValueError("pre-tokens ran together")
-                found |= {p: ids[i:j] for p, i, j in zip(part, ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
-            others = [p for p in pieces if p not in found]
-            single = tokenizer.encode_batch_fast(others, add_special_tokens=False)
-            found |= {p: np.array(e.ids, kind).tobytes() for p, e in zip(others, single, strict=True)}
-            return [found[p] for p in pieces]
-
-        by_pieces = TextCoder(pattern, code)
+            """Pre-tokens in the vocabulary's spelling of bytes, each coded by the library's model."""
+            spelled = [p.encode().decode("latin-1").translate(BYTE_LETTERS) for p in pieces]
+            return [packed([token.id for token in tokenise(p)]) for p in spelled]
+
+        by_pieces = TextCoder(pattern, code, CHARS_AT_ONCE)
 
         def code_texts(texts: list[str]) -> list[bytes]:
             marked = {i: t for i, t in enumerate(texts) if any(m in t for m in marks)}
@@ -99,7 +94,8 @@ def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int, doc_id: str
         file = docs.sparkSession.sparkContext.broadcast(f.read())
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one doc_id, or without one, are many at will: the second key deals them out.
+    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     kind = id_kind(path, end_id)
     end, size = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
 
