@@ -75,6 +75,7 @@ def parse(page: str) -> Page:
     tokens: list[Token] = []
     sections, inside, around, parents = [frozenset()], [False], [False], [-1]
     stack: list[tuple[str, int]] = [("", 0)]
+    opened: Counter = Counter()  # elements of each name in the stack: an end tag without one is not looked for
     at = 0
     while at < len(page):
         m = TOKEN.match(page, at)
@@ -86,9 +87,11 @@ def parse(page: str) -> Page:
         elif not tag:
             continue
         elif m["end"] or m["end2"]:
-            open_at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if open_at:
-                del stack[open_at:]
+            while opened[tag]:
+                name, _ = stack.pop()
+                opened[name] -= 1
+                if name == tag:
+                    break
             tokens.append(Token(tag, "", place, tag in BLOCKS))
         else:
             attrs = m["attrs"] or ""
@@ -110,9 +113,10 @@ def parse(page: str) -> Page:
             tokens.append(Token(tag, "", place, tag in BLOCKS))
             if tag not in EMPTY and not attrs.rstrip().endswith("/"):
                 if tag in ("p", "li", "option") and stack[-1][0] == tag:  # these end where the next begins
-                    stack.pop()
+                    opened[stack.pop()[0]] -= 1
                     place = place if features and tag not in EMPTY else stack[-1][1]
                 stack.append((tag, place))
+                opened[tag] += 1
     return Page(tokens, sections, inside, around)
 
 
@@ -213,6 +217,11 @@ def _stretch(parsed: Page, odds: list[float], shown: list[bool], weights: Weight
     return best_sum, "\n".join(line for line in lines if line)
 
 
+def _odds(features: frozenset[str], weights: Weights) -> float:
+    """Log-odds of a section; the name of its element tells nothing where its class says that it is other text, as for a comment that is an article."""
+    return sum(weights.sections.get(f, 0.0) for f in (features - MAIN if _hinted(features) else features))
+
+
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best stretch, one per line; empty without a word in main text.
 
@@ -224,7 +233,7 @@ def main_text(page: str | None, weights: Weights) -> str:
     if not page:
         return ""
     parsed = parse(page)
-    odds = [sum(weights.sections.get(f, 0.0) for f in (features | {"around"} if around and not inside else features))
+    odds = [_odds(features | {"around"} if around and not inside else features, weights)
             for features, inside, around in zip(parsed.sections, parsed.inside, parsed.around, strict=True)]
     shown = [".hidden" not in features for features in parsed.sections]
     found, text = _stretch(parsed, odds, shown, weights)

@@ -56,7 +56,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     ``extra`` columns are carried along.
     """
     extra = extra or []
-    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("long")
+    named = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null"), F.md5(whole_text(text))))  # rows without an id spread by their text
+    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), named)), 1, 13), 16, 10).cast("long")
     rows = stored(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size"), key.alias("key"), *extra,
     ), "mix-sizes").withColumn("named", F.col("source").isNotNull()).withColumn("name", F.coalesce("source", F.lit("")))
@@ -99,7 +100,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS key FROM documents),
+         ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null' || md5(coalesce(text, '')))), 1, 13))::BIGINT AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 3 * source_size AS cap, (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1 AS weight FROM s),
 l AS (SELECT *, (sum(source_size) OVER ()

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from reelhouse.llm.common import ship, stored
+from reelhouse.llm.common import own_name, ship, stored
+from reelhouse.operators.skew import spread_join
 
 WORDS, SIMILAR = 5, 0.8
 # At a similarity of 0.8 a pair shares one of the bands with a chance of 0.9997, at 0.5 of 0.47, at 0.3 of 0.05.
@@ -30,6 +31,8 @@ DF_BUCKETS, RARE, IDF_GAIN = 1 << 18, 1000.0, 0.25
 # Sampling draws r, c and beta from a table by a hash of shingle and sample; weights enter it in steps of 1/8 of their logarithm.
 DRAWS, STEP = 1 << 16, 8
 FEATURES_AT_ONCE, BYTES_AT_ONCE = 4096, 1 << 20
+# A text that more rows repeat than this share is dealt out when rows meet their class; there are fewer than 1 / share of them.
+HOT_SHARE = 1e-3
 BLOCK = 128  # texts of a bucket compared with each other in one task
 
 _P = 0x9E3779B97F4A7C15 | 1
@@ -172,32 +175,38 @@ def _weighted(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def sketches(docs: DataFrame, idf: Broadcast, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, bands), one row per document with an id."""
+    """(doc_id, h, key, bands), one row per row with an id; ``doc_id`` and ``h``, a hash of the text as it stands, tell texts apart."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bands = [], []
-            for own in batch.column(1):
+            for own in batch.column(2):
                 own = own.as_py()
                 keys.append(text_key(own))
                 bands.append(band_keys(*_weighted(own, idf.value)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "h", "key", "bands"])
 
-    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(sketch, "doc_id long, key binary, bands array<long>")
+    return _identified(docs, doc_id, text).mapInArrow(sketch, "doc_id long, h long, key binary, bands array<long>")
+
+
+def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, h, text) of the rows with an id."""
+    own = F.col(text).cast("string")
+    return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(own).alias("h"), own.alias("text"))
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, class): the smallest node each node of ``links`` (a, b) is connected to.
+    """(node, class): the smallest node each node of ``links`` (a, b) is connected to. Nodes are of any type with an order.
 
     Every round a node takes the smallest class among its neighbours' and then that class's own class, so
-    paths shorten fast; each round is stored, and only the sum of the classes comes to the driver.
+    paths shorten fast; each round is stored, and only two sums over hashes of the classes come to the driver.
     """
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct()
     edges = stored(both, "links")
     labels = stored(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("class")), "classes")
-    total = F.sum(F.col("class").cast("decimal(38,0)"))
+    state = [F.sum(F.xxhash64("class").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", "class"))]
     before = None
-    while (now := labels.agg(total).head()[0]) != before:
+    while (now := labels.agg(*state).head()) != before:
         before = now
         near = edges.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("class").alias("m"))
         lower = labels.join(near, F.col("node") == F.col("u")).select("node", F.least("class", "m").alias("class"))
@@ -224,7 +233,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").sortWithinPartitions("a")
-    return joined.mapInArrow(check, "a long, b long")
+    return joined.mapInArrow(check, "a binary, b binary")
 
 
 def _blocks(members: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
@@ -242,7 +251,7 @@ def _blocks(members: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         nodes, classes = group["node"].to_numpy(), group["class"].to_numpy()
         if (classes == classes[0]).all():
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            return pd.DataFrame({"a": [], "b": []}, dtype=object)
         alike = _similar_pairs([_weighted(t, idf.value) for t in group["text"]])
         top = {c: c for c in classes}
 
@@ -257,9 +266,9 @@ def _blocks(members: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
             if p != q:
                 top[max(p, q)] = min(p, q)
                 links.append((nodes[x], nodes[y]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(links, columns=["a", "b"], dtype=object)
 
-    return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+    return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def _similar_pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
@@ -293,45 +302,56 @@ def _similar_pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int
     return [(int(i), int(j)) for i, j in np.argwhere(np.triu(alike, 1))]
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id (the smallest doc_id of its class), kept (doc_id is class_id).
-
-    Classes are the connected components of the links, similarity SIMILAR or more, between documents that share a band.
-    Texts of equal words are one text. In each bucket of a band all texts are compared with its smallest id; buckets that then
-    still hold several classes are compared within, every text with every other, in blocks of bounded size.
-
-    Null and empty texts are equal texts. Rows repeating a doc_id are one document. Rows without a doc_id are in no class: class_id null,
-    kept true. An empty table gives no rows.
-    """
+def _classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, h, class_id, kept), one row per row with an id. A node is a text, known by its key, whatever ids its rows have."""
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(idf_weights(document_frequencies(docs, text)))
     sketch = stored(sketches(docs, idf, doc_id, text), "sketches")
-    different = sketch.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    different = stored(sketch.groupBy(F.col("key").alias("node")).agg(
+        F.min(F.struct("doc_id", "h")).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "texts")
     rows = different.select("node", F.explode("bands").alias("bucket"))
     buckets = rows.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(rows.join(buckets, "bucket"), "buckets")
-    own = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     # Texts are joined by merging at every size, so that what a small input shuffles tells what a large one will.
-    texts = stored(own.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "candidates").hint("merge")
+    wanted = different.join(members.select("node").distinct(), "node", "left_semi").select("node", "first.*").hint("merge")
+    texts = stored(_identified(docs, doc_id, text).join(wanted, ["doc_id", "h"]).select("node", "text"), "candidates").hint("merge")
 
     links = stored(_verified(members.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts, idf), "links")
-    copies = sketch.join(different.select("key", "node"), "key").select("doc_id", "node")
-    first = components(links)
-    placed = members.where("n > 2").join(first, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    found = components(links)
+    placed = members.where("n > 2").join(found, "node", "left").withColumn("class", F.coalesce("class", "node"))
     open_sets = placed.groupBy("bucket").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.hash("node")).alias("y"), F.count(F.lit(1)).alias("n"),
     ).where("low < high").groupBy("x", "y", "n").agg(F.min("bucket").alias("bucket"))  # bands that hold the same texts
     more = _blocks(stored(placed.join(open_sets.select("bucket"), "bucket").select("bucket", "n", "node", "class"), "open"), texts, idf)
-    joined = first.where(F.col("node") != F.col("class")).select(F.col("node").alias("a"), F.col("class").alias("b"))
+    joined = found.where(F.col("node") != F.col("class")).select(F.col("node").alias("a"), F.col("class").alias("b"))
     last = components(joined.unionByName(more))
-    classes = copies.join(last, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class"))
-    by_id = classes.groupBy("doc_id").agg(F.min("class").alias("class_id"))
-    ids = docs.select(F.col(doc_id).alias("doc_id"))
-    return ids.join(by_id, "doc_id", "left").select(
-        "doc_id", "class_id", (F.col("class_id").isNull() | (F.col("class_id") == F.col("doc_id"))).alias("kept"))
+    classed = different.join(last, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    leads = classed.groupBy("class").agg(F.min("first").alias("lead"))
+    by_text = stored(classed.join(leads, "class").select(F.col("node").alias("key"), "lead", "rows"), "text-classes")
+    most = F.lit(max(sketch.count() * HOT_SHARE, 1.0))
+    hot = by_text.where(F.col("rows") > most).select("key", F.ceil(F.col("rows") / most).cast("int").alias("pieces"))
+    own = spread_join(sketch.select("doc_id", "h", "key"), by_text.drop("rows"), ["key"], "doc_id", hot)
+    return own.select("doc_id", "h", F.col("lead.doc_id").alias("class_id"), (F.struct("doc_id", "h") == F.col("lead")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, class_id (the smallest doc_id of its class), kept (it is the class's first row).
+
+    Classes are the connected components of the links, similarity SIMILAR or more, between documents that share a band.
+    Texts of equal words are one text. In each bucket of a band all texts are compared with its smallest key; buckets that then
+    still hold several classes are compared within, every text with every other, in blocks of bounded size.
+
+    Null and empty texts are equal texts. Rows that repeat a doc_id with other words are texts of their own; rows that repeat doc_id and text are
+    one document, and all of them are kept or none. Rows without a doc_id are in no class: class_id null, kept true. An empty table gives no rows.
+    """
+    nameless = docs.where(F.col(doc_id).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("kept"))
+    return _classes(docs, doc_id, text).drop("h").unionByName(nameless)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are not the first of their class."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """``docs`` without the rows that are not the first of their class, each told by its doc_id and text; rows without a doc_id stay."""
+    dropped = _classes(docs, "doc_id", "text").where("NOT kept").select("doc_id", "h").distinct()
+    name, gone_id, gone_h = (own_name(docs, c) for c in ("_h", "_gone_id", "_gone_h"))
+    gone = dropped.withColumnsRenamed({"doc_id": gone_id, "h": gone_h})
+    marked = docs.withColumn(name, F.xxhash64(F.col("text").cast("string")))
+    return marked.join(gone, (F.col("doc_id").cast("long") == F.col(gone_id)) & (F.col(name) == F.col(gone_h)), "left_anti").drop(name)

@@ -17,7 +17,9 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = secrets.findings_by_path(docs, secrets.scan(docs))
+    # Two scans through one ledger, as a store that grows takes them: the second finds half of the blobs known and scans the others.
+    earlier = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    found = secrets.findings_by_path(docs, secrets.scan(docs, secrets.scan(earlier)))
     return found.withColumn("base_sha256", F.sha2("spans", 256))
 
 

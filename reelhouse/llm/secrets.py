@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -29,30 +30,53 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{14,}", 18),
     Rule("hex", 1, r"[0-9a-f]{16,}", 16),
 )
+SPANS_AT_ONCE = 256
 SPANS = "array<struct<start:int,end:int>>"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often its inner functions ask for it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def spans_of(text: Column, rule: Rule) -> Column:
     """Code-point spans, end exclusive, of the rule's matches: leftmost, not overlapping.
 
-    Splitting at the matches gives the text between them, so every start is a sum of lengths.
+    Splitting at the matches gives the text between them, so every start is a sum of lengths. Matches are added up in blocks of
+    SPANS_AT_ONCE: an array that grows by one entry is copied each time, so one array for a text of very many matches would
+    take the square of their number.
     """
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     between = F.split(text, rule.pattern, -1)
+    nothing = F.array().cast(SPANS)
+
+    def width(x: Column) -> Column:
+        return F.length(x["between"]) + F.coalesce(F.length(x["match"]), F.lit(0))
 
     def add(acc: Column, x: Column) -> Column:
+        end = acc["at"] + width(x)
         start = acc["at"] + F.length(x["between"])
-        end = start + F.coalesce(F.length(x["match"]), F.lit(0))
         body = F.regexp_extract(x["match"], rule.pattern, rule.group) if rule.group else x["match"]
         one = F.array(F.struct(start.alias("start"), end.alias("end")))
         good = x["match"].isNotNull() & (F.length(body) >= rule.least)
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
 
-    nothing = F.array().cast(SPANS)
-    begin = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
+    def blocks(pairs: Column) -> Column:
+        last = F.floor((F.size(pairs) - 1) / F.lit(SPANS_AT_ONCE)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(pairs, i * SPANS_AT_ONCE + 1, SPANS_AT_ONCE))
+
+    def starts(own: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(own, begin, lambda acc, block: F.struct(
+            (acc["at"] + F.aggregate(block, F.lit(0), lambda n, x: n + width(x))).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")), lambda acc: acc["all"])
+
+    def found(own: Column) -> Column:
+        return _once(starts(own), lambda at: F.flatten(F.transform(own, lambda block, i: F.aggregate(
+            block, F.struct(at[i].alias("at"), nothing.alias("found")), add, lambda acc: acc["found"]))))
+
     pairs = F.arrays_zip(between.alias("between"), matches.alias("match"))
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, begin, add, lambda acc: acc["found"])).otherwise(nothing)
+    return F.when(F.size(matches) > 0, _once(pairs, lambda p: _once(blocks(p), found))).otherwise(nothing)
 
 
 def blobs_of(paths: DataFrame, text: str = "text") -> DataFrame:

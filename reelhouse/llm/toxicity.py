@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from reelhouse.llm.common import ship
+from reelhouse.llm.common import own_name, ship
 
 # Bound of the training sample (labelled rows), features looked at and kept, least evidence for one, penalties.
 SAMPLE = 20_000
@@ -23,6 +23,10 @@ EVIDENCE, LEAST_DOCS = 20.0, 4
 RIDGE, SWAP_PENALTY, STEPS = 2e-5, 1.0, 600
 GRAMS = (4, 5, 6)
 REMEMBERED = 500_000
+# Longer texts are scored by parts of at most about this many characters, the highest counting.
+STRETCH = 8192
+# One labelled row in so many gets neutral mentions of an identity group, beside the rows that hold such terms themselves.
+MENTIONED = 4
 
 # Terms that may be swapped within their group; "" stands for leaving the term out.
 IDENTITY = (
@@ -34,13 +38,14 @@ IDENTITY = (
     ("femmes", "hommes", "personnes", ""), ("musulmans", "chrétiens", "juifs", ""), ("immigrés", "réfugiés", "citoyens", ""),
     ("mujeres", "hombres", "personas", ""), ("musulmanes", "cristianos", "judíos", ""), ("inmigrantes", "refugiados", "ciudadanos", ""),
 )
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS, SPACE = re.compile(r"[^\W\d_]+"), re.compile(r"\s")
 
 
 class Model(NamedTuple):
     buckets: np.ndarray  # of the kept features, ascending
     weights: np.ndarray
     bias: float
+    pairs: int = 0  # of a row and a version of it with other identity terms, whose difference was penalised
 
 
 def word_features(word: str) -> list[int]:
@@ -67,6 +72,27 @@ class Reader:
         return set().union(*map(self.chunks.__getitem__, chunks))
 
 
+def stretches(text: str | None) -> list[str]:
+    """The text in parts of STRETCH characters, each drawn out to the next white space if that comes within as many again.
+
+    The weights of a text's different words add up, so a text of a million words would be judged by the sum of what its many rare words say by chance;
+    in parts, clean texts stay clean at any length, and a passage tells however long the text around it is.
+    """
+    text, parts, at = text or "", [], 0
+    while len(text) - at > STRETCH:
+        gap = SPACE.search(text, at + STRETCH, at + 2 * STRETCH)
+        end = gap.start() if gap else min(at + 2 * STRETCH, len(text))
+        parts.append(text[at:end])
+        at = end
+    return [*parts, text[at:]]
+
+
+def mentions(text: str, groups: tuple[tuple[str, ...], ...] = IDENTITY) -> list[str]:
+    """The text with each term of one group, chosen by the text, after it; none for most texts, again by the text."""
+    h = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    return [] if h % MENTIONED else [f"{text} {term}" for term in groups[h // MENTIONED % len(groups)] if term]
+
+
 def swaps(text: str, groups: tuple[tuple[str, ...], ...] = IDENTITY) -> list[str]:
     """Versions of the text whose identity terms are exchanged: the k-th has every term replaced by the k-th next of its group."""
     turn = {t: (g, i) for g in groups for i, t in enumerate(g) if t}
@@ -119,7 +145,7 @@ def choose_features(rows: DataFrame) -> np.ndarray:
 
 
 def examples(rows: DataFrame, kept: np.ndarray, groups: tuple = IDENTITY) -> pa.Table:
-    """(toxic, order, places, swapped): kept features of each row and of each of its swapped versions. One row per sampled label."""
+    """(toxic, order, places, swapped): kept features of each row and of its counterfactual versions, swapped or with mentions. One row per sampled label."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(kept)
         for batch in batches:
@@ -127,7 +153,7 @@ def examples(rows: DataFrame, kept: np.ndarray, groups: tuple = IDENTITY) -> pa.
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
                 pa.array([sorted(reader(t)) for t in texts], pa.list_(pa.int32())),
-                pa.array([[sorted(reader(s)) for s in swaps(t, groups)] for t in texts], pa.list_(pa.list_(pa.int32()))),
+                pa.array([[sorted(reader(s)) for s in swaps(t, groups) or mentions(t, groups)] for t in texts], pa.list_(pa.list_(pa.int32()))),
             ], ["toxic", "order", "places", "swapped"])
 
     return rows.mapInArrow(read, "toxic int, order long, places array<int>, swapped array<array<int>>").toArrow()
@@ -179,7 +205,7 @@ def fit(found: pa.Table, kept: np.ndarray, swap_penalty: float = SWAP_PENALTY) -
         gradient[-1] += slope.sum()
         moment, second = 0.9 * moment + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         w -= 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8) * (1 - step / (STEPS + 1))
-    return Model(kept, w[:-1], float(w[-1]))
+    return Model(kept, w[:-1], float(w[-1]), len(origin))
 
 
 def _list(column: pa.ChunkedArray) -> pa.ListArray:
@@ -197,16 +223,21 @@ def learn_model(docs: DataFrame, labels: DataFrame, learn: Column, swap_penalty:
     return fit(examples(rows, kept), kept, swap_penalty)
 
 
+def logit(text: str | None, model: Model, read: Reader) -> float:
+    """The highest log-odds of the text's stretches."""
+    return max(model.bias + model.weights[sorted(read(part))].sum() for part in stretches(text))
+
+
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text; null and empty texts get that of a text without features."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     @pandas_udf("double")
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        buckets, weights, bias = shared.value
-        read = Reader(buckets)
+        own = Model(*shared.value)
+        read = Reader(own.buckets)
         for texts in batches:
-            z = np.array([bias + weights[sorted(read(t))].sum() for t in texts], float)
+            z = np.array([logit(t, own, read) for t in texts], float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     return docs.withColumn(score, rate(F.col(text)))
@@ -218,6 +249,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that a model learned from their labels doesn't reject, columns unchanged."""
-    rated = scored(docs, learn_model(docs, labels, ~held_out()), score="_toxicity")
-    return rated.where("_toxicity < 0.5").drop("_toxicity")
+    """The documents that a model learned from their labels doesn't reject, columns unchanged.
+
+    Rows that repeat a doc_id are judged each by its own text; where documents or labels repeat a doc_id, every pair of text and label
+    is an example. Labels without a doc_id, or of no document, teach nothing.
+    """
+    score = own_name(docs, "_toxicity")
+    rated = scored(docs, learn_model(docs, labels, ~held_out()), score=score)
+    return rated.where(F.col(score) < 0.5).drop(score)

@@ -69,6 +69,52 @@ def test_swaps_of_a_text():
     assert toxicity.swaps("nothing here") == []
 
 
+def test_stretches_cover_the_text():
+    for text in (None, "", "a b", "word " * 9000, "x" * 50_000, " " * 30_000, "é" * 8192 + " " + "y" * 9000):
+        parts = toxicity.stretches(text)
+        assert "".join(parts) == (text or "") and max(map(len, parts)) <= 2 * toxicity.STRETCH and len(parts) >= 1
+
+
+def test_the_given_labels_are_fitted_with_counterfactuals(spark):
+    """No labelled text of the given tables holds an identity term, so neutral mentions are added; the fit hears of them."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn_model(docs, labels, ~toxicity.held_out())
+    plain = toxicity.learn_model(docs, labels, ~toxicity.held_out(), 0.0)
+    print("counterfactual pairs:", model.pairs)
+    assert model.pairs > 100
+    texts = [r.text or "" for r in docs.limit(300).collect()]
+    reader = toxicity.Reader(model.buckets)
+
+    def change(m):
+        return np.mean([abs(toxicity.logit(v, m, reader) - toxicity.logit(t, m, reader)) for t in texts for g in toxicity.IDENTITY for v in [f"{t[:4000]} {g[0]}"]
+                        if len(t) < 4000])
+
+    assert change(model) <= change(plain)
+
+
+def test_long_texts_are_judged_by_their_passages(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model, marked = toxicity.learn_model(docs, labels, ~toxicity.held_out()), docs.join(labels, "doc_id").cache()
+    reader = toxicity.Reader(model.buckets)
+    clean = [r.text for r in marked.where("toxic = 0 AND text IS NOT NULL").orderBy("doc_id").collect()]
+    toxic = [r.text for r in marked.where("toxic = 1").orderBy("doc_id").limit(40).collect()]
+    kept = [t for t in clean if toxicity.logit(t, model, reader) < 0]
+    assert len(kept) > 0.995 * len(clean)
+    long = "\n".join(kept)[:2_000_000]
+    assert len(long) == 2_000_000 and toxicity.logit(long, model, reader) < 0
+    found = [toxicity.logit(long[:500_000] + " " + t + " " + long[500_000:1_000_000], model, reader) > 0 for t in toxic]
+    assert sum(found) >= 24  # measured: 29; the whole texts at once would all be taken as toxic or all as clean
+
+
+def test_hostile_labels(spark, labelled):
+    docs, labels = labelled
+    more = labels.union(labels).union(spark.createDataFrame([(None, 1), (10**9, 1), (3, None)], "doc_id long, toxic int"))
+    twice = docs.union(docs.limit(50)).union(spark.createDataFrame([(None, "a vileworm"), (None, None)], "doc_id long, text string"))
+    odd = twice.withColumn("_toxicity", F.lit("x"))
+    kept = toxicity.clean_documents(odd, more)
+    assert kept.columns == odd.columns and kept.where("doc_id IS NULL").count() == 1 and kept.where("_toxicity <> 'x'").count() == 0
+
+
 def test_toxicity_without_usable_labels(spark, labelled):
     docs, labels = labelled
     for odd in (labels.limit(0), labels.where("toxic = 0"), labels.withColumn("toxic", F.lit(None).cast("int"))):

@@ -1,6 +1,7 @@
 """Main text of pages: blocks, boilerplate, hostile pages."""
 
 import random
+import time
 
 import pytest
 
@@ -59,6 +60,18 @@ def test_long_adverts_do_not_split_an_article(learned):
     assert mt.main_text(page, learned) == ("first part " * 10).strip() + "\n" + ("second part " * 10).strip()
 
 
+def test_comments_that_are_articles_are_not_main_text(learned):
+    own, said = "these are the twelve words of the article that we want", "somebody wrote a reply about it " * 5
+    page = f"<body><article><p>{own}</p><article class='comment'><p>{said}</p></article><article class='comment'><p>{said}</p></article></article></body>"
+    assert mt.main_text(page, learned) == own
+
+
+def test_end_tags_without_a_start_take_no_search(learned):
+    started = time.perf_counter()
+    assert mt.main_text("<article><p>" + "<span>word " * 60_000 + "</b>" * 60_000, learned).count("word") == 60_000
+    assert time.perf_counter() - started < 10
+
+
 def test_very_long_and_broken_pages(learned):
     assert len(mt.main_text("<article>" + "<p>word " * 50_000, learned).split("\n")) == 50_000
     assert mt.main_text("<" * 20_000 + "a", learned) is not None

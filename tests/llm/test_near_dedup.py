@@ -112,6 +112,18 @@ def test_hostile_rows(documents, rows):
     assert nd.near_duplicates(documents([])).count() == 0 and nd.one_of_each(documents([])).count() == 0
 
 
+def test_no_text_is_lost_where_ids_repeat(documents, rows):
+    """5 is the id of a near copy of 3 and of a text of its own, which 7 copies."""
+    x = [f"x{i}" for i in range(100)]
+    y = " ".join(f"y{i}" for i in range(60))
+    docs = documents([(3, " ".join(x)), (5, " ".join([*x, "more"])), (5, y), (7, y), (8, y + " end"), (9, y.upper()), (9, y + "  ")])
+    got = rows(nd.near_duplicates(docs), "doc_id", "class_id", "kept")
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (8, 5, False), (9, 5, False), (9, 5, False)]
+    assert rows(nd.one_of_each(docs), "doc_id", "text") == [(3, " ".join(x)), (5, y)]
+    extra = docs.withColumns({"h": F.lit("c"), "_h": F.lit("d"), "_gone_id": F.lit(0), "first": F.lit(1), "lead": F.lit(2)})
+    assert nd.one_of_each(extra).columns == extra.columns and nd.one_of_each(extra).count() == 2
+
+
 def test_components(spark, rows):
     rng = random.Random(6)
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000)]

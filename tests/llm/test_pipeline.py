@@ -49,8 +49,8 @@ def test_stages_do_what_their_parts_do(spark):
         seen[name] = docs
     start = table(spark, TESTDATA, "documents")
     model = toxicity.learn_model(start, table(spark, TESTDATA, "labels"), ~toxicity.held_out())
-    reader, weights = toxicity.Reader(model.buckets), model.weights
-    clean = {r.doc_id: r.text for r in start.collect() if model.bias + weights[sorted(reader(r.text))].sum() < 0}
+    reader = toxicity.Reader(model.buckets)
+    clean = {r.doc_id: r.text for r in start.collect() if toxicity.logit(r.text, model, reader) < 0}
     assert {r.doc_id for r in seen["toxicity"].collect()} == set(clean)
     first = {}
     for i, text in sorted(clean.items()):

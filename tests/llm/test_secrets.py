@@ -38,6 +38,14 @@ def test_spans_match_the_patterns(documents, texts):
         assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(got[i].spans.count(f"{k}:") for k in BASE)
 
 
+def test_texts_of_very_many_matches(documents):
+    """Blocks of matches join without a seam, and time grows with the matches, not with their square."""
+    texts = ["é token=abcdefghijklmnop;" * n for n in (255, 256, 257, 40_000)]
+    docs = documents(list(enumerate(texts)))
+    for r in sc.findings_by_path(docs, sc.scan(docs)).collect():
+        assert r.spans == _spans(texts[r.doc_id])
+
+
 def test_only_unseen_pairs_are_scanned(documents, rows):
     first, both = documents([(1, "token=abcdefghijklmnop"), (2, "plain")]), documents([(1, "token=abcdefghijklmnop"), (3, "token=abcdefghijklmnop"), (4, "new 0123456789abcdef0")])
     ledger = sc.scan(first)
