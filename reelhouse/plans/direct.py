@@ -281,15 +281,19 @@ def rental_facts(found: DataFrame, who: str = "client_id") -> DataFrame:
     )
 
 
-def union_sales(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, keep_unpriced_gadgets: bool = False) -> DataFrame:
+def union_sales(
+    src, calendar: DataFrame, products: DataFrame, clients: DataFrame, keep_unpriced_gadgets: bool = False, frequencies: DataFrame | None = None,
+) -> DataFrame:
     """Sales fact of all stores in one plan."""
     events = sale_events(src, keep_unpriced_gadgets)
-    return sales_facts(resolved(events, calendar, product_refs(src, products), client_refs(src, clients)))
+    return sales_facts(resolved(events, calendar, product_refs(src, products), client_refs(src, clients), frequencies))
 
 
-def union_rentals(src, calendar: DataFrame, products: DataFrame, clients: DataFrame, min_days: int = 1) -> DataFrame:
+def union_rentals(
+    src, calendar: DataFrame, products: DataFrame, clients: DataFrame, min_days: int = 1, frequencies: DataFrame | None = None,
+) -> DataFrame:
     """Rentals fact of the two renting stores in one plan."""
-    return rental_facts(resolved(rental_events(src, min_days), calendar, product_refs(src, products), client_refs(src, clients)))
+    return rental_facts(resolved(rental_events(src, min_days), calendar, product_refs(src, products), client_refs(src, clients), frequencies))
 
 
 def direct_builders(calendar: DataFrame, stores: DataFrame) -> dict:

@@ -208,3 +208,12 @@ def measured_nulls(k):
     found = quality.measured_nulls(k.spark, {n: k.direct.measured[n] for n in _PROFILE})
     wanted = [F.struct(F.lit(t), F.lit(c)) for t, cols in _PROFILE.items() for c in cols]
     return found.where(F.struct("table", "col").isin(wanted))
+
+
+_COUNTED = ("dim_produit", "dim_client", "fait_ventes", "fait_locations", "agg_ventes_mois_magasin")
+
+
+@query("load_report", " UNION ALL ".join(f"SELECT '{name}' AS tbl, count(*) AS nb FROM {name}" for name in _COUNTED))
+def load_report(k):
+    """Rows of loaded tables as measured while they were written; no table is read."""
+    return summaries.load_and_report(k.direct, _COUNTED)

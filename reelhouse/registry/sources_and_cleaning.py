@@ -324,9 +324,9 @@ def append_streams(k):
 
 @query("union_sales", "SELECT * FROM fait_ventes")
 def union_sales(k):
-    return direct.union_sales(k.src, k.calendar, k.direct["dim_produit"], k.direct["dim_client"])
+    return direct.union_sales(k.src, k.calendar, k.direct["dim_produit"], k.direct["dim_client"], frequencies=k.direct["freq_ventes"])
 
 
 @query("union_rentals", "SELECT * FROM fait_locations")
 def union_rentals(k):
-    return direct.union_rentals(k.src, k.calendar, k.direct["dim_produit"], k.direct["dim_client"])
+    return direct.union_rentals(k.src, k.calendar, k.direct["dim_produit"], k.direct["dim_client"], frequencies=k.direct["freq_locations"])
