@@ -309,9 +309,10 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     sketch = stored(sketches(docs, idf, doc_id, text), "sketches")
     different = stored(sketch.groupBy(F.col("key").alias("node")).agg(
         F.min(F.struct("doc_id", "h")).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "texts")
-    rows = different.select("node", F.explode("bands").alias("bucket"))
-    buckets = rows.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(rows.join(buckets, "bucket"), "buckets")
+    rows = different.select("node", "first", F.explode("bands").alias("bucket"))
+    # A text with the smallest id is the likeliest to be what others were copied from, and so to be like most of its bucket.
+    buckets = rows.groupBy("bucket").agg(F.min_by("node", "first").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stored(rows.drop("first").join(buckets, "bucket"), "buckets")
     # Texts are joined by merging at every size, so that what a small input shuffles tells what a large one will.
     wanted = different.join(members.select("node").distinct(), "node", "left_semi").select("node", "first.*").hint("merge")
     texts = stored(_identified(docs, doc_id, text).join(wanted, ["doc_id", "h"]).select("node", "text"), "candidates").hint("merge")
@@ -338,7 +339,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """One row per document: doc_id, class_id (the smallest doc_id of its class), kept (it is the class's first row).
 
     Classes are the connected components of the links, similarity SIMILAR or more, between documents that share a band.
-    Texts of equal words are one text. In each bucket of a band all texts are compared with its smallest key; buckets that then
+    Texts of equal words are one text. In each bucket of a band all texts are compared with the one of the smallest id; buckets that then
     still hold several classes are compared within, every text with every other, in blocks of bounded size.
 
     Null and empty texts are equal texts. Rows that repeat a doc_id with other words are texts of their own; rows that repeat doc_id and text are
