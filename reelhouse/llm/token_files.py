@@ -11,10 +11,10 @@ Parts follow each other in doc_id order, and so do the blocks of a part by start
 
 from __future__ import annotations
 
-import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,8 @@ BLOCK_TOKENS = 1 << 17
 ROWS_AT_ONCE, CHARS_AT_ONCE = 4096, 1 << 23
 _SHOWN = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
 # Byte-level vocabularies spell a byte by its own character where that shows, else by the next character from 256 on.
-BYTE_LETTERS = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_LETTERS = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+BYTE_LETTERS = np.array([_LETTERS[b] for b in range(256)], "<u4")
 STAGED = "part long, pos long, start long, doc_id long, ids binary, counts binary"
 BLOCKS = "part long, start long, tokens long, doc_ids array<long>, lengths array<int>, checkpoints binary, payload binary"
 
@@ -51,15 +52,19 @@ def _coder(file: Broadcast, pattern: str, kind: str, added: bool) -> Callable[[l
         library = Tokenizer.from_str(file.value)
         marks = [t.content for t in library.get_added_tokens_decoder().values()] if added else []
 
-        tokenise = tokenizer.model.tokenize
-        packed = lambda ids: struct.pack(f"<{len(ids)}{'H' if kind == '<u2' else 'I'}", *ids)
+        tokenise, size = tokenizer.model.tokenize, np.dtype(kind).itemsize
         if not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or tokenizer.normalizer is not None:
             raise ValueError("the tokenizer file is not byte-level")
 
         def code(pieces: list[str]) -> list[bytes]:
             """Pre-tokens in the vocabulary's spelling of bytes, each coded by the library's model."""
-            spelled = [p.encode().decode("latin-1").translate(BYTE_LETTERS) for p in pieces]
-            return [packed([token.id for token in tokenise(p)]) for p in spelled]
+            # Spelled together; 255, which UTF-8 doesn't use, parts them.
+            plain = np.frombuffer("\udcff".join(pieces).encode("utf-8", "surrogateescape"), np.uint8)
+            spelled = BYTE_LETTERS[plain].tobytes().decode("utf-32-le").split("\xff")
+            found = [[token.id for token in tokenise(p)] for p in spelled]
+            ids = np.array(list(chain.from_iterable(found)), kind).tobytes()
+            ends = (np.cumsum([0, *map(len, found)]) * size).tolist()
+            return [ids[start:end] for start, end in pairwise(ends)]
 
         by_pieces = TextCoder(pattern, code, CHARS_AT_ONCE)
 

@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelhouse.llm import byte_bpe, queries, token_files
+from reelhouse.llm import byte_bpe, pieces, queries, token_files
 from reelhouse.llm.pieces import TextCoder
 
 RANKS, JSON = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
@@ -50,6 +50,28 @@ def test_code_points_split_as_the_library_does(bpe, reference):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
 
 
+def test_new_chunks_go_through_the_pattern_together(bpe, reference):
+    coder, calls = TextCoder(public_tokenizers.PATTERN, bpe.encode_pieces), []
+    find = coder.find
+    coder.find = lambda text: calls.append(text) or find(text)
+    texts = [f"head w{i}, w{i}.\nNext {i}" for i in range(500)]
+    for text, ids in zip(texts, coder(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+    assert len(calls) == 2  # the one head, and all chunks
+
+
+def test_a_memory_that_is_full_keeps_what_comes_again(bpe, reference, monkeypatch):
+    monkeypatch.setattr(pieces, "CHUNKS", 2000)
+    coded = []
+    coder = TextCoder(public_tokenizers.PATTERN, lambda new: coded.extend(new) or bpe.encode_pieces(new), 2000)
+    rng = random.Random(6)
+    texts = [" ".join(["a", "again", "often,", *(f"once{rng.randrange(10**6)}x" for _ in range(20))]) + rng.choice(["", "  odd", "\n \n"]) for _ in range(300)]
+    for text, ids in zip(texts, coder(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+    assert coded.count(" again") == 1 and coded.count(" often") == 1
+    assert len(coder.pieces) < 2000 < len(coded)
+
+
 def test_rank_queue_gives_the_lowest_rank():
     rng, queue, held = random.Random(2), byte_bpe.RankQueue(300_000), {}
     for step in range(5000):
