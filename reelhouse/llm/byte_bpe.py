@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,7 @@ from reelhouse.llm.common import ship
 from reelhouse.llm.pieces import TextCoder
 
 ROWS_AT_ONCE = 512
+MERGED_AT_ONCE = 1 << 18  # bytes in one linked list, which takes about 200 times as many
 WORD, LOW = 6, 63  # a level of the bitmap has a bit for each 64-bit word of the level below
 
 
@@ -79,9 +80,20 @@ class ByteBpe:
         """Little-endian 32-bit ids of each pre-token."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
         whole = [self.ranks.get(p) for p in raw]
-        merged = iter(self._merge([p for p, rank in zip(raw, whole, strict=True) if rank is None]))
+        merged = self._merged(p for p, rank in zip(raw, whole, strict=True) if rank is None)
         return [next(merged) if rank is None else rank.to_bytes(4, "little") for rank in whole]
 
+    def _merged(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
+        """Ids of the pieces, merged in lists of at least MERGED_AT_ONCE bytes, which end with a piece."""
+        held, size = [], 0
+        for piece in pieces:
+            held.append(piece)
+            size += len(piece)
+            if size >= MERGED_AT_ONCE:
+                yield from self._merge(held)
+                held, size = [], 0
+        yield from self._merge(held)
+
     def _merge(self, pieces: list[bytes]) -> list[bytes]:
         """Merge the pieces together: all lie in one linked list, no pair reaching over a piece's end.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from reelhouse.llm.common import own_name, ship, stored
+from reelhouse.llm.common import own_name, ship, stored, stored_light
 from reelhouse.operators.skew import spread_join
 
 WORDS, SIMILAR = 5, 0.8
@@ -121,12 +121,17 @@ def _draws() -> Draws:
     return Draws(rng.gamma(2, 1, DRAWS), rng.random(DRAWS), np.log(rng.gamma(2, 1, DRAWS)))
 
 
+def _t(step: int, draw: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """For a weight of exp(step / STEP): t of the draws."""
+    d = _draws()
+    return np.floor(step / STEP / d.r[draw] + d.beta[draw])
+
+
 @cache
-def _sampled(step: int) -> tuple[np.ndarray, np.ndarray]:
-    """For a weight of exp(step / STEP): ln a and t of every draw."""
+def _log_a(step: int) -> np.ndarray:
+    """For a weight of exp(step / STEP): ln a of every draw."""
     d = _draws()
-    t = np.floor(step / STEP / d.r + d.beta)
-    return (d.log_c - d.r * (t - d.beta) - d.r).astype(np.float32), t.astype(np.int64)
+    return (d.log_c - d.r * (_t(step) - d.beta) - d.r).astype(np.float32)
 
 
 def band_keys(found: np.ndarray, weights: np.ndarray) -> list[int]:
@@ -141,17 +146,17 @@ def band_keys(found: np.ndarray, weights: np.ndarray) -> list[int]:
         draw = (own[:, None] * _SPREAD[WORDS:]) >> np.uint64(48)
         values = sorted(set(step.tolist()))
         if len(values) == 1:
-            log_a = _sampled(values[0])[0][draw]
+            log_a = _log_a(values[0])[draw]
         else:
             log_a = np.empty(draw.shape, np.float32)
             for s in values:
                 rows = step == s
-                log_a[rows] = _sampled(s)[0][draw[rows]]
+                log_a[rows] = _log_a(s)[draw[rows]]
         row = log_a.argmin(0)
         value = log_a[row, every]
         for k in np.flatnonzero(value < best):
             best[k], kept[k] = value[k], own[row[k]]
-            at_t[k] = _sampled(int(step[row[k]]))[1][draw[row[k], k]]
+            at_t[k] = _t(int(step[row[k]]), draw[row[k], k])
     samples = _mix(kept + at_t.astype(np.uint64) * np.uint64(_P)).reshape(BANDS, ROWS)
     keys = np.arange(BANDS).astype(np.uint64)
     for r in range(ROWS):
@@ -195,15 +200,19 @@ def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(own).alias("h"), own.alias("text"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, about: int | None = None) -> DataFrame:
     """(node, class): the smallest node each node of ``links`` (a, b) is connected to. Nodes are of any type with an order.
 
+    ``links`` is computed once. ``about`` how many there may be at most sets the number of files they are first written to.
+
     Every round a node takes the smallest class among its neighbours' and then that class's own class, so
     paths shorten fast; each round is stored, and only two sums over hashes of the classes come to the driver.
     """
-    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct()
-    edges = stored(both, "links")
-    labels = stored(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("class")), "classes")
+    ways = F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in (("a", "b"), ("b", "a"))])
+    both = links.select(F.explode(ways).alias("way")).select("way.*").distinct()
+    edges = stored(both, "links") if about is None else stored_light(both, "links", 2 * about)
+    most = edges.count()
+    labels = stored_light(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("class")), "classes", most)
     state = [F.sum(F.xxhash64("class").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", "class"))]
     before = None
     while (now := labels.agg(*state).head()) != before:
@@ -211,7 +220,8 @@ def components(links: DataFrame) -> DataFrame:
         near = edges.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("class").alias("m"))
         lower = labels.join(near, F.col("node") == F.col("u")).select("node", F.least("class", "m").alias("class"))
         above = labels.select(F.col("node").alias("up"), F.col("class").alias("top"))
-        labels = stored(lower.join(above, F.col("class") == F.col("up"), "left").select("node", F.least("class", F.coalesce("top", "class")).alias("class")), "classes")
+        higher = lower.join(above, F.col("class") == F.col("up"), "left").select("node", F.least("class", F.coalesce("top", "class")).alias("class"))
+        labels = stored_light(higher, "classes", most)
     return labels
 
 
@@ -307,29 +317,32 @@ def _classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(idf_weights(document_frequencies(docs, text)))
     sketch = stored(sketches(docs, idf, doc_id, text), "sketches")
-    different = stored(sketch.groupBy(F.col("key").alias("node")).agg(
-        F.min(F.struct("doc_id", "h")).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "texts")
+    n_rows = sketch.count()
+    different = stored_light(sketch.groupBy(F.col("key").alias("node")).agg(
+        F.min(F.struct("doc_id", "h")).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")), "texts", n_rows)
     rows = different.select("node", "first", F.explode("bands").alias("bucket"))
     # A text with the smallest id is the likeliest to be what others were copied from, and so to be like most of its bucket.
     buckets = rows.groupBy("bucket").agg(F.min_by("node", "first").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(rows.drop("first").join(buckets, "bucket"), "buckets")
+    members = stored_light(rows.drop("first").join(buckets, "bucket"), "buckets", BANDS * n_rows)
+    n_members = members.count()
     # Texts are joined by merging at every size, so that what a small input shuffles tells what a large one will.
     wanted = different.join(members.select("node").distinct(), "node", "left_semi").select("node", "first.*").hint("merge")
     texts = stored(_identified(docs, doc_id, text).join(wanted, ["doc_id", "h"]).select("node", "text"), "candidates").hint("merge")
 
-    links = stored(_verified(members.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts, idf), "links")
-    found = components(links)
+    links = _verified(members.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts, idf)
+    found = components(links, n_members)
     placed = members.where("n > 2").join(found, "node", "left").withColumn("class", F.coalesce("class", "node"))
     open_sets = placed.groupBy("bucket").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.hash("node")).alias("y"), F.count(F.lit(1)).alias("n"),
     ).where("low < high").groupBy("x", "y", "n").agg(F.min("bucket").alias("bucket"))  # bands that hold the same texts
-    more = _blocks(stored(placed.join(open_sets.select("bucket"), "bucket").select("bucket", "n", "node", "class"), "open"), texts, idf)
+    open_members = stored_light(placed.join(open_sets.select("bucket"), "bucket").select("bucket", "n", "node", "class"), "open", n_members)
+    more = _blocks(open_members, texts, idf)
     joined = found.where(F.col("node") != F.col("class")).select(F.col("node").alias("a"), F.col("class").alias("b"))
-    last = components(joined.unionByName(more))
+    last = components(joined.unionByName(more), n_members)
     classed = different.join(last, "node", "left").withColumn("class", F.coalesce("class", "node"))
     leads = classed.groupBy("class").agg(F.min("first").alias("lead"))
-    by_text = stored(classed.join(leads, "class").select(F.col("node").alias("key"), "lead", "rows"), "text-classes")
-    most = F.lit(max(sketch.count() * HOT_SHARE, 1.0))
+    by_text = stored_light(classed.join(leads, "class").select(F.col("node").alias("key"), "lead", "rows"), "text-classes", n_rows)
+    most = F.lit(max(n_rows * HOT_SHARE, 1.0))
     hot = by_text.where(F.col("rows") > most).select("key", F.ceil(F.col("rows") / most).cast("int").alias("pieces"))
     own = spread_join(sketch.select("doc_id", "h", "key"), by_text.drop("rows"), ["key"], "doc_id", hot)
     return own.select("doc_id", "h", F.col("lead.doc_id").alias("class_id"), (F.struct("doc_id", "h") == F.col("lead")).alias("kept"))

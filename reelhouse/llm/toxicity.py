@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -38,6 +39,7 @@ IDENTITY = (
     ("femmes", "hommes", "personnes", ""), ("musulmans", "chrétiens", "juifs", ""), ("immigrés", "réfugiés", "citoyens", ""),
     ("mujeres", "hombres", "personas", ""), ("musulmanes", "cristianos", "judíos", ""), ("inmigrantes", "refugiados", "ciudadanos", ""),
 )
+NOTHING = array("i")
 WORDS, SPACE = re.compile(r"[^\W\d_]+"), re.compile(r"\s")
 
 
@@ -60,7 +62,7 @@ class Reader:
 
     def __init__(self, kept: np.ndarray | None = None) -> None:
         self.place = None if kept is None else {int(b): i for i, b in enumerate(kept)}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.chunks: dict[str, array] = {}  # 4 bytes a feature; tuples of numbers would take 36
 
     def __call__(self, text: str | None) -> set[int]:
         chunks = set((text or "").lower().split())
@@ -68,7 +70,8 @@ class Reader:
             self.chunks.clear()
         for chunk in chunks.difference(self.chunks):
             found = {b for w in WORDS.findall(chunk) for b in word_features(w)}
-            self.chunks[chunk] = tuple(found if self.place is None else [self.place[b] for b in found if b in self.place])
+            places = found if self.place is None else [self.place[b] for b in found if b in self.place]
+            self.chunks[chunk] = array("i", places) if places else NOTHING
         return set().union(*map(self.chunks.__getitem__, chunks))
 
 

@@ -1,6 +1,7 @@
 """Toxicity and language: held-out accuracy, counterfactual swaps, hostile rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -198,3 +199,15 @@ def test_long_texts_of_rich_vocabulary(spark):
     got = language.predict([prose(lang, 3_000_000) for lang in shares] + ["12 " * 20_000, " " * 50_000 + prose("bb", 2000)], model)
     assert got["lang"].tolist() == ["aa", "bb", "cc", "und", "bb"] and (got["score"][:3] > 0.5).all()
     assert all("".join(s[:len(s) - 3] for s in own[:-1]) + own[-1] == t for t in ("", "ab", "x" * 16385, prose("cc", 70_001)) for own in [language.stretches(t)])
+
+
+def test_remembered_chunks_take_few_bytes_a_feature():
+    rng = random.Random(3)
+    chunks = ["".join(rng.choice("abcdefghijklmnop") for _ in range(12)) for _ in range(3000)]
+    reader = toxicity.Reader()
+    tracemalloc.start()
+    for at in range(0, len(chunks), 10):
+        reader(" ".join(chunks[at:at + 10]))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(reader.chunks) == 3000 and held < 16 * sum(map(len, reader.chunks.values()))

@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -131,3 +133,41 @@ def test_components(spark, rows):
     got = dict(rows(nd.components(spark.createDataFrame(links, "a long, b long"))))
     assert all(got[i] == 0 for i in range(201)) and all(got[1000 + i] == 1000 for i in range(300)) and got[5001] == 5000
     assert nd.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_compute_links_once_and_write_few_files(spark):
+    """Rounds over few links go to as many files as there are cores, however many shuffle partitions there are."""
+    from reelhouse.sources.tables import shared_folder
+
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before, computed = set(shared.glob("*")), spark.sparkContext.accumulator(0)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in settings}
+
+    def seen(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(3000).selectExpr("id AS a", "id + 3000 AS b").mapInArrow(seen, "a long, b long")
+        got = nd.components(links)
+        assert got.count() == 6000 and got.where("class <> node % 3000").count() == 0
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert computed.value == 3000
+    written = [len(list(p.glob("part-*"))) for p in set(shared.glob("classes-*")) - before]
+    assert len(written) >= 2 and max(written) <= spark.sparkContext.defaultParallelism
+
+
+def test_draws_of_a_weight_take_four_bytes_each():
+    found = np.arange(1, 41, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    nd.band_keys(found, np.ones(40))
+    tracemalloc.start()
+    nd.band_keys(found, np.exp(np.arange(101, 141) / nd.STEP))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 40 * nd.DRAWS * 4 * 1.2

@@ -165,3 +165,12 @@ def test_query_codes_added_tokens_as_the_library_does(documents, spark, folder):
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_pieces_merged_together_fill_bounded_lists(bpe, reference, monkeypatch):
+    rng, sizes, merge = random.Random(5), [], bpe._merge
+    monkeypatch.setattr(bpe, "_merge", lambda held: sizes.append(sum(map(len, held))) or merge(held))
+    words = [" " + "".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(20_000)]
+    for word, ids in zip(words, bpe.encode_pieces(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(word)
+    assert max(sizes) < 300_000 and sum(sizes) == sum(map(len, words))
