@@ -30,7 +30,7 @@ BANDS, ROWS = 20, 5
 DF_BUCKETS, RARE, IDF_GAIN = 1 << 18, 1000.0, 0.25
 # Sampling draws r, c and beta from a table by a hash of shingle and sample; weights enter it in steps of 1/8 of their logarithm.
 DRAWS, STEP = 1 << 16, 8
-FEATURES_AT_ONCE, BYTES_AT_ONCE = 4096, 1 << 20
+FEATURES_AT_ONCE, BYTES_AT_ONCE, SKETCHES_AT_ONCE = 4096, 1 << 20, 256
 # A text that more rows repeat than this share is dealt out when rows meet their class; there are fewer than 1 / share of them.
 HOT_SHARE = 1e-3
 BLOCK = 128  # texts of a bucket compared with each other in one task
@@ -80,7 +80,7 @@ def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def text_key(text: str | None) -> bytes:
     """128-bit hash of the words: equal for texts that differ only in case and white space."""
-    return hashlib.blake2b(" ".join(re.split(r"[\x20\x09-\x0d]+", (text or "").lower().strip("\x20\x09\x0a\x0b\x0c\x0d"))).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return hashlib.blake2b(b" ".join((text or "").lower().encode("utf-8", "surrogatepass").split()), digest_size=16).digest()
 
 
 def bucket_of(found: np.ndarray) -> np.ndarray:
@@ -121,47 +121,72 @@ def _draws() -> Draws:
     return Draws(rng.gamma(2, 1, DRAWS), rng.random(DRAWS), np.log(rng.gamma(2, 1, DRAWS)))
 
 
-def _t(step: int, draw: np.ndarray | slice = slice(None)) -> np.ndarray:
+def _t(step: int | np.ndarray, draw: np.ndarray | slice = slice(None)) -> np.ndarray:
     """For a weight of exp(step / STEP): t of the draws."""
     d = _draws()
     return np.floor(step / STEP / d.r[draw] + d.beta[draw])
 
 
+# Steps met so far in this process, ascending, and ln a of every draw for each of them: a text of several weights takes from one array.
+_steps, _log_a = np.zeros(0, np.int64), np.zeros((0, DRAWS), np.float32)
+
+
+def _places(steps: np.ndarray) -> np.ndarray:
+    """The rows of ``_log_a`` for weights of exp(step / STEP); steps not met before get theirs."""
+    global _steps, _log_a
+    place = np.searchsorted(_steps, steps)
+    if len(_steps) and (_steps.take(place, mode="clip") == steps).all():
+        return place
+    d, new = _draws(), np.setdiff1d(steps, _steps)
+    more = np.empty((len(_steps) + len(new), DRAWS), np.float32)
+    known = np.union1d(_steps, new)
+    more[np.searchsorted(known, _steps)] = _log_a
+    for s in new.tolist():
+        more[np.searchsorted(known, s)] = d.log_c - d.r * (_t(s) - d.beta) - d.r
+    _steps, _log_a = known, more
+    return np.searchsorted(_steps, steps)
+
+
 @cache
-def _log_a(step: int) -> np.ndarray:
-    """For a weight of exp(step / STEP): ln a of every draw."""
-    d = _draws()
-    return (d.log_c - d.r * (_t(step) - d.beta) - d.r).astype(np.float32)
+def _room() -> tuple[np.ndarray, np.ndarray]:
+    """Memory for the draws and the ln a of one stretch of shingles, used again for every text."""
+    return np.empty(BANDS * ROWS * FEATURES_AT_ONCE, np.uint64), np.empty(BANDS * ROWS * FEATURES_AT_ONCE, np.float32)
 
 
-def band_keys(found: np.ndarray, weights: np.ndarray) -> list[int]:
-    """A hash of each band's samples (shingle and t of the smallest ln a); none for a text without words."""
-    if not len(found):
-        return []
+def _samples(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A number for each sample: its shingle and t of the smallest ln a."""
+    n, every = BANDS * ROWS, np.arange(BANDS * ROWS)
     steps = np.round(np.log(weights) * STEP).astype(np.int64)
-    best, kept, at_t = np.full(BANDS * ROWS, np.inf, np.float32), np.zeros(BANDS * ROWS, np.uint64), np.zeros(BANDS * ROWS, np.int64)
-    every = np.arange(BANDS * ROWS)
+    at = _places(steps) * DRAWS
+    best, kept, at_t = np.full(n, np.inf, np.float32), np.zeros(n, np.uint64), np.zeros(n, np.int64)
     for begin in range(0, len(found), FEATURES_AT_ONCE):
-        own, step = found[begin:begin + FEATURES_AT_ONCE], steps[begin:begin + FEATURES_AT_ONCE]
-        draw = (own[:, None] * _SPREAD[WORDS:]) >> np.uint64(48)
-        values = sorted(set(step.tolist()))
-        if len(values) == 1:
-            log_a = _log_a(values[0])[draw]
-        else:
-            log_a = np.empty(draw.shape, np.float32)
-            for s in values:
-                rows = step == s
-                log_a[rows] = _log_a(s)[draw[rows]]
-        row = log_a.argmin(0)
-        value = log_a[row, every]
-        for k in np.flatnonzero(value < best):
-            best[k], kept[k] = value[k], own[row[k]]
-            at_t[k] = _t(int(step[row[k]]), draw[row[k], k])
-    samples = _mix(kept + at_t.astype(np.uint64) * np.uint64(_P)).reshape(BANDS, ROWS)
+        own, step, first = (x[begin:begin + FEATURES_AT_ONCE] for x in (found, steps, at))
+        # A sample's draws lie side by side, so that its smallest is found reading in order.
+        draw, log_a = (room[:n * len(own)].reshape(n, len(own)) for room in _room())
+        np.multiply(_SPREAD[WORDS:, None], own, out=draw)
+        np.right_shift(draw, np.uint64(48), out=draw)
+        place = draw.view(np.int64)
+        place += first
+        _log_a.ravel().take(place, out=log_a, mode="clip")
+        row = log_a.argmin(1)
+        value, drawn = log_a[every, row], place[every, row] - first[row]
+        less = value < best
+        best[less], kept[less], at_t[less] = value[less], own[row][less], _t(step[row], drawn)[less]
+    return kept + at_t.astype(np.uint64) * np.uint64(_P)
+
+
+def _hashed_bands(samples: np.ndarray) -> np.ndarray:
+    """A hash of each band of each row of samples."""
+    mixed = _mix(samples).reshape(-1, BANDS, ROWS)
     keys = np.arange(BANDS).astype(np.uint64)
     for r in range(ROWS):
-        keys = _mix(keys * _SPREAD[r % WORDS] + samples[:, r])
-    return keys.view(np.int64).tolist()
+        keys = _mix(keys * _SPREAD[r % WORDS] + mixed[:, :, r])
+    return keys.view(np.int64)
+
+
+def band_keys(found: np.ndarray, weights: np.ndarray) -> list[int]:
+    """A hash of each band's samples (shingle and t of the smallest ln a); none for a text without words."""
+    return _hashed_bands(_samples(found, weights))[0].tolist() if len(found) else []
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -183,13 +208,17 @@ def sketches(docs: DataFrame, idf: Broadcast, doc_id: str = "doc_id", text: str
     """(doc_id, h, key, bands), one row per row with an id; ``doc_id`` and ``h``, a hash of the text as it stands, tell texts apart."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, bands = [], []
+            keys, samples, ends = [], [], [0]
             for own in batch.column(2):
                 own = own.as_py()
                 keys.append(text_key(own))
-                bands.append(band_keys(*_weighted(own, idf.value)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "h", "key", "bands"])
+                found, weights = _weighted(own, idf.value)
+                if len(found):
+                    samples.append(_samples(found, weights))
+                ends.append(len(samples) * BANDS)
+            flat = [_hashed_bands(np.stack(samples[k:k + SKETCHES_AT_ONCE])).ravel() for k in range(0, len(samples), SKETCHES_AT_ONCE)]
+            bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *flat])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), bands], ["doc_id", "h", "key", "bands"])
 
     return _identified(docs, doc_id, text).mapInArrow(sketch, "doc_id long, h long, key binary, bands array<long>")
 

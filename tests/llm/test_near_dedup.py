@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import sys
 import tracemalloc
 from pathlib import Path
 
@@ -171,3 +172,52 @@ def test_draws_of_a_weight_take_four_bytes_each():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert held < 40 * nd.DRAWS * 4 * 1.2
+
+
+def _plain_keys(found, weights):
+    """``band_keys`` feature by feature, sample by sample."""
+    d, lows, ts = nd._draws(), [], []
+    steps = np.round(np.log(weights) * nd.STEP)
+    for k in range(nd.BANDS * nd.ROWS):
+        draw = (found * nd._SPREAD[nd.WORDS + k]) >> np.uint64(48)
+        t = np.floor(steps / nd.STEP / d.r[draw] + d.beta[draw])
+        low = int((d.log_c[draw] - d.r[draw] * (t - d.beta[draw]) - d.r[draw]).astype(np.float32).argmin())
+        lows.append(found[low])
+        ts.append(int(t[low]))
+    mixed, keys = nd._mix(np.array(lows) + np.array(ts).astype(np.uint64) * np.uint64(nd._P)), []
+    for b in range(nd.BANDS):
+        key = np.array([b], np.uint64)
+        for r in range(nd.ROWS):
+            key = nd._mix(key * nd._SPREAD[r % nd.WORDS] + mixed[b * nd.ROWS + r])
+        keys.append(int(key.view(np.int64)[0]))
+    return keys
+
+
+@pytest.mark.parametrize("n", [1, 3, 400, nd.FEATURES_AT_ONCE + 100])
+def test_all_samples_of_a_text_are_taken_together(n):
+    """The samples are those of the plain definition, whatever weights came before, and no call is made for each of them."""
+    rng = np.random.default_rng(n)
+    found = np.sort(rng.integers(0, 2**63, n).astype(np.uint64))
+    for weights in (np.ones(n), rng.choice([1.0, 1.22, 2.4, 40.0, 0.3], n), rng.choice([1.1, 1.6, 700.0], n)):
+        assert nd.band_keys(found, weights) == _plain_keys(found, weights)
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+    try:
+        nd.band_keys(found, weights)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < nd.BANDS * nd.ROWS
+
+
+def test_sketches_of_many_texts_are_those_of_each(documents, monkeypatch):
+    monkeypatch.setattr(nd, "SKETCHES_AT_ONCE", 7)
+    rows = _corpus()[:60] + [(1000, None), (1001, " "), (1002, "x")]
+    docs = documents(rows).coalesce(1)
+    idf = nd.idf_weights(nd.document_frequencies(docs))
+    got = {r.doc_id: (bytes(r.key), r.bands) for r in nd.sketches(docs, docs.sparkSession.sparkContext.broadcast(idf)).collect()}
+    assert got == {i: (nd.text_key(t), nd.band_keys(*nd._weighted(t, idf))) for i, t in rows}
+
+
+def test_words_of_a_key_part_at_ascii_white_space_only():
+    assert nd.text_key(" A\x0b\x0cb\r\n\tc\ud800 ") == nd.text_key("a b c\ud800") and nd.text_key(None) == nd.text_key(" \n")
+    assert len({nd.text_key(f"a{c}b") for c in ("", " ", "\x1c", "\x1f", "\x85", "\xa0", "\u2003")}) == 7
