@@ -345,18 +345,18 @@ def build_products(branches: list[DataFrame]) -> DataFrame:
     return surrogate_keys(merged, _PRODUCT_KEY, "produit_id")
 
 
-def _with_film(df: DataFrame, source: str, xref: DataFrame, films: DataFrame) -> DataFrame:
-    """Replace the source's film id by the integrated one and add its title."""
-    own = xref.where(F.col("source") == source).join(films.select("film_id", "titre"), "film_id").select(
-        F.col("source_film_id").alias("_film"), "film_id", "titre"
+def _with_film(df: DataFrame, source: str, xref: DataFrame, films: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Replace the source's film id by the integrated one and add its title and ``extra`` columns."""
+    own = xref.where(F.col("source") == source).join(films.select("film_id", "titre", *extra), "film_id").select(
+        F.col("source_film_id").alias("_film"), "film_id", "titre", *extra
     )
     return df.withColumnRenamed("film_id", "_film").join(own, ["_film"], "left").drop("_film")
 
 
-def _mmm_film(df: DataFrame, films: DataFrame) -> DataFrame:
+def _mmm_film(df: DataFrame, films: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Resolve a film reference, which is the MS movie id; references without a film drop."""
-    ms = films.where(F.col("source") == "MS").select(F.col("source_id").cast("bigint").alias("source_id"), "film_id", "titre")
-    return cross_source_film_ref(df, ms, ("titre",)).drop("film_ref_id")
+    ms = films.where(F.col("source") == "MS").select(F.col("source_id").cast("bigint").alias("source_id"), "film_id", "titre", *extra)
+    return cross_source_film_ref(df, ms, ("titre", *extra)).drop("film_ref_id")
 
 
 def int_produit(s: Stage) -> DataFrame:
@@ -389,44 +389,56 @@ def int_produit(s: Stage) -> DataFrame:
     return build_products(branches)
 
 
-def _integrated(rows: DataFrame, s: Stage) -> DataFrame:
-    """Attach integrated client and product ids to rows tagged with store, source, title and type."""
-    clients = s["int_client"].select("source", F.col("source_client_id").alias("_client"), "client_id")
-    products = s["int_produit"].select("produit_id", *_PRODUCT_KEY)
-    renamed = rows.withColumnRenamed("client_id", "_client")
-    return join_all(renamed, [(clients, ["source", "_client"]), (products, _PRODUCT_KEY)], "left")
+def _products_of(s: Stage, kind: str, store: int) -> DataFrame:
+    """(titre, produit_id) of one kind of products in one store; titles are unique there."""
+    products = s["int_produit"].where((F.col("type") == kind) & (F.col("magasin_id") == store))
+    return products.select("titre", "produit_id")
+
+
+def _store_films(s: Stage, store: int) -> DataFrame:
+    """Integrated films with the store's product, NULL without one: products are looked up per film, not per sale."""
+    return s["int_film"].join(_products_of(s, "film", store), ["titre"], "left")
 
 
-def row_id(key: list[str], rest: list[str]) -> Column:
-    """128-bit id of a source row, so that a reload finds the same row: its ``key``, and a number among rows that repeat the key.
+def row_id(key: list[Column], number: Column) -> Column:
+    """128-bit id of a source row, so that a reload finds the same row: its ``key``, and a number among rows that repeat the key."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in key], number))
 
-    Rows of one key are numbered in the order of ``rest``; rows equal in everything are interchangeable.
+
+def _integrated(rows: DataFrame, s: Stage, id_name: str, key: list[Column], rest: list[str]) -> DataFrame:
+    """Attach ids and integrated clients to rows with ``_client``, the client's id in the source.
+
+    Rows of one key are numbered in the order of ``rest``; rows equal in everything are interchangeable. They meet the clients
+    with that number alone: titles end at the numbering and ids are made after the last shuffle, so none carries both.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in key]
-    number = F.row_number().over(Window.partitionBy(*key).orderBy(*rest))
-    return F.md5(F.concat_ws("|", *parts, number))
+    numbered = rows.withColumn("_number", F.row_number().over(Window.partitionBy(*key).orderBy(*rest))).drop("titre")
+    clients = s["int_client"].select("source", F.col("source_client_id").alias("_client"), "client_id")
+    return join_all(numbered, [(clients, ["source", "_client"])], "left").withColumn(id_name, row_id(key, F.col("_number")))
 
 
 def int_vente(s: Stage) -> DataFrame:
     """Sales of the five kinds."""
-    xref, films = s["film_xref"], s["int_film"]
+    xref, product = s["film_xref"], ("produit_id",)
     none = F.lit(0)
 
-    def branch(df: DataFrame, store: int, source: str, kind: str, title: str = "titre", is_new: Column = none) -> DataFrame:
+    def branch(df: DataFrame, store: int, source: str, kind: str, is_new: Column = none) -> DataFrame:
         return tag_source(df, store, source).select(
-            "source_id", "date_vente", "prix_vente", F.coalesce(is_new.cast("int"), none).alias("est_neuf"), "client_id",
-            F.col(title).alias("titre"), F.lit(kind).alias("type"), "magasin_id", "source",
+            "source_id", "date_vente", "prix_vente", F.coalesce(is_new.cast("int"), none).alias("est_neuf"), F.col("client_id").alias("_client"),
+            "titre", "produit_id", F.lit(kind).alias("type"), "magasin_id", "source",
         )
 
+    def gadgets(df: DataFrame, store: int) -> DataFrame:
+        return df.join(_products_of(s, "gadget", store), ["titre"], "left")
+
     rows = union_all(
-        branch(_with_film(s["bb_vente_film"], "BB", xref, films), 1, "BB", "film"),
-        branch(s["bb_vente_gadget"], 1, "BB", "gadget"),
-        branch(_with_film(s["ms_copie_vente"], "MS", xref, films), 2, "MS", "film", is_new=F.col("est_neuf")),
-        branch(_mmm_film(s["mmm_vente_film"], films), 3, "MMM", "film"),
-        branch(s["mmm_vente_gadget"], 3, "MMM", "gadget", title="titre_gadget"),
+        branch(_with_film(s["bb_vente_film"], "BB", xref, _store_films(s, 1), product), 1, "BB", "film"),
+        branch(gadgets(s["bb_vente_gadget"], 1), 1, "BB", "gadget"),
+        branch(_with_film(s["ms_copie_vente"], "MS", xref, _store_films(s, 2), product), 2, "MS", "film", is_new=F.col("est_neuf")),
+        branch(_mmm_film(s["mmm_vente_film"], _store_films(s, 3), product), 3, "MMM", "film"),
+        branch(gadgets(s["mmm_vente_gadget"].withColumnRenamed("titre_gadget", "titre"), 3), 3, "MMM", "gadget"),
     )
-    named = rows.withColumn("vente_id", row_id(["source", "type", "source_id"], ["date_vente", "prix_vente", "titre", "client_id", "est_neuf"]))
-    return _integrated(named, s).select(
+    key = [F.col(c) for c in ("source", "type", "source_id")]
+    return _integrated(rows, s, "vente_id", key, ["date_vente", "prix_vente", "titre", "_client", "est_neuf"]).select(
         "vente_id", "date_vente", "prix_vente", "est_neuf", "client_id",
         "produit_id", "magasin_id", "source",
     )
@@ -437,17 +449,20 @@ def int_location(s: Stage) -> DataFrame:
 
     One source gives its rentals no number: there the id is made of all columns.
     """
-    xref, films = s["film_xref"], s["int_film"]
-    copies = s["ms_copie_location"].select("copie_id", "film_id")
-    ms = _with_film(s["ms_location"].join(copies, ["copie_id"], "left"), "MS", xref, films)
-    ms = ms.withColumn("source_id", F.concat_ws("|", F.col("copie_id").cast("string"), F.col("client_id").cast("string"), F.col("date_debut").cast("string")))
-    cols = ["source_id", "date_debut", "date_fin", "prix_jour", "client_id", "titre", "type", "magasin_id", "source"]
+    product = ("produit_id",)
+    copies = _with_film(s["ms_copie_location"].select("copie_id", "film_id"), "MS", s["film_xref"], _store_films(s, 2), product)
+    ms = s["ms_location"].join(copies, ["copie_id"], "left")
+    mmm = _mmm_film(s["mmm_location_film"], _store_films(s, 3), product)
     rows = union_all(*[
-        tag_source(df, store, source).withColumn("type", F.lit("film")).select(*cols)
-        for df, store, source in ((ms, 2, "MS"), (_mmm_film(s["mmm_location_film"].withColumn("source_id", F.col("source_id").cast("string")), films), 3, "MMM"))
+        tag_source(df, store, source).select(
+            F.col(ref).alias("_ref"), "date_debut", "date_fin", "prix_jour", F.col("client_id").alias("_client"), "titre", "produit_id",
+            "magasin_id", "source",
+        ) for df, store, source, ref in ((ms, 2, "MS", "copie_id"), (mmm, 3, "MMM", "source_id"))
     ])
-    named = rows.withColumn("location_id", row_id(["source", "source_id"], ["date_debut", "date_fin", "prix_jour", "titre", "client_id"]))
-    return _integrated(named, s).select(
+    ref = F.col("_ref").cast("string")
+    source_id = F.when(F.col("source") == "MMM", ref).otherwise(F.concat_ws("|", ref, F.col("_client").cast("string"), F.col("date_debut").cast("string")))
+    key = [F.col("source"), source_id]
+    return _integrated(rows, s, "location_id", key, ["date_debut", "date_fin", "prix_jour", "titre", "_client"]).select(
         "location_id", "date_debut", "date_fin", "prix_jour", "client_id",
         "produit_id", "magasin_id", "source",
     )
@@ -554,9 +569,18 @@ def layered_builders(calendar: DataFrame, stores: DataFrame) -> dict:
     }
 
 
+# Tables built from the rows of sales and rentals.
+LARGE = (
+    "bb_joue_dans", "bb_vente_film", "bb_vente_gadget", "ms_joue_dans", "ms_copie_vente", "ms_location", "mmm_client", "mmm_location_film",
+    "mmm_vente_film", "mmm_vente_gadget", "int_joue_dans", "int_produit", "int_vente", "int_location", "ventes_datees", "fait_ventes",
+    "ventes_rejetees", "fait_locations", *summaries.BUILDERS,
+)
+
+
 def layered_warehouse(spark, src, calendar: DataFrame, stores: DataFrame, database: str | None = None) -> Stage:
     """All layered tables, lazily or stored in ``database``."""
-    return Stage(spark, src, layered_builders(calendar, stores), database, by_year=("fait_ventes", "fait_locations", *summaries.BUILDERS))
+    by_year = ("fait_ventes", "fait_locations", *summaries.BUILDERS)
+    return Stage(spark, src, layered_builders(calendar, stores), database, by_year, LARGE)
 
 
 def run_layered(stage: Stage) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from reelhouse.operators.quality import metrics_of, watched
+from reelhouse.sources.shared import shuffles_removed
 from reelhouse.sources.tables import fact_partition_by_year, truncate_reload
 
 
@@ -16,20 +18,23 @@ class Stage:
     """Builds tables by name from ``builders``, each of which may ask for other tables.
 
     Without a database every table is one lazy plan. With one, each table is written before
-    the next reads it, so a lost executor costs at most one table's work. Tables named in
-    ``by_year`` are stored one folder per year. ``measured`` holds row count and missing values of each written table,
+    the next reads it, so a lost executor costs at most one table's work; its shuffle files go with it. Tables named in
+    ``by_year`` are stored one folder per year, those in ``large`` are written one at a time, so that the shuffle files of one
+    of them are on disk at most. ``measured`` holds row count and missing values of each written table,
     taken while it was written.
     """
 
     def __init__(
         self, spark: SparkSession, src, builders: dict[str, Callable[["Stage"], DataFrame]],
-        database: str | None = None, by_year: tuple[str, ...] = (),
+        database: str | None = None, by_year: tuple[str, ...] = (), large: tuple[str, ...] = (),
     ) -> None:
         self.spark = spark
         self.src = src
         self._builders = builders
         self._database = database
         self._by_year = by_year
+        self._large = large
+        self._large_write = Lock()
         self._frames: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in builders}
         self.names = tuple(builders)
@@ -55,10 +60,12 @@ class Stage:
                 if self._database:
                     table, seen, metrics = f"{self._database}.{name}", Observation(), watched(df)
                     df = df.observe(seen, *[metric.alias(key) for key, metric in metrics.items()])
-                    if name in self._by_year:
-                        fact_partition_by_year(df, table)
-                    else:
-                        truncate_reload(df, table)
+                    # inputs are stored by now, so a write waits for no other table
+                    with self._large_write if name in self._large else nullcontext(), shuffles_removed(self.spark):
+                        if name in self._by_year:
+                            fact_partition_by_year(df, table)
+                        else:
+                            truncate_reload(df, table)
                     self.measured[name] = metrics_of(seen, list(metrics))
                     df = self.spark.table(table)
                 self._frames[name] = df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
@@ -199,7 +200,9 @@ def _loaded(k, build, label: str, columns: dict[str, str]):
     database = new_database(k.spark, label)
     stage = build(k.spark, k.src, k.calendar, k.stores, database)
     counted = {r.tbl: r.nb for r in summaries.load_and_report(stage, tuple(columns)).collect()}
-    prints = append_streams(*[quality.table_fingerprint(stage[name], name, cols.split()) for name, cols in columns.items()]).collect()
+    # table by table: of one plan over all tables the driver would hold and report the whole after each stage
+    with ThreadPoolExecutor(4) as pool:
+        prints = [*pool.map(lambda name: quality.table_fingerprint(stage[name], name, columns[name].split()).collect()[0], columns)]
     k.spark.sql(f"DROP DATABASE {database} CASCADE")
     return k.spark.createDataFrame([(r.tbl, counted[r.tbl], r.total, r.mixed) for r in prints], "tbl string, nb bigint, total string, mixed bigint")
 

@@ -71,9 +71,13 @@ def read_jdbc_bundle(spark: SparkSession, url: str, tables: dict[str, dict[str,
     }
 
 
+# Ids of facts are texts of hexadecimal digits, which only an entropy coder shortens; later writes to a table keep its codec.
+CODEC = "zstd"
+
+
 def truncate_reload(df: DataFrame, table: str) -> None:
     """Replace the whole content of a table."""
-    df.write.mode("overwrite").saveAsTable(table)
+    df.write.mode("overwrite").option("compression", CODEC).saveAsTable(table)
 
 
 def append_rows(df: DataFrame, table: str, mapping: dict[str, str]) -> None:
@@ -92,7 +96,8 @@ def fact_partition_by_year(df: DataFrame, table: str, year: str = "annee") -> No
     larger than the others over several tasks. The table is set up so that ``overwrite_partitions`` replaces only the years it is given.
     """
     balanced = df.hint("rebalance", year)
-    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).saveAsTable(table)
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+    writer.partitionBy(year).saveAsTable(table)
 
 
 def overwrite_partitions(df: DataFrame, table: str, partition: str, touched: list) -> None:
